@@ -51,7 +51,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="martspark-ckpt-")
+        if sc.master.startswith("local"):
+            # tests and the local benchmark only
+            configured = tempfile.mkdtemp(prefix="martspark-ckpt-")
+        else:
+            # a cluster without the setting: use the (shared) warehouse location
+            configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_martspark_checkpoints"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
