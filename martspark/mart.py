@@ -12,7 +12,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .operators import fx, org, sales, staging
+from .operators import customers, dims, fx, inventory, org, receivables, sales, staging
 from .session import prepare
 from .sources.binding import sources_for
 
@@ -105,6 +105,66 @@ class Mart:
     def service_territories(self) -> DataFrame:
         return org.service_territories(self.src["RM00303"])
 
+    @cached_property
+    def latest_rate(self):
+        """Service latest rate (scalar subquery column)."""
+        return fx.latest_rate(self.rates)
+
+    # -------------------------------------------------------------- dimensions
+    @cached_property
+    def dim_customer(self) -> DataFrame:
+        return dims.dim_customer(self.stg_customers, self.stg_customer_classes)
+
+    @cached_property
+    def dim_product(self) -> DataFrame:
+        return dims.dim_product(self.stg_items)
+
+    @cached_property
+    def dim_salesperson(self) -> DataFrame:
+        return dims.dim_salesperson(self.stg_salespeople)
+
+    @cached_property
+    def dim_territory(self) -> DataFrame:
+        return dims.dim_territory(self.stg_territories)
+
+    # -------------------------------------------------------------- customers
+    @cached_property
+    def customer_summary(self) -> DataFrame:
+        return customers.customer_orders_summary(self.sales_lines_enriched, self.stg_customers, self.as_of)
+
+    @cached_property
+    def customer_monthly(self) -> DataFrame:
+        return customers.customer_monthly(self.sales_lines_enriched)
+
+    # -------------------------------------------------------------- inventory
+    @cached_property
+    def inventory_valuation(self) -> DataFrame:
+        return inventory.inventory_valuation(self.stg_item_quantities, self.stg_items, self.sales_lines_enriched,
+                                             self.stg_fx, self.as_of)
+
+    @cached_property
+    def service_stock(self) -> DataFrame:
+        return inventory.service_stock(self.src["IV00102"], self.src["IV00101"])
+
+    @cached_property
+    def item_cogs_12m(self) -> DataFrame:
+        return inventory.item_cogs_12m(self.src["SOP30200"], self.src["SOP30300"], self.as_of)
+
+    @cached_property
+    def inventory_items(self) -> DataFrame:
+        return inventory.inventory_items(self.service_stock, self.item_cogs_12m, self.latest_rate)
+
+    # ------------------------------------------------------------ receivables
+    @cached_property
+    def ar_documents(self) -> DataFrame:
+        s = self.src
+        return receivables.ar_documents(s["RM20101"], s["RM00101"], s["RM00301"], s["RM00303"],
+                                        self.latest_rate, self.as_of)
+
+    @cached_property
+    def sales_90d_usd(self):
+        return receivables.sales_90d_usd(self.src["SOP30200"], self.src["SOP30300"], self.latest_rate, self.as_of)
+
 
 _MARTS: dict[tuple[int, str], Mart] = {}
 
