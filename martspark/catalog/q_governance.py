@@ -329,3 +329,74 @@ def q_role_view_scientist(spark, sf_dir):
     snap = facts.fact_customer_monthly_snapshot(m.customer_monthly, m.dim_customer, m.dim_salesperson,
                                                 m.dim_territory)
     return privacy.role_view_scientist(snap)
+
+
+# ------------------------------------------------------------------ S10, S12
+def _refresh_marts(m):
+    return {
+        "dim_customer": m.dim_customer, "dim_product": m.dim_product, "dim_salesperson": m.dim_salesperson,
+        "dim_territory": m.dim_territory,
+        "fact_sales": facts.fact_sales(m.sales_lines_enriched, m.dim_customer, m.dim_product, m.dim_salesperson,
+                                       m.dim_territory),
+        "fact_customer_monthly_snapshot": facts.fact_customer_monthly_snapshot(
+            m.customer_monthly, m.dim_customer, m.dim_salesperson, m.dim_territory),
+        "customer_orders_summary": m.customer_summary,
+        "inventory_valuation": m.inventory_valuation,
+        "fact_sales_usd": m.fact_usd,
+        "inventory_items": m.inventory_items,
+        "ar_documents": m.ar_documents,
+    }
+
+
+@register("refresh_counts", with_prelude(ENRICHED, FACT_USD, DIMS, FACT_SALES_SQL, CUSTOMER_SUMMARY, CUSTOMER_MONTHLY,
+                                         MODEL_INV, final="""
+, svc_fx as (select arg_max(xchg_rate, exch_date) as r from fx_rates),
+svc_items as (select count(*) as n from IV00102 s join IV00101 i on trim(s.ITEMNMBR) = trim(i.ITEMNMBR)
+              where s.RCRDTYPE = 1)
+select * from (
+  select 'dim_customer' as mart, count(*) as row_count from dim_customer
+  union all select 'dim_product', count(*) from dim_product
+  union all select 'dim_salesperson', count(*) from dim_salesperson
+  union all select 'dim_territory', count(*) from dim_territory
+  union all select 'fact_sales', count(*) from fact_sales
+  union all select 'fact_customer_monthly_snapshot', count(*) from customer_monthly
+  union all select 'customer_orders_summary', count(*) from summary
+  union all select 'inventory_valuation', count(*) from inventory_valuation
+  union all select 'fact_sales_usd', count(*) from fact_usd
+  union all select 'inventory_items', (select n from svc_items)
+  union all select 'ar_documents', count(*) from RM20101 where CURTRXAM > 0 and VOIDSTTS = 0)"""))
+def q_refresh_counts(spark, sf_dir):
+    """Full refresh row counts of every mart."""
+    from ..streaming.refresh import refresh_counts
+    return refresh_counts(_refresh_marts(mart_for(spark, sf_dir)))
+
+
+_MONTHLY_OUT = ("customer_id", "period_month", "year_month_sk", "cohort_month", "first_purchase_date",
+                "total_invoices_month", "total_returns_month", "gross_sales_month", "returns_amount_month",
+                "net_sales_month", "total_cogs_month", "gross_profit_month", "cumulative_net_sales_ltv",
+                "cumulative_gross_profit_ltv", "cumulative_last_purchase_date", "days_since_last_purchase_at_month_end",
+                "active_month_flag", "is_new_customer_flag", "is_churned_flag")
+
+
+@register("incremental_equals_batch", with_prelude(ENRICHED, CUSTOMER_MONTHLY, final=f"""
+select {dbl('gross_sales_month', 'returns_amount_month', 'net_sales_month', 'total_cogs_month', 'gross_profit_month',
+            'cumulative_net_sales_ltv', 'cumulative_gross_profit_ltv')} from customer_monthly"""))
+def q_incremental_equals_batch(spark, sf_dir):
+    """Customer-month snapshot maintained by three streaming refreshes
+    (invoices before 1999, invoices from 1999, then all returns arriving late)."""
+    import uuid
+
+    from ..session import checkpoint_dir
+    from ..streaming.refresh import LINE_COLUMNS, IncrementalSnapshot
+    m = mart_for(spark, sf_dir)
+    base = f"{checkpoint_dir(spark).rstrip('/')}/incremental-{uuid.uuid4().hex}"
+    inc = IncrementalSnapshot(spark, base)
+    lines = m.sales_lines_enriched.select(*LINE_COLUMNS)
+    cut = F.lit("1999-01-01").cast("date")
+    chunks = [lines.where((F.col("sop_type") == 3) & (F.col("document_date") < cut)),
+              lines.where((F.col("sop_type") == 3) & (F.col("document_date") >= cut)),
+              lines.where(F.col("sop_type") != 3)]
+    for chunk in chunks:
+        inc.land(chunk)
+        inc.run(lines.schema)
+    return inc.result().select(*_MONTHLY_OUT)
