@@ -192,3 +192,29 @@ def sources_for(spark: SparkSession, sf_dir: str) -> Sources:
     if key not in _CACHE:
         _CACHE[key] = Sources(spark, sf_dir)
     return _CACHE[key]
+
+
+class ExtractSources:
+    """ERP source frames read from parquet extracts ``<dir>/<SOURCE>`` (the
+    production layout: one folder per source table, written by the extract job
+    or by ``materialize``)."""
+
+    def __init__(self, spark: SparkSession, extract_dir: str):
+        self.spark = spark
+        self.sf_dir = extract_dir.rstrip("/")
+
+    def __getitem__(self, source: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir}/{source}")
+
+
+def materialize(spark: SparkSession, sf_dir: str, extract_dir: str) -> ExtractSources:
+    """Write every bound source table of ``sf_dir`` to ``extract_dir`` once."""
+    src = Sources(spark, sf_dir)
+    for name in SOURCE_ORDER:
+        src[name].write.mode("overwrite").parquet(f"{extract_dir.rstrip('/')}/{name}")
+    return ExtractSources(spark, extract_dir)
+
+
+def use_extracts(spark: SparkSession, alias: str, extract_dir: str) -> None:
+    """Make queries called with ``sf_dir=alias`` read the parquet extracts."""
+    _CACHE[(id(spark), alias.rstrip("/"))] = ExtractSources(spark, extract_dir)
