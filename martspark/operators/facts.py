@@ -103,7 +103,8 @@ def fact_receivables_open(stg_open_ar: DataFrame, dim_customer: DataFrame, dim_s
     c = _current_customers(dim_customer)
     sp = small(dim_salesperson.select(F.col("salesperson_id").alias("ds_sp"), "salesperson_sk"))
     t = small(dim_territory.select(F.col("territory_id").alias("dt_terr"), "territory_sk"))
-    a = stg_open_ar
+    a = stg_open_ar.withColumn("_fx", latest_rate)  # scalar subquery evaluated once
+    latest_rate = F.col("_fx")
     j = (a.join(c, a["customer_id"] == c["dc_customer_id"], "left")
          .join(sp, a["salesperson_id"] == sp["ds_sp"], "left")
          .join(t, a["territory_id"] == t["dt_terr"], "left"))
@@ -131,7 +132,8 @@ def fact_inventory_balance(stg_item_quantities: DataFrame, valuation: DataFrame,
     v = valuation.select(F.col("item_number").alias("v_item"), "unit_cost_usd", "unit_cost_vef_used",
                          "annual_cogs_usd", "inventory_turnover", "days_inventory_outstanding",
                          "stock_health_status")
-    j = q.join(v, q["item_number"] == v["v_item"], "left")
+    j = q.join(v, q["item_number"] == v["v_item"], "left").withColumn("_fx", unit_rate)
+    unit_rate = F.col("_fx")
     d_sk = date_sk(F.lit(as_of))
     return j.select(
         F.md5(F.concat_ws("|", "item_number", "location_code", d_sk.cast("string"))).alias("balance_sk"),

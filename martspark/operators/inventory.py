@@ -51,7 +51,8 @@ def inventory_valuation(stg_quantities: DataFrame, stg_items: DataFrame, enriche
     j = (stock.join(items, stock["item_number"] == items["i_item"], "left")
          .join(cogs, stock["item_number"] == cogs["c_item"], "left"))
     unit_cost = F.coalesce(F.col("current_cost"), F.col("standard_cost"), F.lit(0).cast("decimal(19,4)"))
-    fx_nz = F.nullif(fx_rate, F.lit(0.0))
+    j = j.withColumn("_fx", F.nullif(fx_rate, F.lit(0.0)))  # scalar subquery evaluated once
+    fx_nz = F.col("_fx")
     uc_usd = unit_cost.cast("double") / fx_nz
     val_raw = F.col("qty_on_hand").cast("double") * uc_usd
     cogs_usd = F.coalesce(F.col("cogs_vef").cast("double") / fx_nz, F.lit(0.0))
@@ -146,10 +147,10 @@ def inventory_items(stock: DataFrame, cogs12: DataFrame, latest_rate: Column,
     """Item-total rows with USD cost, valuation, COGS, turnover, DIO, health."""
     t = stock.where(F.col("record_type") == 1)
     j = t.join(cogs12, "item_number", "left").na.fill(0.0, ["annual_units_sold", "annual_cogs_vef"])
-    uc = rnd(F.col("unit_cost_vef") / latest_rate, 4)
-    j = j.withColumn("unit_cost_usd", uc)
+    j = j.withColumn("_fx", latest_rate)  # scalar subquery evaluated once
+    j = j.withColumn("unit_cost_usd", rnd(F.col("unit_cost_vef") / F.col("_fx"), 4))
     j = j.withColumn("total_valuation_usd", rnd(F.col("qty_on_hand") * F.col("unit_cost_usd"), 2))
-    j = j.withColumn("annual_cogs_usd", rnd(F.col("annual_cogs_vef") / latest_rate, 2))
+    j = j.withColumn("annual_cogs_usd", rnd(F.col("annual_cogs_vef") / F.col("_fx"), 2)).drop("_fx")
     val, cogs = F.col("total_valuation_usd"), F.col("annual_cogs_usd")
     daily = cogs / F.lit(365.0)
     j = j.select("*", sku_type_desc(F.col("category")).alias("sku_type_desc"),

@@ -54,11 +54,12 @@ def ar_documents(rm20101: DataFrame, rm00101: DataFrame, rm00301: DataFrame, rm0
     )
     sign = F.when(F.col("doc_type").isin(*L.AR_CREDIT_TYPES), F.lit(-1.0)).otherwise(F.lit(1.0))
     days = F.coalesce(F.datediff(_date(as_of), F.col("due_date")), F.lit(0))
-    return base.select(
-        "*",
-        rnd(F.col("current_balance_vef") / latest_rate * sign, 2).alias("balance_usd"),
-        rnd(F.col("orig_amount_vef") / latest_rate * sign, 2).alias("orig_amount_usd"),
-        rnd(F.col("credit_limit_vef") / latest_rate, 2).alias("credit_limit_usd"),
+    fxr = F.col("_fx")
+    return base.withColumn("_fx", latest_rate).select(
+        *base.columns,
+        rnd(F.col("current_balance_vef") / fxr * sign, 2).alias("balance_usd"),
+        rnd(F.col("orig_amount_vef") / fxr * sign, 2).alias("orig_amount_usd"),
+        rnd(F.col("credit_limit_vef") / fxr, 2).alias("credit_limit_usd"),
         days.alias("overdue_days"),
         aging_bucket(days).alias("aging_bucket"),
         F.when(days > 0, 1).otherwise(0).alias("is_overdue"),
