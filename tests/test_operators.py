@@ -279,3 +279,14 @@ def test_csv_export_escapes_quotes(spark, tmp_path):
     write_csv(df.coalesce(1), str(tmp_path / "out"))
     text = "".join(p.read_text() for p in (tmp_path / "out").glob("part-*.csv"))
     assert '"say ""hi"""' in text and text.startswith('"a","b"')
+
+
+# ------------------------------------------------------------ source registry
+def test_binding_matches_source_registry(spark):
+    from martspark.sources.binding import SOURCE_ORDER, sources_for
+    from martspark.sources.schemas import schema_of
+    src = sources_for(spark, "/root/testdata/sf0.001")
+    for name in SOURCE_ORDER:
+        got = {f.name: f.dataType for f in src[name].schema.fields}
+        want = {f.name: f.dataType for f in schema_of(name).fields}
+        assert got == want, name
