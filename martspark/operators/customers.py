@@ -42,18 +42,19 @@ def _zero_dec(scale: int = 2) -> Column:
 # ----------------------------------------------------------------------- M07
 def customer_orders_summary(enriched: DataFrame, customers: DataFrame, as_of, churn_days: int = 90) -> DataFrame:
     """Lifetime totals per customer; customers without sales are kept."""
-    agg = enriched.groupBy("customer_id").agg(
-        F.min("document_date").alias("first_purchase"),
-        F.max("document_date").alias("last_purchase_date"),
-        F.countDistinct(F.when(F.col("sop_type") == 3, F.col("invoice_number"))).alias("n_inv"),
-        F.countDistinct(F.when(F.col("sop_type") == 4, F.col("invoice_number"))).alias("n_ret"),
-        F.countDistinct("invoice_number").alias("n_orders"),
-        F.sum("gross_sales_amount").alias("gross"),
-        F.sum(F.when(F.col("sop_type") == 4, F.abs("gross_sales_amount")).otherwise(_zero_dec())).alias("returns"),
-        F.sum("net_sales_amount").alias("net"),
-        F.sum("total_cost_amount").alias("cogs"),
-        F.sum("gross_profit_amount").alias("gp"),
-        F.sum("net_quantity").alias("units"),
+    docs = _document_totals(enriched, [])
+    agg = docs.groupBy("customer_id").agg(
+        F.min("doc_first").alias("first_purchase"),
+        F.max("doc_last").alias("last_purchase_date"),
+        F.count_if(F.col("has_invoice")).alias("n_inv"),
+        F.count_if(F.col("has_return")).alias("n_ret"),
+        F.count("invoice_number").alias("n_orders"),
+        F.sum("doc_gross").alias("gross"),
+        F.sum("doc_returns").alias("returns"),
+        F.sum("doc_net").alias("net"),
+        F.sum("doc_cogs").alias("cogs"),
+        F.sum("doc_gp").alias("gp"),
+        F.sum("doc_units").alias("units"),
     )
     c = customers.select("customer_id", "customer_name", "customer_class_id", "salesperson_id", "territory_id",
                          "credit_limit_amount", "is_inactive", "created_at")
@@ -85,26 +86,53 @@ def customer_orders_summary(enriched: DataFrame, customers: DataFrame, as_of, ch
 
 
 # ------------------------------------------------------------------ M08 / M09
-def _monthly_sales(enriched: DataFrame) -> DataFrame:
-    return enriched.groupBy("customer_id", month_start(F.col("document_date")).alias("period_month")).agg(
-        F.countDistinct(F.when(F.col("sop_type") == 3, F.col("invoice_number"))).alias("total_invoices_month"),
-        F.countDistinct(F.when(F.col("sop_type") == 4, F.col("invoice_number"))).alias("total_returns_month"),
-        F.sum("gross_sales_amount").alias("gross_sales_month"),
-        F.sum(F.when(F.col("sop_type") == 4, F.abs("gross_sales_amount")).otherwise(_zero_dec())).alias("returns_amount_month"),
-        F.sum("net_sales_amount").alias("net_sales_month"),
-        F.sum("total_cost_amount").alias("total_cogs_month"),
-        F.sum("gross_profit_amount").alias("gross_profit_month"),
-        F.max("document_date").alias("last_purchase_date_month"),
+def _document_totals(enriched: DataFrame, extra_keys: list) -> DataFrame:
+    """Level 1 of the customer aggregates: one row per (customer, [month], document).
+
+    Distinct-document counts then become plain counts of these rows (no
+    ``Expand`` of the lines for several distinct aggregates), and the shuffle is
+    keyed by document, so a customer with a third of all lines is spread over
+    every task; level 2 (per customer or customer-month) shuffles only
+    document-level partial sums.
+    """
+    with_invoice = F.col("invoice_number").isNotNull()
+    return enriched.groupBy("customer_id", *extra_keys, "invoice_number").agg(
+        F.max((F.col("sop_type") == 3) & with_invoice).alias("has_invoice"),
+        F.max((F.col("sop_type") == 4) & with_invoice).alias("has_return"),
+        F.sum("gross_sales_amount").alias("doc_gross"),
+        F.sum(F.when(F.col("sop_type") == 4, F.abs("gross_sales_amount")).otherwise(_zero_dec())).alias("doc_returns"),
+        F.sum("net_sales_amount").alias("doc_net"),
+        F.sum("total_cost_amount").alias("doc_cogs"),
+        F.sum("gross_profit_amount").alias("doc_gp"),
+        F.sum("net_quantity").alias("doc_units"),
+        F.min("document_date").alias("doc_first"),
+        F.max("document_date").alias("doc_last"),
     )
 
 
-def _first_dates(enriched: DataFrame) -> DataFrame:
-    return enriched.groupBy("customer_id").agg(
-        month_start(F.min("document_date")).alias("cohort_month"),
-        F.min("document_date").alias("first_purchase_date"),
+def _monthly_sales(enriched: DataFrame) -> DataFrame:
+    docs = _document_totals(enriched, [month_start(F.col("document_date")).alias("period_month")])
+    return docs.groupBy("customer_id", "period_month").agg(
+        F.count_if(F.col("has_invoice")).alias("total_invoices_month"),
+        F.count_if(F.col("has_return")).alias("total_returns_month"),
+        F.sum("doc_gross").alias("gross_sales_month"),
+        F.sum("doc_returns").alias("returns_amount_month"),
+        F.sum("doc_net").alias("net_sales_month"),
+        F.sum("doc_cogs").alias("total_cogs_month"),
+        F.sum("doc_gp").alias("gross_profit_month"),
+        F.max("doc_last").alias("last_purchase_date_month"),
+        F.min("doc_first").alias("first_purchase_date_month"),
     )
 
 
+def _with_first_dates(monthly: DataFrame) -> DataFrame:
+    """Cohort month and first purchase per customer from its month rows (a
+    window over the customer's months, no second scan of the lines)."""
+    w = Window.partitionBy("customer_id")
+    return monthly.select("*", F.min("period_month").over(w).alias("cohort_month"),
+                          F.min("first_purchase_date_month").over(w).alias("first_purchase_date"))
+
+
 def _history_columns(m: DataFrame, churn_days: int) -> DataFrame:
     w = Window.partitionBy("customer_id").orderBy("period_month").rowsBetween(Window.unboundedPreceding, 0)
     m = m.select(
@@ -129,8 +157,7 @@ def _history_columns(m: DataFrame, churn_days: int) -> DataFrame:
 
 def customer_monthly(enriched: DataFrame, churn_days: int = 90) -> DataFrame:
     """One row per customer and month with sales lines, running LTV."""
-    m = _monthly_sales(enriched).join(_first_dates(enriched), "customer_id")
-    return _history_columns(m, churn_days)
+    return _history_columns(_with_first_dates(_monthly_sales(enriched)), churn_days)
 
 
 def customer_monthly_dense(enriched: DataFrame, as_of, churn_days: int = 90) -> DataFrame:
@@ -139,13 +166,14 @@ def customer_monthly_dense(enriched: DataFrame, as_of, churn_days: int = 90) ->
     Months without lines carry zero metrics, so running LTV stays flat, days
     since the last purchase grow and the churn flag can become 1 (D7).
     """
-    firsts = _first_dates(enriched)
+    monthly = _monthly_sales(enriched)
+    firsts = monthly.groupBy("customer_id").agg(F.min("period_month").alias("cohort_month"),
+                                                F.min("first_purchase_date_month").alias("first_purchase_date"))
     spine = firsts.select(
         "customer_id", "cohort_month", "first_purchase_date",
         F.explode(F.sequence(F.col("cohort_month"), month_start(_date(as_of)), F.expr("interval 1 month")))
          .alias("period_month"))
-    monthly = _monthly_sales(enriched)
-    j = spine.join(monthly, ["customer_id", "period_month"], "left")
+    j = spine.join(monthly.drop("first_purchase_date_month"), ["customer_id", "period_month"], "left")
     zero = {"total_invoices_month": F.lit(0).cast("bigint"), "total_returns_month": F.lit(0).cast("bigint")}
     filled = j.select(
         "customer_id", "period_month", "cohort_month", "first_purchase_date",
@@ -292,9 +320,10 @@ def churn_history(fact: DataFrame, churn_days: int = 90, target_offset_days: int
     target(M) = first day of M + 28 days; a customer seen up to the target is
     active when some purchase lies in [target − 90, target], else churned.
     """
+    # everything below derives from this one distinct frame: the fact is computed once
     s = apply_filters(fact, **filters).select("customer_id", "document_date").distinct()
     months = bounded(
-        apply_filters(fact, **filters).select(month_start(F.col("document_date")).alias("m")).distinct()
+        s.select(month_start(F.col("document_date")).alias("m")).distinct()
         .select("m", F.date_add("m", target_offset_days).alias("target")))
     # month starts whose target can fall in [d, d + churn_days]
     cand = s.select(

@@ -15,6 +15,7 @@ from ..functions import labels as L
 from ..functions.numeric import ratio_or, rnd, safe_div
 from ..plans.ranking import global_median, global_ntile
 from ..plans.topk import top_k_per_group
+from ..session import checkpoint_dir
 from .sales import _date, apply_filters, money_sum
 
 SERVICE_KEYS = ("customer_id", "customer_name", "customer_class_id", "territory_name", "salesperson_name")
@@ -98,7 +99,10 @@ def rfm_median_segments(metrics: DataFrame, vip_days: int = 60, loyal_days: int
                         promising_days: int = 45) -> DataFrame:
     """The six ordered service segment rules against the medians."""
     row_key = F.concat_ws("\u0001", *[F.col(c) for c in SERVICE_KEYS]).alias("_row_key")
-    keyed = metrics.select("frequency", "monetary", row_key)
+    # the per-customer metrics are materialised once in the shared checkpoint
+    # folder, so the two medians do not recompute the sales fact
+    checkpoint_dir(metrics.sparkSession)
+    keyed = metrics.select("frequency", "monetary", row_key).checkpoint(eager=True)
     # one-row medians used as scalar subqueries (no join)
     fm = global_median(keyed, "frequency", "_row_key").scalar()
     mm = global_median(keyed, "monetary", "_row_key").scalar()
