@@ -6,8 +6,9 @@ Scale notes
   holds at most one customer's months (≤ 12 per year), whatever the skew of
   lines per customer; the per-customer month rows come out of an algebraic
   aggregate (partial aggregation before the shuffle).
-* The dense spine (M09) is generated per customer with ``sequence`` from the
-  cohort month to the reporting month — never a customers × months cross join.
+* The dense history (M09) fills the gaps between a customer's months with
+  ``sequence`` inside the customer partitioning — never a customers × months
+  cross join, and no spine ⋈ months join.
 * Month-level frames (distinct months present, cohorts) are bounded by the
   calendar; they are the only inputs of unpartitioned windows and broadcasts.
 * Churn history (V06) is a bounded explode: a purchase on day d counts for the
@@ -166,22 +167,26 @@ def customer_monthly_dense(enriched: DataFrame, as_of, churn_days: int = 90) ->
     Months without lines carry zero metrics, so running LTV stays flat, days
     since the last purchase grow and the churn flag can become 1 (D7).
     """
-    monthly = _monthly_sales(enriched)
-    firsts = monthly.groupBy("customer_id").agg(F.min("period_month").alias("cohort_month"),
-                                                F.min("first_purchase_date_month").alias("first_purchase_date"))
-    spine = firsts.select(
-        "customer_id", "cohort_month", "first_purchase_date",
-        F.explode(F.sequence(F.col("cohort_month"), month_start(_date(as_of)), F.expr("interval 1 month")))
-         .alias("period_month"))
-    j = spine.join(monthly.drop("first_purchase_date_month"), ["customer_id", "period_month"], "left")
-    zero = {"total_invoices_month": F.lit(0).cast("bigint"), "total_returns_month": F.lit(0).cast("bigint")}
-    filled = j.select(
-        "customer_id", "period_month", "cohort_month", "first_purchase_date",
-        *[F.coalesce(F.col(c), zero[c]).alias(c) for c in ("total_invoices_month", "total_returns_month")],
-        *[F.coalesce(F.col(c), F.lit(0).cast("decimal(29,2)")).alias(c)
+    last_month = month_start(_date(as_of))
+    monthly = _with_first_dates(_monthly_sales(enriched).where(F.col("period_month") <= last_month))
+    # gap filling instead of spine ⋈ months: each month with lines also emits the
+    # empty months up to the customer's next month with lines (or the as-of
+    # month).  Everything stays in the customer partitioning of the first
+    # window, so no join and no further shuffle is needed.
+    w = Window.partitionBy("customer_id").orderBy("period_month")
+    until = F.coalesce(F.add_months(F.lead("period_month").over(w), -1), last_month)
+    g = monthly.withColumn("_until", until)
+    g = g.select("*", F.explode(F.sequence(F.col("period_month"), F.col("_until"), F.expr("interval 1 month")))
+                 .alias("_m"))
+    own = F.col("_m") == F.col("period_month")
+    filled = g.select(
+        "customer_id", F.col("_m").alias("period_month"), "cohort_month", "first_purchase_date",
+        *[F.when(own, F.col(c)).otherwise(F.lit(0).cast("bigint")).alias(c)
+          for c in ("total_invoices_month", "total_returns_month")],
+        *[F.when(own, F.col(c)).otherwise(F.lit(0).cast("decimal(29,2)")).alias(c)
           for c in ("gross_sales_month", "returns_amount_month", "net_sales_month", "total_cogs_month",
                     "gross_profit_month")],
-        "last_purchase_date_month",
+        F.when(own, F.col("last_purchase_date_month")).alias("last_purchase_date_month"),
     )
     out = _history_columns(filled, churn_days)
     w = Window.partitionBy("customer_id").orderBy("period_month")

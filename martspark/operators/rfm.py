@@ -104,7 +104,9 @@ def rfm_median_segments(metrics: DataFrame, vip_days: int = 60, loyal_days: int
     checkpoint_dir(metrics.sparkSession)
     keyed = metrics.select("frequency", "monetary", row_key).checkpoint(eager=True)
     # one-row medians used as scalar subqueries (no join)
-    fm = global_median(keyed, "frequency", "_row_key").scalar()
+    # frequency has a small integer domain: the exact percentile aggregate keeps
+    # one counter per distinct value, so its buffer stays bounded
+    fm = keyed.select(F.median("frequency")).scalar()
     mm = global_median(keyed, "monetary", "_row_key").scalar()
     rec, fr, mo = F.col("recency_days"), F.col("frequency"), F.col("monetary")
     seg = (F.when((rec <= vip_days) & (fr >= fm) & (mo >= mm), L.SEG_VIP)
