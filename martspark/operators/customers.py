@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from ..functions import labels as L
 from ..functions.numeric import ratio_or, rnd, safe_div
 from ..plans.broadcast import bounded
+from ..plans.stage import stage
 from .sales import _date, apply_filters
 
 
@@ -326,7 +327,7 @@ def churn_history(fact: DataFrame, churn_days: int = 90, target_offset_days: int
     active when some purchase lies in [target − 90, target], else churned.
     """
     # everything below derives from this one distinct frame: the fact is computed once
-    s = apply_filters(fact, **filters).select("customer_id", "document_date").distinct()
+    s = stage(apply_filters(fact, **filters).select("customer_id", "document_date").distinct())
     months = bounded(
         s.select(month_start(F.col("document_date")).alias("m")).distinct()
         .select("m", F.date_add("m", target_offset_days).alias("target")))
@@ -369,7 +370,7 @@ def cohort_matrix(fact: DataFrame, n_cohorts: int = 6, n_periods: int = 6, **fil
     the months that have sales, not calendar distance).  Cells with no later
     month stay 0.0; ``m0`` is 100.0 by construction."""
     s = apply_filters(fact, **filters)
-    cust_month = s.select("customer_id", month_start(F.col("document_date")).alias("m")).distinct()
+    cust_month = stage(s.select("customer_id", month_start(F.col("document_date")).alias("m")).distinct())
     # months present → position (bounded by the calendar)
     months = cust_month.select("m").distinct()
     months = bounded(months.select("m", F.dense_rank().over(Window.orderBy("m")).alias("idx")))

@@ -15,7 +15,7 @@ from ..functions import labels as L
 from ..functions.numeric import ratio_or, rnd, safe_div
 from ..plans.ranking import global_median, global_ntile
 from ..plans.topk import top_k_per_group
-from ..session import checkpoint_dir
+from ..plans.stage import stage
 from .sales import _date, apply_filters, money_sum
 
 SERVICE_KEYS = ("customer_id", "customer_name", "customer_class_id", "territory_name", "salesperson_name")
@@ -101,8 +101,7 @@ def rfm_median_segments(metrics: DataFrame, vip_days: int = 60, loyal_days: int
     row_key = F.concat_ws("\u0001", *[F.col(c) for c in SERVICE_KEYS]).alias("_row_key")
     # the per-customer metrics are materialised once in the shared checkpoint
     # folder, so the two medians do not recompute the sales fact
-    checkpoint_dir(metrics.sparkSession)
-    keyed = metrics.select("frequency", "monetary", row_key).checkpoint(eager=True)
+    keyed = stage(metrics.select("frequency", "monetary", row_key), "rfm-metrics")
     # one-row medians used as scalar subqueries (no join)
     # frequency has a small integer domain: the exact percentile aggregate keeps
     # one counter per distinct value, so its buffer stays bounded

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from ..functions import labels as L
 from ..functions.numeric import ratio_or, rnd
 from ..plans.broadcast import small
+from ..plans.stage import stage
 from . import fx
 from .org import resolve_sales_org
 
@@ -182,16 +183,23 @@ def kpi_summary(fact: DataFrame, customers: DataFrame, as_of, churn_days: int =
     s = apply_filters(fact, territory, customer_class, salesperson, start_date, end_date)
     c = apply_filters(customers, territory, customer_class, salesperson)
     cutoff = F.date_sub(_date(as_of), churn_days)
-    last = s.groupBy("customer_id").agg(F.max("document_date").alias("last_purchase"))
+    # one pass over the lines: exact per-document partial sums, staged once and
+    # read by both the totals and the per-customer activity branch
+    docs = stage(s.groupBy("customer_id", "invoice_number").agg(
+        F.sum(F.col("net_sales_amount").cast("decimal(30,2)")).alias("net"),
+        F.sum(F.col("gross_profit_amount").cast("decimal(30,2)")).alias("gp"),
+        F.sum(F.col("quantity").cast("decimal(30,4)")).alias("qty"),
+        F.max("document_date").alias("last_date")))
+    last = docs.groupBy("customer_id").agg(F.max("last_date").alias("last_purchase"))
     activity = last.agg(
         F.count_if(F.col("last_purchase") >= cutoff).alias("active_customers"),
         F.count_if(F.col("last_purchase") < cutoff).alias("churned_customers"),
     )
-    totals = s.agg(
-        money_sum("net_sales_amount").cast("double").alias("total_net_sales"),
-        money_sum("gross_profit_amount").cast("double").alias("total_gross_profit"),
+    totals = docs.agg(
+        F.sum("net").cast("double").alias("total_net_sales"),
+        F.sum("gp").cast("double").alias("total_gross_profit"),
         F.countDistinct("invoice_number").alias("total_orders"),
-        money_sum("quantity", 4).cast("double").alias("total_units"),
+        F.sum("qty").cast("double").alias("total_units"),
     )
     scope = c.agg(F.count(F.lit(1)).alias("total_customers_in_scope"))
     # three one-row frames side by side: scalar subqueries, no join

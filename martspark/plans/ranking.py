@@ -10,11 +10,11 @@ plan here (SURVEY D6) keeps the sort distributed:
    counts into offsets with a window over those few rows,
 4. global row number = offset + position + 1.
 
-The range-partitioned frame is checkpointed (reliable checkpoint in the shared
-``spark.checkpoint.dir``) so that the counts and the rows see exactly the same
-partitioning even if an executor is lost and tasks are retried; range bounds
-come from sampling, so a plain recomputation could move rows between
-partitions.
+The range-partitioned frame is written once to the shared checkpoint folder
+(``plans.stage``) with its partition id and position as columns, so the counts
+and the rows see exactly the same numbering even if an executor is lost and
+tasks are retried; range bounds come from sampling, so a plain recomputation
+could move rows between partitions.
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
 from .broadcast import bounded
+from .stage import stage
 
 _POS_MASK = (1 << 33) - 1
 
@@ -34,12 +34,13 @@ def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "row_nu
                       num_partitions: int | None = None) -> DataFrame:
     """Add ``out`` = 1-based position of each row in ``order`` (must be a total order)."""
     spark = df.sparkSession
-    checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .select("*", F.spark_partition_id().alias("_pid"),
-                      (F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK))).alias("_pos"))
-              .checkpoint(eager=True))
+    # partition id and position are stored as columns, so the staged copy can
+    # be read back with any file split and still give the same numbering
+    ranged = stage(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                   .select("*", F.spark_partition_id().alias("_pid"),
+                           (F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK))).alias("_pos")),
+                   "ranked")
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     # one row per partition: an unpartitioned window over it is bounded by the partition count
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -58,7 +58,8 @@ def refresh_all(marts: dict[str, DataFrame], target_dir: str,
 
 # ----------------------------------------------------------------------- S12
 LINE_COLUMNS = ("invoice_number", "line_item_sequence", "component_sequence", "customer_id", "document_date",
-                "sop_type", "gross_sales_amount", "net_sales_amount", "total_cost_amount", "gross_profit_amount")
+                "sop_type", "net_quantity", "gross_sales_amount", "net_sales_amount", "total_cost_amount",
+                "gross_profit_amount")
 
 
 class IncrementalSnapshot:
