@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import labels as L
 from ..functions.numeric import ratio_or, rnd, safe_div
-from ..plans.ranking import global_median, global_ntile
+from ..plans.ranking import global_median, global_ntiles
 from ..plans.topk import top_k_per_group
 from ..plans.stage import stage
 from .sales import _date, apply_filters, money_sum
@@ -30,10 +30,12 @@ def rfm_quintiles(summary: DataFrame) -> DataFrame:
         F.col("total_orders_count").alias("frequency_orders"),
         F.col("total_net_revenue").alias("monetary_net_revenue"),
         "historical_ltv_gross_profit", "average_order_value", "current_churn_status")
-    key = F.col("customer_id").asc()
-    s = global_ntile(base, [F.col("recency_days").desc(), key], 5, "r_score")
-    s = global_ntile(s, [F.col("frequency_orders").asc(), key], 5, "f_score")
-    s = global_ntile(s, [F.col("monetary_net_revenue").asc(), key], 5, "m_score")
+    base = stage(base, "rfm-base")  # one computation of the customer summary for all three scores
+    # the three scores come out of one stacked range sort of (customer, metric)
+    scores = global_ntiles(base.select("customer_id", "recency_days", "frequency_orders", "monetary_net_revenue"),
+                           "customer_id", (("r_score", "recency_days", True), ("f_score", "frequency_orders", False),
+                                           ("m_score", "monetary_net_revenue", False)), 5)
+    s = base.join(scores, "customer_id")
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     seg = (F.when((r >= 4) & (f >= 4) & (m >= 4), L.RFM_CHAMPIONS)
            .when((r >= 3) & (f >= 3), L.RFM_LOYAL)
@@ -98,10 +100,12 @@ def rfm_medians(metrics: DataFrame) -> DataFrame:
 def rfm_median_segments(metrics: DataFrame, vip_days: int = 60, loyal_days: int = 90,
                         promising_days: int = 45) -> DataFrame:
     """The six ordered service segment rules against the medians."""
-    row_key = F.concat_ws("\u0001", *[F.col(c) for c in SERVICE_KEYS]).alias("_row_key")
     # the per-customer metrics are materialised once in the shared checkpoint
-    # folder, so the two medians do not recompute the sales fact
-    keyed = stage(metrics.select("frequency", "monetary", row_key), "rfm-metrics")
+    # folder: the medians and the segment rules read them without recomputing
+    # the sales fact
+    metrics = stage(metrics, "rfm-metrics")
+    keyed = metrics.select("frequency", "monetary",
+                           F.concat_ws("\u0001", *[F.col(c) for c in SERVICE_KEYS]).alias("_row_key"))
     # one-row medians used as scalar subqueries (no join)
     # frequency has a small integer domain: the exact percentile aggregate keeps
     # one counter per distinct value, so its buffer stays bounded

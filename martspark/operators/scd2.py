@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
+from ..plans.broadcast import small
 from .dims import DEFAULT_VALID_FROM, TS_FORMAT, VALID_TO, row_hash, ts, unknown_key
 
 KEY = "customer_id"
@@ -95,7 +96,10 @@ def scd2_from_changes(changes: DataFrame, ts_col: str = "change_ts") -> DataFram
 
 def point_in_time(facts: DataFrame, history: DataFrame, date_col: str = "document_date") -> DataFrame:
     """Attach the customer version valid at ``date_col`` (half-open interval)."""
-    h = history.select(F.col(KEY).alias("h_key"), "customer_sk", "valid_from", "valid_to")
+    # the history is customer-level master data: broadcast when its estimated
+    # size allows, so a customer with a huge share of the lines never meets a
+    # sort-merge join partition of its own
+    h = small(history.select(F.col(KEY).alias("h_key"), "customer_sk", "valid_from", "valid_to"))
     d = F.col(date_col).cast("timestamp")
     j = facts.join(h, (facts[KEY] == h["h_key"]) & (d >= h["valid_from"]) & (d < h["valid_to"]), "left")
     return j.select(*[F.col(c) for c in facts.columns],

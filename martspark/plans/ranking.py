@@ -80,3 +80,33 @@ def global_median(df: DataFrame, value: str, tie_key: str) -> DataFrame:
     hi = F.ceil((F.col("_rn_total") + 1) / 2)
     mid = ranked.where((F.col("_rn") == lo) | (F.col("_rn") == hi))
     return mid.agg(F.avg(F.col(value).cast("double")).alias(f"{value}_median"))
+
+
+def global_ntiles(df: DataFrame, key: str, specs: Sequence[tuple[str, str, bool]], buckets: int) -> DataFrame:
+    """Several global ``ntile`` scores in one distributed sort.
+
+    ``specs`` = (output column, value column, descending).  The rows are stacked
+    once per spec (spec id first in the sort key, each spec's value in its own
+    column, ``key`` ascending as tie-break), numbered with one range sort, and
+    pivoted back to one row per ``key``: one sampling pass and one staged write
+    instead of one of each per score.
+    """
+    parts = []
+    for i, (_, value, _) in enumerate(specs):
+        cols = [F.lit(i).alias("_sid")]
+        for j, (_, v, _) in enumerate(specs):
+            cols.append((F.col(v) if j == i else F.lit(None).cast(df.schema[v].dataType)).alias(f"_v{j}"))
+        parts.append(df.select(F.col(key), *cols))
+    stacked = parts[0]
+    for p in parts[1:]:
+        stacked = stacked.unionByName(p)
+    order = [F.col("_sid").asc()]
+    for j, (_, _, desc) in enumerate(specs):
+        order.append(F.col(f"_v{j}").desc() if desc else F.col(f"_v{j}").asc())
+    order.append(F.col(key).asc())
+    ranked = global_row_number(stacked, order, "_rn")
+    n = (F.col("_rn_total") / len(specs)).cast("bigint")
+    within = F.col("_rn") - F.col("_sid") * n
+    scored = ranked.select(key, "_sid", ntile_from_rank(within, n, buckets).alias("_score"))
+    return scored.groupBy(key).agg(*[F.max(F.when(F.col("_sid") == i, F.col("_score"))).alias(out)
+                                     for i, (out, _, _) in enumerate(specs)])

@@ -45,20 +45,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the operator sets this to a shared file system.  Only when it
     is unset (local tests) a fresh scratch folder is created and registered.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if sc.master.startswith("local"):
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "local")
+        if master.startswith("local"):
             # tests and the local benchmark only
             configured = tempfile.mkdtemp(prefix="martspark-ckpt-")
         else:
             # a cluster without the setting: use the (shared) warehouse location
             configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_martspark_checkpoints"
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
+    return configured
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,

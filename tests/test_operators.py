@@ -290,3 +290,17 @@ def test_binding_matches_source_registry(spark):
         got = {f.name: f.dataType for f in src[name].schema.fields}
         want = {f.name: f.dataType for f in schema_of(name).fields}
         assert got == want, name
+
+
+@pytest.mark.parametrize("n", [2, 6, 31])
+def test_global_ntiles_stacked_equals_windows(spark, n):
+    from martspark.plans.ranking import global_ntiles
+    rnd = random.Random(n)
+    df = spark.createDataFrame([(f"k{i:03d}", rnd.randrange(5), Decimal(rnd.randrange(1000)) / 10) for i in range(n)],
+                               "k string, a int, b decimal(10,1)")
+    got = {r.k: (r.qa, r.qb) for r in global_ntiles(df, "k", (("qa", "a", True), ("qb", "b", False)), 5).collect()}
+    wa = Window.orderBy(F.col("a").desc(), F.col("k"))
+    wb = Window.orderBy(F.col("b").asc(), F.col("k"))
+    ref = {r.k: (r.qa, r.qb) for r in df.select("k", F.ntile(5).over(wa).alias("qa"),
+                                                 F.ntile(5).over(wb).alias("qb")).collect()}
+    assert got == ref
