@@ -25,6 +25,11 @@ def test_entry_smoke(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # no Python in the hot path, no cartesian or nested-loop joins
+    for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
+                 "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in plan, f"{name}: {node}"
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
     res = duck.execute(ORACLES[name])
     o_cols, o_rows = [d[0] for d in res.description], res.fetchall()
