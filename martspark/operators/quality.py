@@ -167,15 +167,15 @@ def evaluate(frames: dict[str, DataFrame], rules: tuple[Rule, ...]) -> DataFrame
             parts.append(one.select(F.explode(F.array(*structs)).alias("r")).select("r.*"))
         for r in trs:
             if r.kind in ("unique", "compound_unique"):
+                # one pass: group by the key (NULL keys form their own groups and
+                # are never duplicates), then duplicate rows and total rows
                 keys = [F.col(c) for c in r.columns]
+                g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
                 notnull = F.lit(True)
-                for k in keys:
-                    notnull = notnull & k.isNotNull()
-                g = df.where(notnull).groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
-                dup = g.agg(F.coalesce(F.sum(F.when(F.col("_c") > 1, F.col("_c"))), F.lit(0)).alias("_u"),
-                            F.coalesce(F.sum("_c"), F.lit(0)).alias("_nn"))
-                total = df.agg(F.count(F.lit(1)).alias("_n"))
-                row = dup.select("_u", total.select("_n").scalar().alias("_n"))
+                for c in r.columns:
+                    notnull = notnull & F.col(c).isNotNull()
+                row = g.agg(F.coalesce(F.sum(F.when((F.col("_c") > 1) & notnull, F.col("_c"))), F.lit(0)).alias("_u"),
+                            F.coalesce(F.sum("_c"), F.lit(0)).alias("_n"))
                 parts.append(row.select(_result_row(r, F.col("_n"), F.col("_u"), F.col("_u") == 0).alias("r"))
                              .select("r.*"))
     out = parts[0]

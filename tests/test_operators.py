@@ -304,3 +304,34 @@ def test_global_ntiles_stacked_equals_windows(spark, n):
     ref = {r.k: (r.qa, r.qb) for r in df.select("k", F.ntile(5).over(wa).alias("qa"),
                                                  F.ntile(5).over(wb).alias("qb")).collect()}
     assert got == ref
+
+
+# ------------------------------------------------------------------ refresh
+def test_refresh_all_writes_partitioned_snapshot(spark, tmp_path):
+    from martspark.mart import Mart
+    from martspark.operators import facts
+    from martspark.streaming.refresh import refresh_all, refresh_counts
+    m = Mart(spark, "/root/testdata/sf0.001")
+    snap = facts.fact_customer_monthly_snapshot(m.customer_monthly, m.dim_customer, m.dim_salesperson,
+                                                m.dim_territory)
+    marts = {"dim_product": m.dim_product, "snapshot": snap}
+    counts = refresh_all(marts, str(tmp_path), {"snapshot": ["year_month_sk"]})
+    assert counts == {r.mart: r.row_count for r in refresh_counts(marts).collect()}
+    back = spark.read.parquet(str(tmp_path / "snapshot"))
+    assert back.count() == counts["snapshot"]
+    assert any(p.name.startswith("year_month_sk=") for p in (tmp_path / "snapshot").iterdir())
+
+
+def test_nested_forms(spark):
+    from martspark.mart import Mart
+    from martspark.operators import directory
+    m = Mart(spark, "/root/testdata/sf0.001")
+    lists = {r.territory_name: r.salespeople for r in directory.salespeople_by_territory(m.fact_usd).collect()}
+    pairs = directory.salespeople_by_territory_pairs(m.fact_usd).collect()
+    assert sum(len(v) for v in lists.values()) == len(pairs)
+    assert all(v == sorted(v) for v in lists.values())
+    per = C.cohort_matrix_periods(m.fact_usd).collect()
+    flat = {r.cohort_month: r for r in C.cohort_matrix(m.fact_usd).collect()}
+    for r in per:
+        assert [p.retention_pct for p in r.periods] == [flat[r.cohort_month][f"m{i}"] for i in range(6)]
+        assert r.periods[0].period == "M+0"
