@@ -6,8 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..mart import mart_for
-from ..operators import dims, facts, privacy, quality, rfm, scd2
-from ..operators import customers as C
+from ..operators import dims, facts, privacy, quality, scd2
 from .oracle_base import AS_OF_SQL, dbl, with_prelude
 from .oracle_common import CUSTOMER_MONTHLY, CUSTOMER_SUMMARY, ENRICHED, FACT_USD, SVC_CUSTOMERS
 from .q_marts import DIMS, FACT_SALES_SQL, MODEL_INV

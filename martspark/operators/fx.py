@@ -61,12 +61,15 @@ def asof_join(facts: DataFrame, rates: DataFrame, date_col: str = "document_date
     """Add ``exch_date`` and ``xchg_rate`` = last rate with date ≤ ``date_col``."""
     cal = bounded(rate_calendar(rates))
     joined = facts.join(cal, facts[date_col] == cal["cal_date"], "left").drop("cal_date")
-    last_date = latest_rate_date(rates)
-    after_last = F.col(date_col) > last_date
+    # latest date and rate in one scalar subquery (one job, one row)
+    last = rates.select(F.struct(F.max("exch_date").alias("d"),
+                                 F.max_by("xchg_rate", "exch_date").alias("r"))).scalar()
+    joined = joined.withColumn("_last", last)
+    after_last = F.col(date_col) > F.col("_last.d")
     return joined.select(
         *[F.col(c) for c in facts.columns],
-        F.when(after_last, last_date).otherwise(F.col("exch_date")).alias("exch_date"),
-        F.when(after_last, latest_rate(rates)).otherwise(F.col("xchg_rate")).alias("xchg_rate"),
+        F.when(after_last, F.col("_last.d")).otherwise(F.col("exch_date")).alias("exch_date"),
+        F.when(after_last, F.col("_last.r")).otherwise(F.col("xchg_rate")).alias("xchg_rate"),
     )
 
 
