@@ -165,6 +165,21 @@ class Mart:
     def sales_90d_usd(self):
         return receivables.sales_90d_usd(self.src["SOP30200"], self.src["SOP30300"], self.latest_rate, self.as_of)
 
+    # ----------------------------------------------------------------- serving
+    SERVED = ("fact_usd", "service_customers", "inventory_items", "ar_documents", "sales_lines_enriched")
+
+    def serve_from(self, target_dir: str) -> dict[str, int]:
+        """Materialise the frames the dashboard queries share (the service's
+        in-memory frames of the reference) as parquet under ``target_dir`` and
+        make this Mart read them: one refresh, many cheap queries.  Returns the
+        written row counts."""
+        from .streaming.refresh import refresh_all
+        frames = {name: getattr(self, name) for name in self.SERVED}
+        counts = refresh_all(frames, target_dir, {})
+        for name in self.SERVED:
+            self.__dict__[name] = self.spark.read.parquet(f"{target_dir.rstrip('/')}/{name}")
+        return counts
+
 
 _MARTS: dict[tuple[int, str], Mart] = {}
 

@@ -40,10 +40,14 @@ def refresh_counts(marts: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+# Marts written partitioned by default (S05): the monthly snapshot by month key.
+DEFAULT_PARTITIONING = {"fact_customer_monthly_snapshot": ["year_month_sk"]}
+
+
 def refresh_all(marts: dict[str, DataFrame], target_dir: str,
                 partitioning: dict[str, list[str]] | None = None) -> dict[str, int]:
     """Write every mart under ``target_dir/<name>``; returns written row counts."""
-    partitioning = partitioning or {}
+    partitioning = DEFAULT_PARTITIONING if partitioning is None else partitioning
     counts = {}
     for name, df in marts.items():
         obs = Observation(f"rows_{name}")
