@@ -312,7 +312,8 @@ def q_customer_360_metrics(spark, sf_dir):
 
 
 @register("customer_recent_transactions", with_prelude(FACT_USD, final="""
-select customer_id, recency_rank, strftime(document_date, '%Y-%m-%d') as document_date, sop_type as document_type_id,
+select customer_id, cast(recency_rank as integer) as recency_rank, strftime(document_date, '%Y-%m-%d') as document_date,
+  sop_type as document_type_id,
   invoice_number, line_item_sequence, item_number as item_id, item_description, quantity, net_sales_amount,
   gross_profit_amount, doc_type_desc
 from (select *, row_number() over (partition by customer_id order by document_date desc, invoice_number desc,

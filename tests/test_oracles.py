@@ -8,6 +8,9 @@ import __spark_entry__ as entry_mod
 from conftest import SMALL
 
 QUERIES = entry_mod.queries()
+SPARK_TO_DUCK = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE",
+                 "StringType()": "VARCHAR", "DateType()": "DATE", "TimestampType()": "TIMESTAMP",
+                 "BooleanType()": "BOOLEAN", "TimestampNTZType()": "TIMESTAMP"}
 ORACLES = entry_mod.oracle_sql()
 
 
@@ -31,8 +34,11 @@ def test_query_matches_oracle(spark, duck, name):
                  "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in plan, f"{name}: {node}"
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
-    res = duck.execute(ORACLES[name])
-    o_cols, o_rows = [d[0] for d in res.description], res.fetchall()
+    rel = duck.sql(ORACLES[name])
+    o_cols, o_rows = list(rel.columns), rel.fetchall()
     assert sorted(s_cols) == sorted(o_cols)
+    s_types = {f.name: SPARK_TO_DUCK.get(repr(f.dataType), repr(f.dataType)) for f in df.schema}
+    o_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert s_types == o_types
     assert len(s_rows) == len(o_rows)
     assert multiset(s_cols, s_rows) == multiset(o_cols, o_rows)
