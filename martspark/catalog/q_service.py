@@ -341,7 +341,7 @@ def q_filter_facets(spark, sf_dir):
 
 @register("salespeople_by_territory", with_prelude(FACT_USD, final="""
 select distinct territory_name, salesperson_name from fact_usd
-where territory_name is not null and salesperson_name is not null and salesperson_name <> ''
+where territory_name is not null and salesperson_name is not null
   and salesperson_name <> 'No Asignado' and not contains(salesperson_name, 'INACTIVO')
 order by 1, 2"""))
 def q_salespeople_by_territory(spark, sf_dir):

@@ -70,10 +70,14 @@ def filter_facets(fact: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def salespeople_by_territory_pairs(fact: DataFrame) -> DataFrame:
-    """V14 (flat): distinct (territory, salesperson) pairs, sorted."""
+    """V14 (flat): distinct (territory, salesperson) pairs, sorted.
+
+    Unlike the facets (V13), blank names are kept here: only NULLs, the
+    unassigned label and inactive salespeople are excluded."""
     sp = F.col("salesperson_name")
-    d = fact.where(F.col("territory_name").isNotNull() & _valid_salesperson(sp)) \
-        .select("territory_name", "salesperson_name").distinct()
+    keep = (F.col("territory_name").isNotNull() & sp.isNotNull() & (sp != L.SERVICE_UNASSIGNED)
+            & ~sp.contains(L.FACET_INACTIVE_MARK))
+    d = fact.where(keep).select("territory_name", "salesperson_name").distinct()
     return d.orderBy("territory_name", "salesperson_name")
 
 
