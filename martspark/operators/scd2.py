@@ -20,11 +20,12 @@ table, written to a new directory by the caller.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
 from ..plans.broadcast import small
+from ..plans.ranking import keyed_row_number
 from .dims import DEFAULT_VALID_FROM, TS_FORMAT, VALID_TO, row_hash, ts, unknown_key
 
 KEY = "customer_id"
@@ -80,14 +81,23 @@ def scd2_apply(history: DataFrame, incoming: DataFrame, load_ts: str, close_miss
 def scd2_from_changes(changes: DataFrame, ts_col: str = "change_ts") -> DataFrame:
     """Chains from a change log (one row per observed state and time).
 
-    The window is per customer; a customer's chain is its own change history.
+    Each customer's rows are numbered by ``change_ts`` with
+    ``plans.ranking.keyed_row_number`` (a customer with a huge change history
+    is spread over many tasks, never sorted in one); the previous state and
+    the next version start are equi-joins on the unique (customer, number)
+    pair, so no step groups a whole history.
     """
-    w = Window.partitionBy(KEY).orderBy(ts_col)
     state = F.struct(*[F.col(c) for c in CHECK_COLS])
-    d = changes.withColumn("_state", state).withColumn("_prev", F.lag("_state").over(w))
-    d = d.where(F.col("_prev").isNull() | ~F.col("_state").eqNullSafe(F.col("_prev")))
-    d = d.withColumn("_next", F.lead(ts_col).over(w))
-    return d.select(
+    d = keyed_row_number(changes.select(*SNAPSHOT_COLS, F.col(ts_col), state.alias("_state")),
+                         [KEY], [F.col(ts_col).asc()], "_rn")
+    prev = d.select(F.col(KEY).alias("_p_key"), (F.col("_rn") + 1).alias("_p_rn"), F.col("_state").alias("_prev"))
+    d = d.join(prev, F.col(KEY).eqNullSafe(F.col("_p_key")) & (F.col("_rn") == F.col("_p_rn")), "left")
+    starts = (d.where(F.col("_prev").isNull() | ~F.col("_state").eqNullSafe(F.col("_prev")))
+              .select(*SNAPSHOT_COLS, F.col(ts_col)))
+    v = keyed_row_number(starts, [KEY], [F.col(ts_col).asc()], "_vn")
+    nxt = v.select(F.col(KEY).alias("_n_key"), (F.col("_vn") - 1).alias("_n_vn"), F.col(ts_col).alias("_next"))
+    v = v.join(nxt, F.col(KEY).eqNullSafe(F.col("_n_key")) & (F.col("_vn") == F.col("_n_vn")), "left")
+    return v.select(
         *SNAPSHOT_COLS,
         F.md5(F.concat(F.col(KEY), F.lit("_"), F.date_format(ts_col, TS_FORMAT))).alias("customer_sk"),
         F.col(ts_col).alias("valid_from"), F.coalesce(F.col("_next"), ts(VALID_TO)).alias("valid_to"),

@@ -52,6 +52,46 @@ def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "row_nu
                     F.col("_total").alias(f"{out}_total"))
 
 
+def keyed_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str = "row_number",
+                     num_partitions: int | None = None) -> DataFrame:
+    """Add ``out`` = ``row_number() over (partition by keys order by order)``
+    without sorting one key's rows in one task.
+
+    A window partitioned by ``keys`` puts every row of a key into one task, so a
+    key holding a third of the rows holds a third of the work.  Here the rows
+    are range-partitioned by (keys, order) and staged with their partition id;
+    a hot key is then cut into pieces over many range partitions.  Rows are
+    numbered inside each (key, partition) piece by a window partitioned by
+    (keys, partition id) — no piece is larger than one range partition — and
+    each piece adds the number of the key's rows in earlier partitions.  Only
+    the first key of a partition can continue from an earlier one, so at most
+    one offset per partition is non-zero: that table is bounded by the
+    partition count and broadcast.  ``order`` must refer to columns by name
+    and should be a total order within a key (rows equal in it are numbered
+    in an arbitrary order, as with the window).
+    """
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = stage(df.repartitionByRange(n, *[F.col(k).asc() for k in keys], *order)
+                   .select("*", F.spark_partition_id().alias("_pid")), "keyed")
+    # one row per (key, partition) piece, partial-aggregated before the shuffle;
+    # a key has at most one piece per partition, so each window group is bounded
+    pieces = ranged.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (pieces.select(*[F.col(k).alias(f"_o_{k}") for k in keys], F.col("_pid").alias("_o_pid"),
+                             F.sum("_cnt").over(before).alias("_off"))
+               .where(F.col("_off").isNotNull()))
+    # at most one row per range partition (its first key, when continued)
+    offsets = bounded(offsets)
+    cond = F.col("_pid") == F.col("_o_pid")
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
+    j = ranged.join(offsets, cond, "left")
+    w = Window.partitionBy(*keys, "_pid").orderBy(*order)
+    return j.select(*[F.col(f"`{c}`") for c in df.columns],
+                    (F.row_number().over(w) + F.coalesce(F.col("_off"), F.lit(0))).alias(out))
+
+
 def ntile_from_rank(r: Column, n: Column, buckets: int) -> Column:
     """SQL ``ntile(buckets)`` of the row at 1-based position ``r`` among ``n`` rows."""
     q = (n / buckets).cast("bigint")

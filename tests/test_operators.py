@@ -12,7 +12,7 @@ from martspark.functions import labels as L
 from martspark.operators import customers as C
 from martspark.operators import fx, inventory, quality, receivables, scd2, staging
 from martspark.operators.privacy import mask_name, mask_phone
-from martspark.plans.ranking import global_median, global_ntile, global_row_number
+from martspark.plans.ranking import global_median, global_ntile, global_row_number, keyed_row_number
 from martspark.plans.topk import top_k_per_group
 
 D = dt.date
@@ -126,6 +126,29 @@ def test_global_row_number_is_a_permutation(spark):
     assert [x.v for x in r] == sorted(x.v for x in r)
 
 
+@pytest.mark.parametrize("parts", [1, 3, 8])
+def test_keyed_row_number_equals_window_with_hot_key(spark, parts):
+    rnd = random.Random(parts)
+    # a third of the rows on one key, a null key, many small keys
+    keys = ["hot" if i % 3 == 0 else (None if i % 17 == 0 else f"k{i % 40}") for i in range(900)]
+    df = spark.createDataFrame([(k, rnd.randrange(60), i) for i, k in enumerate(keys)], "g string, v int, id int")
+    order = [F.col("v").desc(), F.col("id").asc()]
+    got = keyed_row_number(df, ["g"], order, "rn", num_partitions=parts)
+    ref = df.select("id", F.row_number().over(Window.partitionBy("g").orderBy(*order)).alias("rn"))
+    assert sorted((r.id, r.rn) for r in got.select("id", "rn").collect()) == sorted(map(tuple, ref.collect()))
+    assert got.columns == ["g", "v", "id", "rn"]
+
+
+def test_keyed_row_number_splits_a_hot_key_over_tasks(spark):
+    df = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(
+        (F.col("id") % 50).cast("string")).alias("g"), F.col("id"))
+    plan = keyed_row_number(df, ["g"], [F.col("id").asc()], "rn", num_partitions=8)
+    # the hot key's rows land in several range partitions, and no window groups by the key alone
+    pieces = plan.where(F.col("g") == "hot").select(F.spark_partition_id()).distinct().count()
+    assert pieces > 1
+    assert sorted(r.rn for r in plan.where(F.col("g") == "hot").collect()) == list(range(1, 1001))
+
+
 @pytest.mark.parametrize("vals", [[5.0], [1.0, 2.0], [3.0, 1.0, 2.0, 10.0], [2.5, 2.5, 2.5, 1.0, 9.0]])
 def test_global_median_interpolates(spark, vals):
     import statistics
