@@ -20,6 +20,9 @@ from __future__ import annotations
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..plans.ranking import keyed_row_number
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
@@ -154,6 +157,29 @@ SPARK_OVERRIDES = {
         "from {part} lateral view explode(sequence(0, 3)) ks as k"),
 }
 
+# Per-key sequence numbers of the blocks.  DuckDB runs the ``row_number()``
+# text as written; Spark replaces it with the key and order columns it names
+# and numbers the rows with ``plans.ranking.keyed_row_number``, so a part with a
+# third of all receipts (or an order line with many components) is spread over
+# many tasks instead of being sorted in one.
+# (block, output column, value added to the row number, key exprs, order exprs)
+SPARK_SEQUENCES = (
+    ("SOP30300", "CMPNTSEQ", -1, ("l_orderkey", "l_returnflag = 'R'", "l_linenumber"),
+     ("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate")),
+    ("IV10200", "RCTSEQNM", 0, ("l_partkey",),
+     ("l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax")),
+)
+
+
+def _sequence_sql(text: str, column: str, adjust: int, keys, order) -> str:
+    """The block with its ``row_number()`` column replaced by helper key/order columns."""
+    window = f"cast(row_number() over (partition by {', '.join(keys)}"
+    start = text.index(window)
+    end = text.index(f" as {column},", start) + len(f" as {column},")
+    helpers = [f"{k} as _sk{i}" for i, k in enumerate(keys)] + [f"{o} as _so{i}" for i, o in enumerate(order)]
+    return text[:start] + ", ".join(helpers) + "," + text[end:]
+
+
 # Order in which the blocks are emitted as CTEs for the DuckDB oracle.
 SOURCE_ORDER = ("RM00303", "RM00301", "RM00201", "RM00101", "IV00101", "SOP30300", "SOP30200",
                 "MC00100", "IV40700", "IV00102", "IV10200", "IV30300", "RM20101")
@@ -188,7 +214,18 @@ class Sources:
                 frames["seq"] = self.spark.range(SEQ_ROWS).withColumnRenamed("id", "i")
                 text = SPARK_OVERRIDES.get(source, SOURCE_SQL[source])
                 used = {k: v for k, v in frames.items() if "{" + k + "}" in text}
-                self._frames[source] = self.spark.sql(text, **used)
+                seq = [s for s in SPARK_SEQUENCES if s[0] == source]
+                if not seq:
+                    self._frames[source] = self.spark.sql(text, **used)
+                else:
+                    _, column, adjust, keys, order = seq[0]
+                    columns = self.spark.sql(text, **used).columns
+                    df = self.spark.sql(_sequence_sql(text, column, adjust, keys, order), **used)
+                    df = keyed_row_number(df, [f"_sk{i}" for i in range(len(keys))],
+                                          [F.col(f"_so{i}").asc() for i in range(len(order))], "_seq")
+                    self._frames[source] = df.select(
+                        *[(F.col("_seq") + adjust).cast("int").alias(c) if c == column else F.col(c)
+                          for c in columns])
             return self._frames[source]
 
 
