@@ -412,3 +412,21 @@ def test_served_mart_gives_same_results(spark, tmp_path):
     a = sorted(map(tuple, sales.sales_trend(live.fact_usd).collect()))
     b = sorted(map(tuple, sales.sales_trend(served.fact_usd).collect()))
     assert a == b
+
+
+def test_fact_sales_conserves_staged_lines(spark):
+    """Σ fact = Σ staging: the dimension lookups neither drop nor multiply lines."""
+    from martspark.mart import Mart
+    from martspark.operators import facts
+    m = Mart(spark, "/root/testdata/sf0.001")
+    fact = facts.fact_sales(m.sales_lines_enriched, m.dim_customer, m.dim_product, m.dim_salesperson,
+                            m.dim_territory)
+    valid = (m.stg_sales_headers.where((F.col("is_voided") == 0) & F.col("sop_type").isin(3, 4))
+             .select("invoice_number", "sop_type").distinct())
+    lines = m.stg_sales_lines.join(valid, ["invoice_number", "sop_type"], "left_semi")
+    sign = F.when(F.col("sop_type") == 4, F.lit(-1)).otherwise(F.lit(1))
+    exp = lines.agg(F.count(F.lit(1)), F.sum(sign * F.col("extended_price")), F.sum(sign * F.col("quantity"))).first()
+    got = fact.agg(F.count(F.lit(1)), F.sum("extended_price"), F.sum("quantity")).first()
+    assert exp[0] > 0
+    assert tuple(got) == tuple(exp)
+    assert fact.select("sales_fact_sk").distinct().count() == got[0]
