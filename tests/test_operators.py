@@ -430,3 +430,33 @@ def test_fact_sales_conserves_staged_lines(spark):
     assert exp[0] > 0
     assert tuple(got) == tuple(exp)
     assert fact.select("sales_fact_sk").distinct().count() == got[0]
+
+
+def test_scd2_from_changes_hot_customer_against_loop(spark):
+    """One customer with a long change history (repeated states collapse) plus small ones."""
+    from martspark.mart import Mart
+    base = Mart(spark, "/root/testdata/sf0.001").stg_customers.select(*scd2.SNAPSHOT_COLS)
+    proto = base.first().asDict()
+    schema = base.schema.add("change_ts", "timestamp")
+    t0 = dt.datetime(2020, 1, 1)
+    rows = []
+    for i in range(300):  # class changes every third observation
+        rows.append({**proto, "customer_id": "HOT", "customer_class_id": f"K{i // 3 % 4}",
+                     "change_ts": t0 + dt.timedelta(days=i)})
+    for c in range(20):
+        for i in range(2):
+            rows.append({**proto, "customer_id": f"C{c:02d}", "customer_class_id": f"K{(c * i) % 2}",
+                         "change_ts": t0 + dt.timedelta(days=c + 10 * i)})
+    changes = spark.createDataFrame([tuple(r[f.name] for f in schema) for r in rows], schema)
+    got = sorted((r.customer_id, r.valid_from, r.valid_to, r.is_current, r.customer_class_id)
+                 for r in scd2.scd2_from_changes(changes).collect())
+    exp = []
+    for cid in sorted({r["customer_id"] for r in rows}):
+        hist = sorted((r for r in rows if r["customer_id"] == cid), key=lambda r: r["change_ts"])
+        kept = [r for k, r in enumerate(hist)
+                if k == 0 or tuple(r[c] for c in scd2.CHECK_COLS) != tuple(hist[k - 1][c] for c in scd2.CHECK_COLS)]
+        for k, r in enumerate(kept):
+            nxt = kept[k + 1]["change_ts"] if k + 1 < len(kept) else dt.datetime(9999, 12, 31, 23, 59, 59)
+            exp.append((cid, r["change_ts"], nxt, k + 1 == len(kept), r["customer_class_id"]))
+    assert len([e for e in exp if e[0] == "HOT"]) == 100
+    assert got == sorted(exp)
