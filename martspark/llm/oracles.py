@@ -28,3 +28,63 @@ select d.doc_id, len(d.w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hi
        coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(d.w) as contaminated
 from d left join words using (doc_id) left join items using (doc_id)
 """
+
+
+# words are runs of anything but the six ASCII white-space characters
+_WORD = r"[^\x20\x09-\x0D]+"
+
+
+def _mixing(block: int = 256, shards: int = 64, seed: int = 17, rounds: int = 24) -> str:
+    def h52(text: str) -> str:
+        return f"('0x' || substr(md5({text}), 1, 13))::bigint"
+
+    return f"""
+with recursive sizes as materialized (
+  select doc_id, source, coalesce(len(regexp_extract_all(text, '{_WORD}')), 0)::bigint as size from documents),
+by_source as (select source, sum(size)::bigint as source_size from sizes group by source),
+numbered as (select *, row_number() over (order by source nulls last) - 1 as src from by_source),
+weighed as (select *, (src % 3 + 1)::double as w, 3.0 * source_size::double as cap,
+                   (sum(source_size) over ())::double as total from numbered),
+levels as (select *, row_number() over o as rank,
+                  (total - coalesce(sum(cap) over (o rows between unbounded preceding and 1 preceding), 0))
+                  / sum(w) over (o rows between current row and unbounded following) as level
+           from weighed window o as (order by cap / w, src)),
+picked as (select min(rank) as first from levels where level * w <= cap),
+targets as materialized (
+  select source, src, source_size,
+         case when rank < first then cap else least((select level from levels, picked where rank = first) * w, cap)
+         end as target from levels, picked),
+plan as materialized (
+  select *, passes * blocks + ceil(rest / {block}::double)::bigint as slots,
+         case when rest > 0 then rest - (ceil(rest / {block}::double)::bigint - 1) * {block} end as last_words
+  from (select *, ceil(source_size / {block}::double)::bigint as blocks, floor(target / source_size)::bigint as passes,
+               round(target - floor(target / source_size) * source_size)::bigint as rest
+        from targets where source_size > 0)),
+slots as (select src, blocks, slots, last_words, unnest(range(slots)) as g from plan),
+perm(src, g, blocks, slots, last_words, r, x) as (
+  select src, g, blocks, slots, last_words, 0, g % blocks from slots
+  union all
+  select src, g, blocks, slots, last_words, r + 1,
+         case when substr(md5(concat_ws(':', '{seed}', src, g // blocks, r + 1, greatest(x, partner))), 1, 1) >= '8'
+              then partner else x end
+  from (select *, ((({h52(f"concat_ws(':', '{seed}', src, g // blocks, r + 1)")} - x) % blocks) + blocks) % blocks
+               as partner from perm where r < {rounds})),
+taken as (select src, x as block, count(*) filter (last_words is null or g < slots - 1) as whole,
+                 max(case when g = slots - 1 then last_words end) as part
+          from perm where r = {rounds} group by src, x),
+laid as materialized (
+  select s.doc_id, s.size, t.src, t.source_size, t.target, row_number() over () as row_id,
+         coalesce(sum(s.size) over (partition by t.src order by
+           {h52("coalesce(s.doc_id::varchar, '')")} % (select ceil(sqrt(count(*)))::bigint from sizes), s.doc_id, s.size
+           rows between unbounded preceding and 1 preceding), 0)::bigint as pos
+  from sizes s join targets t on s.source is not distinct from t.source),
+pieces as (select row_id, src, pos, size, unnest(range(pos // {block}, (pos + size - 1) // {block} + 1)) as block
+           from laid where size > 0),
+sums as (select row_id, sum(coalesce(whole, 0) * (e - b) + greatest(least(e, coalesce(part, 0)) - b, 0)) as taken
+         from (select *, greatest(pos - block * {block}, 0) as b, least(pos + size - block * {block}, {block}) as e
+               from pieces) p left join taken using (src, block) group by row_id)
+select doc_id, size, source_size, target, coalesce(taken, 0)::bigint as taken from laid left join sums using (row_id)
+"""
+
+
+ORACLES["op1_mixing"] = _mixing()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, licenses, secrets, token_counts
+from . import decontaminate, licenses, mixing, quality, secrets, token_counts
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,12 @@ def query(fn: QueryFn) -> QueryFn:
     return fn
 
 
+@query
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes from every document."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document and of each of its lines."""
@@ -40,3 +46,9 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and template notices in every document."""
     return licenses.license_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and verdict of every document."""
+    return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
