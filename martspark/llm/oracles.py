@@ -88,3 +88,27 @@ select doc_id, size, source_size, target, coalesce(taken, 0)::bigint as taken fr
 
 
 ORACLES["op1_mixing"] = _mixing()
+
+# page lines without surrounding ASCII white space; the site is the source
+_TRIM = r"trim(line, e' \t\n\x0b\x0c\r')"
+ORACLES["op5_lines"] = f"""
+with rows as materialized (select row_number() over () as rid, doc_id, source, text from documents),
+cut as (select rid, source, string_split(text, chr(10)) as parts from rows where text is not null),
+l as materialized (select rid, source, pos, parts[pos] as line from
+                   (select rid, source, parts, unnest(range(1, len(parts) + 1)) as pos from cut)),
+t as materialized (select *, {_TRIM} as t from l),
+pages as (select source, min(rid) as rid from rows where text is not null group by source, text),
+counts as (select t.source, t, count(distinct rid) as pages from t join pages using (rid) where t <> ''
+           group by t.source, t),
+hosts as (select source, count(*) as host_pages from pages group by source),
+bad as (select counts.source as s, t as b from counts join hosts on counts.source is not distinct from hosts.source
+        where pages >= 5 and pages > 0.1 * host_pages),
+marked as (select t.*, b is not null as dropped
+           from t left join bad on t.source is not distinct from s and t.t = b),
+sums as (select rid, count(*) filter (t <> '') as n_lines, count(*) filter (dropped) as n_dropped,
+                coalesce(string_agg(line, chr(10) order by pos) filter (not dropped), '') as kept
+         from marked group by rid)
+select doc_id, coalesce(n_lines, 0)::bigint as n_lines, coalesce(n_dropped, 0)::bigint as n_dropped,
+       md5(case when text is not null then kept end) as text_md5
+from rows left join sums using (rid)
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, licenses, mixing, quality, secrets, token_counts
+from . import decontaminate, licenses, lines, mixing, quality, secrets, token_counts
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -52,3 +52,9 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and verdict of every document."""
     return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boilerplate lines of every document's source, and the text without them."""
+    return lines.line_report(table(spark, sf_dir, "documents"))
