@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, licenses, lines, mixing, quality, secrets, token_counts
+from . import decontaminate, jaccard, licenses, lines, mixing, quality, secrets, token_counts
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -58,3 +58,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boilerplate lines of every document's source, and the text without them."""
     return lines.line_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word shingle sets have a Jaccard similarity of 0.85 or more."""
+    return jaccard.link_components(table(spark, sf_dir, "documents"))
