@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard, licenses, lines, mixing, quality, secrets, token_counts
+from . import decontaminate, jaccard, licenses, lines, mixing, quality, secrets, token_counts, toxicity
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -64,3 +64,9 @@ def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 4-word shingle sets have a Jaccard similarity of 0.85 or more."""
     return jaccard.link_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from labels outside the held-out fifth."""
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
