@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard, licenses, lines, mixing, quality, secrets, token_counts, toxicity
+from . import decontaminate, jaccard, langid, licenses, lines, mixing, quality, secrets, token_counts, toxicity
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,12 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned outside the held-out quarter."""
+    return langid.language_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document and of each of its lines."""
