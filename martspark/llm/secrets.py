@@ -96,8 +96,11 @@ def secret_report(docs: DataFrame) -> DataFrame:
             ":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
     base = F.filter("findings", lambda s: s["kind"] < 3)
-    count = [F.size(F.filter("findings", lambda s, k=k: s["kind"] == k)).cast("long") for k in range(3)]
-    return found.select("doc_id", count[0].alias("n_assign"), count[1].alias("n_access"), count[2].alias("n_hex"),
+
+    def count(kind):
+        return F.size(F.filter("findings", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
                         F.sha2(text_of(base).cast("binary"), 256).alias("base_sha256"),
                         text_of(F.col("findings")).alias("spans"))
 
