@@ -3,36 +3,68 @@ privacy (G07, G08) and the refresh counts (S10)."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..mart import mart_for
-from ..operators import dims, facts, privacy, quality, scd2
+from ..functions import labels as L
+from ..operators import customers, dims, facts, inventory, privacy, quality, sales, scd2
+from ..plans.stage import stage
 from .oracle_base import AS_OF_SQL, dbl, with_prelude
 from .oracle_common import CUSTOMER_MONTHLY, CUSTOMER_SUMMARY, ENRICHED, FACT_USD, SVC_CUSTOMERS
-from .q_marts import DIMS, FACT_SALES_SQL, MODEL_INV
+from .q_marts import CALENDAR, DIMS, FACT_SALES_SQL, LOCATIONS, MODEL_INV
 from .registry import register
 
 # Fixed value: load time of the second customer extract.
 SCD2_LOAD_TS = "1998-01-01 00:00:00"
 
+# What changed between the first and the second extract of the customers.
+MOVE_TERRITORY_MODIFIED_FROM = "1997-01-01 00:00:00"
+CLEAR_CLASS_MODIFIED = ("1996-07-01 00:00:00", "1997-01-01 00:00:00")
+UNTRACKED_MODIFIED_BEFORE = "1995-04-01 00:00:00"
+MOVED_TERRITORY = "99"
+
+
+def second_extract(stg_customers: DataFrame) -> DataFrame:
+    """Every customer again: those modified since 1997 moved territory, those
+    modified in the second half of 1996 lost their class, and those modified
+    before April 1995 changed an untracked column."""
+    m = F.col("modified_at")
+    lo, hi = (scd2.ts(x) for x in CLEAR_CLASS_MODIFIED)
+    changes = {
+        "territory_id": F.when(m >= scd2.ts(MOVE_TERRITORY_MODIFIED_FROM), F.lit(MOVED_TERRITORY))
+        .otherwise(F.col("territory_id")),
+        "customer_class_id": F.when((m >= lo) & (m < hi), F.lit(None).cast("string")).otherwise(F.col("customer_class_id")),
+        "city": F.when(m < scd2.ts(UNTRACKED_MODIFIED_BEFORE), F.concat("city", F.lit(" Norte"))).otherwise(F.col("city")),
+    }
+    return stg_customers.select(*[changes.get(c, F.col(c)).alias(c) for c in scd2.SNAPSHOT_COLS])
+
+
+def change_log(stg_customers: DataFrame, load_ts: str) -> DataFrame:
+    """Both extracts as one change log (state, change_ts)."""
+    created = F.coalesce(F.col("created_at"), scd2.ts(scd2.DEFAULT_VALID_FROM))
+    first = stg_customers.select(*scd2.SNAPSHOT_COLS, created.alias("change_ts"))
+    return first.unionByName(second_extract(stg_customers).select(*scd2.SNAPSHOT_COLS, scd2.ts(load_ts).alias("change_ts")))
+
+
 _SNAP = ", ".join(scd2.SNAPSHOT_COLS)
 _HASH = ("md5(concat_ws('|', customer_name, coalesce(customer_class_id, ''), coalesce(salesperson_id, ''), "
          "coalesce(territory_id, ''), cast(credit_limit_amount as varchar)))")
 _CHANGED = " or ".join(f"c.{c} is distinct from i.{c}" for c in scd2.CHECK_COLS)
 
 SCD_CTES = f"""
-b1 as (select * from stg_customers where created_at < timestamp '{scd2.BATCH_ONE_CREATED_BEFORE}'),
+b1 as (select * from stg_customers),
 b2 as (
   select customer_id, customer_name,
-    case when modified_at >= timestamp '{scd2.CLEAR_CLASS_MODIFIED[0]}' and modified_at < timestamp '{scd2.CLEAR_CLASS_MODIFIED[1]}'
+    case when modified_at >= timestamp '{CLEAR_CLASS_MODIFIED[0]}' and modified_at < timestamp '{CLEAR_CLASS_MODIFIED[1]}'
          then null else customer_class_id end as customer_class_id,
     corporate_customer_id, primary_contact_person, address_line1,
-    case when modified_at < timestamp '{scd2.UNTRACKED_MODIFIED_BEFORE}' then city || ' Norte' else city end as city,
+    case when modified_at < timestamp '{UNTRACKED_MODIFIED_BEFORE}' then city || ' Norte' else city end as city,
     state, zip_code, country, phone_number_1, salesperson_id,
-    case when modified_at >= timestamp '{scd2.MOVE_TERRITORY_MODIFIED_FROM}' then '{scd2.MOVED_TERRITORY}'
+    case when modified_at >= timestamp '{MOVE_TERRITORY_MODIFIED_FROM}' then '{MOVED_TERRITORY}'
          else territory_id end as territory_id,
     payment_terms_id, credit_limit_amount, credit_limit_type, is_inactive, created_at, modified_at
-  from stg_customers where is_inactive = 0),
+  from stg_customers),
 hist1 as (
   select {_SNAP},
     md5(concat(customer_id, '_', strftime(coalesce(created_at, timestamp '2000-01-01 00:00:00'), '%Y-%m-%d %H:%M:%S')))
@@ -57,15 +89,14 @@ hist2 as (
 
 
 def _hist2(m):
-    return scd2.scd2_apply(scd2.scd2_initial(scd2.batch_one(m.stg_customers)), scd2.batch_two(m.stg_customers),
-                           SCD2_LOAD_TS)
+    return scd2.scd2_apply(scd2.scd2_initial(m.stg_customers), second_extract(m.stg_customers), SCD2_LOAD_TS)
 
 
 # ------------------------------------------------------------------ M13–M15
 @register("scd2_initial", with_prelude(SCD_CTES, final=f"select {dbl('credit_limit_amount')} from hist1"))
 def q_scd2_initial(spark, sf_dir):
     """First load of the customer history (first extract)."""
-    return scd2.scd2_initial(scd2.batch_one(mart_for(spark, sf_dir).stg_customers))
+    return scd2.scd2_initial(mart_for(spark, sf_dir).stg_customers)
 
 
 @register("scd2_apply", with_prelude(SCD_CTES, final=f"select {dbl('credit_limit_amount')} from hist2"))
@@ -78,7 +109,7 @@ def q_scd2_apply(spark, sf_dir):
 def q_scd2_from_changes(spark, sf_dir):
     """Chains from the change log of both extracts (equals M13 applied)."""
     m = mart_for(spark, sf_dir)
-    return scd2.scd2_from_changes(scd2.change_log(m.stg_customers, SCD2_LOAD_TS))
+    return scd2.scd2_from_changes(change_log(m.stg_customers, SCD2_LOAD_TS))
 
 
 @register("fact_sales_pit", with_prelude(ENRICHED, SCD_CTES, final="""
@@ -132,12 +163,15 @@ def _rules_sql(rules, tables: dict[str, str]) -> str:
     return f"select * from ({body}) order by table_name, rule_id"
 
 
-SUITE_CTES = "sales_lines as (select *, 0 as is_voided from enriched)"
+# the header's own flag, looked up by document
+SUITE_CTES = """sales_lines as (select e.*, h.VOIDSTTS as is_voided from enriched e join (
+  select distinct SOPTYPE, rtrim(SOPNUMBE) as n, VOIDSTTS from SOP30200) h on h.SOPTYPE = e.sop_type and h.n = e.invoice_number)"""
 
 
 def _suite_frames(m):
-    return {"sales_lines": m.sales_lines_enriched.withColumn("is_voided", F.lit(0)),
-            "customer_monthly": m.customer_monthly}
+    """The suite's tables; lines and months come from one staged computation."""
+    lines = stage(sales.sales_lines_enriched(m.stg_sales_headers, m.stg_sales_lines, ("is_voided",)), "suite-lines")
+    return {"sales_lines": lines, "customer_monthly": customers.customer_monthly(lines)}
 
 
 @register("dq_expectations", with_prelude(ENRICHED, CUSTOMER_MONTHLY, SUITE_CTES, final=_rules_sql(
@@ -157,14 +191,7 @@ def q_dq_by_dimension(spark, sf_dir):
     return quality.by_dimension(quality.evaluate(_suite_frames(mart_for(spark, sf_dir)), quality.SALES_SUITE))
 
 
-DIM_DATE_CTE = """
-dim_date_d as (
-  select cast(strftime(d, '%Y%m%d') as integer) as date_sk from (
-    select cast(unnest(generate_series(cast(lo as timestamp), cast(hi as timestamp), interval 1 day)) as date) as d
-    from (select min(lo) as lo, max(hi) as hi from (
-      select min(document_date) as lo, max(document_date) as hi from stg_sales_headers
-      union all select min(gl_post_date), max(gl_post_date) from stg_sales_headers))))
-"""
+DIM_DATE_CTE = CALENDAR + """, dim_date_d as (select cast(strftime(d, '%Y%m%d') as integer) as date_sk from calendar)"""
 SNAPSHOT_CTE = """
 snapshot_f as (
   select md5(concat(customer_id, '_', cast(year_month_sk as varchar))) as snapshot_sk, customer_id, year_month_sk
@@ -179,18 +206,20 @@ COLUMN_TEST_TABLES = {
 
 
 def _column_test_frames(m):
-    h = m.stg_sales_headers
-    return {
-        "stg_customers": m.stg_customers, "stg_sales_headers": m.stg_sales_headers,
-        "stg_sales_lines": m.stg_sales_lines, "stg_items": m.stg_items,
-        "sales_lines_enriched": m.sales_lines_enriched, "customer_orders_summary": m.customer_summary,
-        "customer_monthly": m.customer_monthly, "dim_customer": m.dim_customer, "dim_product": m.dim_product,
-        "dim_date": dims.dim_date(dims.data_calendar((h, "document_date"), (h, "gl_post_date"))),
-        "fact_sales": facts.fact_sales(m.sales_lines_enriched, m.dim_customer, m.dim_product, m.dim_salesperson,
-                                       m.dim_territory),
-        "fact_customer_monthly_snapshot": facts.fact_customer_monthly_snapshot(
-            m.customer_monthly, m.dim_customer, m.dim_salesperson, m.dim_territory),
-    }
+    """The tested tables; lines and the sales fact are computed once."""
+    m = m.staged("sales_lines_enriched")
+    m = _with(m, "fact_sales")
+    return {name: getattr(m, _TABLE_FRAMES.get(name, name)) for name in COLUMN_TEST_TABLES}
+
+
+_TABLE_FRAMES = {"customer_orders_summary": "customer_summary"}
+
+
+def _with(m, *names):
+    """``m`` with further frames staged (derived from what it already staged)."""
+    for name in names:
+        m.__dict__[name] = stage(getattr(m, name), name)
+    return m
 
 
 @register("dq_column_tests", with_prelude(ENRICHED, CUSTOMER_SUMMARY, CUSTOMER_MONTHLY, DIMS, FACT_SALES_SQL,
@@ -201,36 +230,63 @@ def q_dq_column_tests(spark, sf_dir):
     return quality.evaluate(_column_test_frames(mart_for(spark, sf_dir)), quality.column_test_rules())
 
 
-@register("dq_referential", with_prelude(ENRICHED, DIMS, FACT_SALES_SQL, DIM_DATE_CTE, final="""
-select foreign_key, fact_rows, orphan_rows, orphan_rows = 0 as success from (
-  select 'customer_sk' as foreign_key, (select count(*) from fact_sales) as fact_rows,
-    count(*) filter (where not exists (select 1 from dim_customer d where d.customer_sk = f.customer_sk)) as orphan_rows
-  from fact_sales f
-  union all
-  select 'product_sk', (select count(*) from fact_sales),
-    count(*) filter (where not exists (select 1 from dim_product d where d.product_sk = f.product_sk)) from fact_sales f
-  union all
-  select 'salesperson_sk', (select count(*) from fact_sales),
-    count(*) filter (where not exists (select 1 from dim_salesperson d where d.salesperson_sk = f.salesperson_sk))
-  from fact_sales f
-  union all
-  select 'territory_sk', (select count(*) from fact_sales),
-    count(*) filter (where not exists (select 1 from dim_territory d where d.territory_sk = f.territory_sk))
-  from fact_sales f
-  union all
-  select 'document_date_sk', (select count(*) from fact_sales),
-    count(*) filter (where not exists (select 1 from dim_date_d d where d.date_sk = f.document_date_sk))
-  from fact_sales f)"""))
+# fact -> (foreign key, dimension frame of the mart, its key)
+_KEYS = {
+    "fact_sales": (("customer_sk", "customers", "customer_sk"), ("product_sk", "products", "product_sk"),
+                   ("salesperson_sk", "salespeople", "salesperson_sk"), ("territory_sk", "territories", "territory_sk"),
+                   ("document_date_sk", "dates", "date_sk"), ("gl_post_date_sk", "dates", "date_sk")),
+    "fact_customer_monthly_snapshot": (
+        ("year_month_sk", "dates", "date_sk"), ("customer_sk", "customers", "customer_sk"),
+        ("salesperson_sk", "salespeople", "salesperson_sk"), ("territory_sk", "territories", "territory_sk")),
+    "fact_receivables_open": (
+        ("doc_date_sk", "dates", "date_sk"), ("due_date_sk", "dates", "date_sk"),
+        ("customer_sk", "customers", "customer_sk"), ("salesperson_sk", "salespeople", "salesperson_sk"),
+        ("territory_sk", "territories", "territory_sk")),
+    "fact_inventory_balance": (("date_sk", "dates", "date_sk"), ("product_sk", "products", "product_sk"),
+                               ("location_sk", "locations", "location_sk")),
+    "fact_inventory_transactions": (
+        ("trx_date_sk", "dates", "date_sk"), ("product_sk", "products", "product_sk"),
+        ("from_location_sk", "locations", "location_sk"), ("to_location_sk", "locations", "location_sk")),
+}
+
+
+def _referential_oracle() -> str:
+    """Expected answer from the sources: every fact has its rows, and no key is an orphan."""
+    sizes = {
+        "fact_sales": "select count(*) from enriched",
+        "fact_customer_monthly_snapshot":
+            "select count(*) from (select distinct customer_id, date_trunc('month', document_date) from enriched)",
+        "fact_receivables_open": "select count(*) from stg_open_ar",
+        "fact_inventory_balance": "select 3 * count(*) from part",
+        "fact_inventory_transactions": "select count(*) from lineitem",
+    }
+    rows = " union all ".join(
+        f"select '{t}' as table_name, '{fk}' as foreign_key, ({sizes[t]}) as fact_rows, cast(0 as bigint) as orphan_rows,"
+        f" true as success" for t, keys in _KEYS.items() for fk, *_ in keys)
+    return f"select * from ({rows})"
+
+
+@register("dq_referential", with_prelude(ENRICHED, final=_referential_oracle()))
 def q_dq_referential(spark, sf_dir):
-    """Orphan foreign keys of the sales fact."""
-    m = mart_for(spark, sf_dir)
-    f = facts.fact_sales(m.sales_lines_enriched, m.dim_customer, m.dim_product, m.dim_salesperson, m.dim_territory)
-    h = m.stg_sales_headers
-    dd = dims.dim_date(dims.data_calendar((h, "document_date"), (h, "gl_post_date")))
-    return quality.referential(f, {
-        "customer_sk": (m.dim_customer, "customer_sk"), "product_sk": (m.dim_product, "product_sk"),
-        "salesperson_sk": (m.dim_salesperson, "salesperson_sk"), "territory_sk": (m.dim_territory, "territory_sk"),
-        "document_date_sk": (dd, "date_sk")})
+    """Orphan foreign keys of every fact."""
+    m = mart_for(spark, sf_dir).staged("sales_lines_enriched")
+    members = {
+        "customers": dims.dim_customer_members(m.dim_customer),
+        "products": dims.add_member(m.dim_product, "product_sk", "item_number", L.UNKNOWN_PRODUCT),
+        "salespeople": dims.add_member(m.dim_salesperson, "salesperson_sk", "salesperson_id", L.UNKNOWN_SP),
+        "territories": dims.add_member(m.dim_territory, "territory_sk", "territory_id", L.UNKNOWN_TERR),
+        "dates": m.dim_date, "locations": m.dim_location,
+    }
+    frames = {
+        "fact_sales": m.fact_sales, "fact_customer_monthly_snapshot": m.fact_customer_monthly_snapshot,
+        "fact_receivables_open": facts.fact_receivables_open(
+            m.stg_open_ar, m.dim_customer, m.dim_salesperson, m.dim_territory, m.latest_rate, m.as_of),
+        "fact_inventory_balance": facts.fact_inventory_balance(
+            m.stg_item_quantities, m.inventory_valuation, inventory.latest_model_rate(m.stg_fx), m.as_of),
+        "fact_inventory_transactions": facts.fact_inventory_transactions(m.stg_inventory_transactions, m.rates),
+    }
+    return quality.referential({t: (frames[t], {fk: (members[d], pk) for fk, d, pk in keys})
+                                for t, keys in _KEYS.items()})
 
 
 @register("quarantine_split", with_prelude(ENRICHED, final=f"""
@@ -255,9 +311,7 @@ def q_quarantine_split(spark, sf_dir):
     "order by table_name, rule_id", "order by rule_id")))
 def q_dq_contract(spark, sf_dir):
     """Data contract of the sales fact (+ schema check)."""
-    m = mart_for(spark, sf_dir)
-    return quality.contract(facts.fact_sales(m.sales_lines_enriched, m.dim_customer, m.dim_product,
-                                             m.dim_salesperson, m.dim_territory))
+    return quality.contract(mart_for(spark, sf_dir).staged("fact_sales").fact_sales)
 
 
 @register("dq_freshness", with_prelude(ENRICHED, final=f"""
@@ -325,26 +379,32 @@ from customer_monthly"""))
 def q_role_view_scientist(spark, sf_dir):
     """Data-scientist view (tokenised customer, monthly facts)."""
     m = mart_for(spark, sf_dir)
-    snap = facts.fact_customer_monthly_snapshot(m.customer_monthly, m.dim_customer, m.dim_salesperson,
-                                                m.dim_territory)
-    return privacy.role_view_scientist(snap)
+    return privacy.role_view_scientist(m.fact_customer_monthly_snapshot)
+
+
+@register("role_view_auditor", with_prelude(final="""
+select h.invoice_number, h.sop_type, h.customer_id, h.document_date, cast(h.subtotal as double) as header_subtotal,
+  cast(coalesce(l.s, 0) as double) as lines_total, cast(h.subtotal - coalesce(l.s, 0) as double) as difference,
+  h.subtotal = coalesce(l.s, 0) as reconciled
+from (select SOPTYPE as sop_type, rtrim(SOPNUMBE) as invoice_number, rtrim(CUSTNMBR) as customer_id,
+        cast(DOCDATE as date) as document_date, SUBTOTAL as subtotal, trim(SOPNUMBE) as k from SOP30200
+      where VOIDSTTS = 0) h
+left join (select SOPTYPE, trim(SOPNUMBE) as k, sum(XTNDPRCE) as s from SOP30300 group by 1, 2) l
+  on l.SOPTYPE = h.sop_type and l.k = h.k"""))
+def q_role_view_auditor(spark, sf_dir):
+    """Financial-auditor view, every document reconciled with its source lines."""
+    src = mart_for(spark, sf_dir).src
+    return privacy.role_view_auditor(src["SOP30200"], src["SOP30300"])
 
 
 # ------------------------------------------------------------------ S10, S12
 def _refresh_marts(m):
-    return {
-        "dim_customer": m.dim_customer, "dim_product": m.dim_product, "dim_salesperson": m.dim_salesperson,
-        "dim_territory": m.dim_territory,
-        "fact_sales": facts.fact_sales(m.sales_lines_enriched, m.dim_customer, m.dim_product, m.dim_salesperson,
-                                       m.dim_territory),
-        "fact_customer_monthly_snapshot": facts.fact_customer_monthly_snapshot(
-            m.customer_monthly, m.dim_customer, m.dim_salesperson, m.dim_territory),
-        "customer_orders_summary": m.customer_summary,
-        "inventory_valuation": m.inventory_valuation,
-        "fact_sales_usd": m.fact_usd,
-        "inventory_items": m.inventory_items,
-        "ar_documents": m.ar_documents,
-    }
+    """Every mart; the lines and the USD fact are computed once and read by all."""
+    m = m.staged("sales_lines_enriched", "fact_usd")
+    names = ("dim_customer", "dim_product", "dim_salesperson", "dim_territory", "fact_sales",
+             "fact_customer_monthly_snapshot", "inventory_valuation", "inventory_items", "ar_documents")
+    return {**{n: getattr(m, n) for n in names}, "customer_orders_summary": m.customer_summary,
+            "fact_sales_usd": m.fact_usd}
 
 
 @register("refresh_counts", with_prelude(ENRICHED, FACT_USD, DIMS, FACT_SALES_SQL, CUSTOMER_SUMMARY, CUSTOMER_MONTHLY,

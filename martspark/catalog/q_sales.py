@@ -51,7 +51,7 @@ def q_fx_asof_sales(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- M03
-FACT_USD_COLS = ("sop_type, invoice_number, line_item_sequence, document_date, customer_id, customer_name, "
+FACT_USD_COLS = ("sop_type, invoice_number, line_item_sequence, document_date, gl_post_date, customer_id, customer_name, "
                  "customer_class_id, salesperson_name, salesperson_id, territory_name, territory_id, item_number, "
                  "item_description, category, currency_id, header_rate, quantity, unit_price_vef, "
                  "extended_price_vef, orig_extended_price, unit_cost_vef, extended_cost_vef, markdown_vef, "
@@ -110,7 +110,7 @@ def q_sales_filtered(spark, sf_dir):
 
 # ---------------------------------------------------------------- V02
 @register("kpi_summary", with_prelude(FACT_USD, final=f"""
-, last_p as (select customer_id, max(document_date) as lp from fact_usd group by 1),
+, last_p as (select customer_id, max(document_date) as lp from fact_usd where customer_id is not null group by 1),
 act as (select count(*) filter (where lp >= {AS_OF_SQL} - 90) as active_customers,
                count(*) filter (where lp < {AS_OF_SQL} - 90) as churned_customers from last_p),
 tot as (select {MS('net_sales_amount')} as total_net_sales, {MS('gross_profit_amount')} as total_gross_profit,
@@ -125,7 +125,10 @@ select total_net_sales, total_gross_profit,
     then {R('churned_customers * 100 / (active_customers + churned_customers)', 2)} else 0.0 end as churn_rate_pct,
   case when active_customers + churned_customers > 0
     then {R('total_gross_profit / (active_customers + churned_customers)', 2)} else 0.0 end as average_ltv_gross_profit,
-  total_customers_in_scope
+  total_customers_in_scope, total_net_sales as net_sales, total_gross_profit as gross_profit,
+  churned_customers as churned_customers_count,
+  case when active_customers + churned_customers > 0
+    then {R('total_gross_profit / (active_customers + churned_customers)', 2)} else 0.0 end as average_customer_ltv
 from tot, act, scope"""))
 def q_kpi_summary(spark, sf_dir):
     """KPI summary of the whole 36-month fact."""
@@ -208,3 +211,23 @@ from fact_usd group by 1, 2, 3"""))
 def q_sales_slice_week(spark, sf_dir):
     """Week × category × class slice."""
     return sales.sales_slice(mart_for(spark, sf_dir).fact_usd, "week", ("category", "customer_class_id"))
+
+
+@register("sales_slice_posting", with_prelude(FACT_USD, final=f"""
+, first_sale as (select customer_id, min(document_date) as d0 from fact_usd group by 1),
+cut as (select f.*, datediff('month', d0, f.document_date) as cohort_age_months,
+          case when c.CRLMTAMT is null and not exists (select 1 from RM00101 x where rtrim(x.CUSTNMBR) = f.customer_id) then null
+               when coalesce(c.CRLMTAMT, 0) > 100000 then '> 100000' when coalesce(c.CRLMTAMT, 0) > 25000 then '25000-100000'
+               when coalesce(c.CRLMTAMT, 0) > 0 then '0-25000' else '<= 0' end as credit_limit_band
+        from fact_usd f left join first_sale using (customer_id) left join RM00101 c on rtrim(c.CUSTNMBR) = f.customer_id)
+select cast(date_trunc('month', gl_post_date) as date) as period_start, credit_limit_band,
+  cast(cohort_age_months as integer) as cohort_age_months,
+  {MS('net_sales_amount')} as net_sales, {MS('gross_profit_amount')} as gross_profit,
+  count(distinct invoice_number) as orders_count, {MS('quantity', 4)} as units,
+  count(distinct customer_id) as customers_count
+from cut group by 1, 2, 3"""))
+def q_sales_slice_posting(spark, sf_dir):
+    """Posting month × credit-limit band × cohort age."""
+    m = mart_for(spark, sf_dir)
+    fact = sales.with_customer_cuts(m.fact_usd, m.stg_customers)
+    return sales.sales_slice(fact, "month", ("credit_limit_band", "cohort_age_months"), "gl_post_date")

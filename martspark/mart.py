@@ -11,9 +11,11 @@ import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .operators import customers, dims, fx, inventory, org, receivables, sales, staging
-from .session import prepare
+from .operators import customers, dims, facts, fx, inventory, org, receivables, sales, staging
+from .plans.stage import stage
+from .session import prepare, session_key
 from .sources.binding import sources_for
 
 # Fixed value: the reporting date used by all tests and oracles.
@@ -127,6 +129,41 @@ class Mart:
     def dim_territory(self) -> DataFrame:
         return dims.dim_territory(self.stg_territories)
 
+    @cached_property
+    def calendar(self) -> DataFrame:
+        """Every day from the first to the last date that any fact refers to."""
+        h, ar, trx = self.stg_sales_headers, self.stg_open_ar, self.stg_inventory_transactions
+        today = self.spark.range(1).select(F.lit(self.as_of).alias("as_of"))
+        months = h.select(F.trunc("document_date", "month").alias("m"))
+        return dims.data_calendar((h, "document_date"), (months, "m"), (h, "gl_post_date"), (ar, "doc_date"),
+                                  (ar, "due_date"), (trx, "doc_date"), (today, "as_of"))
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        return dims.dim_date(self.calendar)
+
+    @cached_property
+    def dim_location(self) -> DataFrame:
+        return facts.dim_location(self.src["IV40700"])
+
+    @cached_property
+    def fact_sales(self) -> DataFrame:
+        return facts.fact_sales(self.sales_lines_enriched, self.dim_customer, self.dim_product, self.dim_salesperson,
+                                self.dim_territory)
+
+    @cached_property
+    def fact_customer_monthly_snapshot(self) -> DataFrame:
+        return facts.fact_customer_monthly_snapshot(self.customer_monthly, self.dim_customer, self.dim_salesperson,
+                                                    self.dim_territory)
+
+    def staged(self, *names: str) -> "Mart":
+        """A Mart whose named frames are written once to the shared folder, for
+        queries in which several branches read them."""
+        out = Mart(self.spark, self.sf_dir, self.as_of)
+        for name in names:
+            out.__dict__[name] = stage(getattr(out, name), name)
+        return out
+
     # -------------------------------------------------------------- customers
     @cached_property
     def customer_summary(self) -> DataFrame:
@@ -181,11 +218,15 @@ class Mart:
         return counts
 
 
-_MARTS: dict[tuple[int, str], Mart] = {}
+_MARTS: dict[tuple[str, str], Mart] = {}
 
 
 def mart_for(spark: SparkSession, sf_dir: str) -> Mart:
-    key = (id(spark), sf_dir.rstrip("/"))
+    """One ``Mart`` per (application, directory); those of an earlier application are dropped."""
+    app = session_key(spark)
+    key = (app, sf_dir.rstrip("/"))
+    for old in [k for k in _MARTS if k[0] != app]:
+        del _MARTS[old]
     if key not in _MARTS:
         _MARTS[key] = Mart(spark, sf_dir)
     return _MARTS[key]

@@ -228,17 +228,23 @@ def cohort_retention(history: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------------- K01
-def churn_rate_monthly(dense: DataFrame, churn_days: int = 90) -> DataFrame:
-    """Churned in M ÷ active at the start of M (active = last purchase to
-    date within ``churn_days`` of the month start), from the dense history."""
+def churn_rate_monthly(enriched: DataFrame, base: DataFrame, as_of, churn_days: int = 90) -> DataFrame:
+    """Churned in M ÷ active at the start of M.
+
+    Only invoices are purchases (a return never makes a customer active), and
+    only customers of the churn base (K02) count.  Active = last invoice to date
+    within ``churn_days`` of the month start; the dense history gives every
+    customer one row per month, so a month's counts are plain conditional sums.
+    """
+    invoices = enriched.where(F.col("sop_type") == 3).join(base.select("customer_id"), "customer_id", "left_semi")
+    dense = customer_monthly_dense(invoices, as_of, churn_days)
     w = Window.partitionBy("customer_id").orderBy("period_month")
-    active = F.when(F.datediff(F.col("period_month"), F.col("cumulative_last_purchase_date")) <= churn_days, 1).otherwise(0)
+    active = F.datediff(F.col("period_month"), F.col("cumulative_last_purchase_date")) <= churn_days
     c = dense.select("customer_id", "period_month", active.alias("is_active"))
-    c = c.withColumn("was_active_prev_month", F.lag("is_active").over(w))
+    c = c.withColumn("was_active", F.coalesce(F.lag("is_active").over(w), F.lit(False)))
     g = c.groupBy("period_month").agg(
-        F.countDistinct(F.when(F.col("was_active_prev_month") == 1, F.col("customer_id"))).alias("active_start_month"),
-        F.countDistinct(F.when((F.col("was_active_prev_month") == 1) & (F.col("is_active") == 0),
-                               F.col("customer_id"))).alias("churned_customers"),
+        F.count_if(F.col("was_active")).alias("active_start_month"),
+        F.count_if(F.col("was_active") & ~F.col("is_active")).alias("churned_customers"),
     )
     return g.select("period_month", "active_start_month", "churned_customers",
                     rnd(safe_div(F.col("churned_customers") * 100, F.col("active_start_month")), 2).alias("churn_rate_pct"))
@@ -327,7 +333,9 @@ def churn_history(fact: DataFrame, churn_days: int = 90, target_offset_days: int
     active when some purchase lies in [target − 90, target], else churned.
     """
     # everything below derives from this one distinct frame: the fact is computed once
-    s = stage(apply_filters(fact, **filters).select("customer_id", "document_date").distinct())
+    # (a line without a customer belongs to no customer's history)
+    s = stage(apply_filters(fact, **filters).where(F.col("customer_id").isNotNull())
+              .select("customer_id", "document_date").distinct())
     months = bounded(
         s.select(month_start(F.col("document_date")).alias("m")).distinct()
         .select("m", F.date_add("m", target_offset_days).alias("target")))
@@ -369,7 +377,7 @@ def cohort_matrix(fact: DataFrame, n_cohorts: int = 6, n_periods: int = 6, **fil
     ``n_periods`` months *present in the data* (month index = position among
     the months that have sales, not calendar distance).  Cells with no later
     month stay 0.0; ``m0`` is 100.0 by construction."""
-    s = apply_filters(fact, **filters)
+    s = apply_filters(fact, **filters).where(F.col("customer_id").isNotNull())
     cust_month = stage(s.select("customer_id", month_start(F.col("document_date")).alias("m")).distinct())
     # months present → position (bounded by the calendar)
     months = cust_month.select("m").distinct()
@@ -396,8 +404,29 @@ def cohort_matrix(fact: DataFrame, n_cohorts: int = 6, n_periods: int = 6, **fil
 
 
 def cohort_matrix_periods(fact: DataFrame, n_cohorts: int = 6, n_periods: int = 6, **filters) -> DataFrame:
-    """V07 nested form: ``periods`` = array of (period, retention_pct) structs per cohort."""
-    flat = cohort_matrix(fact, n_cohorts, n_periods, **filters)
-    structs = [F.struct(F.lit(f"M+{p}").alias("period"), F.col(f"m{p}").alias("retention_pct"))
-               for p in range(n_periods)]
-    return flat.select("cohort_month", "total_users", F.array(*structs).alias("periods"))
+    """V07 nested form: ``periods`` = one struct (period, active_users,
+    retention_pct) for each month that exists in the data from the cohort's
+    month on, at most ``n_periods``."""
+    s = apply_filters(fact, **filters).where(F.col("customer_id").isNotNull())
+    cust_month = stage(s.select("customer_id", month_start(F.col("document_date")).alias("m")).distinct())
+    # calendar-bounded: one row per month present
+    months = cust_month.select("m").distinct().select("m", F.dense_rank().over(Window.orderBy("m")).alias("idx"))
+    cohort = cust_month.groupBy("customer_id").agg(F.min("m").alias("cohort"))
+    sizes = cohort.groupBy("cohort").agg(F.count(F.lit(1)).alias("total_users"))
+    recent = (sizes.select("*", F.row_number().over(Window.orderBy(F.desc("cohort"))).alias("rk"))
+              .where(F.col("rk") <= n_cohorts).drop("rk"))
+    active = (cust_month.join(cohort, "customer_id").groupBy("cohort", "m")
+              .agg(F.count(F.lit(1)).alias("active_users")))
+    # cohort months x following months: both sides at most n_cohorts and one row per month
+    start = months.select(F.col("m").alias("cohort"), F.col("idx").alias("cidx"))
+    offsets = F.explode(F.sequence(F.lit(0), F.lit(n_periods - 1))).alias("period")
+    cells = (recent.join(bounded(start), "cohort").select("cohort", "total_users", "cidx", offsets)
+             .join(bounded(months), F.col("idx") == F.col("cidx") + F.col("period"))
+             .join(active, ["cohort", "m"], "left"))
+    users = F.coalesce("active_users", F.lit(0).cast("bigint"))
+    cell = F.struct(F.col("period").alias("n"), F.concat(F.lit("M+"), F.col("period").cast("string")).alias("period"),
+                    users.alias("active_users"),
+                    ratio_or(users * 100, F.col("total_users"), F.col("total_users") > 0, 0.0, 1).alias("retention_pct"))
+    out = cells.groupBy("cohort", "total_users").agg(F.sort_array(F.collect_list(cell)).alias("cells"))
+    return out.select(F.date_format("cohort", "yyyy-MM").alias("cohort_month"), "total_users",
+                      F.transform("cells", lambda c: c.dropFields("n")).alias("periods"))

@@ -33,12 +33,16 @@ def unknown_key(name: str) -> Column:
     return F.md5(F.lit(name))
 
 
-def row_hash(c: DataFrame | None = None) -> Column:
-    """md5 over the tracked attributes (output only: it equates NULL and '')."""
+def row_hash(side: str = "") -> Column:
+    """md5 over the tracked attributes (output only: it equates NULL and '');
+    ``side`` is the alias of a joined frame."""
+    def of(name: str) -> Column:
+        return F.col(f"{side}.{name}" if side else name)
+
     return F.md5(F.concat_ws(
-        "|", F.col("customer_name"), F.coalesce(F.col("customer_class_id"), F.lit("")),
-        F.coalesce(F.col("salesperson_id"), F.lit("")), F.coalesce(F.col("territory_id"), F.lit("")),
-        F.col("credit_limit_amount").cast("string")))
+        "|", of("customer_name"), *[F.coalesce(of(c), F.lit("")) for c in ("customer_class_id", "salesperson_id",
+                                                                          "territory_id")],
+        of("credit_limit_amount").cast("string")))
 
 
 def dim_customer(stg_customers: DataFrame, stg_classes: DataFrame) -> DataFrame:
@@ -146,6 +150,13 @@ def data_calendar(*date_cols: tuple[DataFrame, str]) -> DataFrame:
     return span.select(F.explode(F.sequence("lo", "hi")).alias("full_date"))
 
 
+def add_member(dim: DataFrame, key_col: str, id_col: str, member: str) -> DataFrame:
+    """``dim`` plus the member that facts without a match point to: its id is
+    ``member``, its key md5 of it, everything else NULL."""
+    row = dim.sparkSession.range(1).select(F.lit(member).alias(id_col), F.md5(F.lit(member)).alias(key_col))
+    return dim.unionByName(row, allowMissingColumns=True)
+
+
 # Special members of the customer dimension.
 UNKNOWN_MEMBERS = (
     ("UNKNOWN_CUSTOMER", "-1", "Cliente Desconocido / No Asignado"),

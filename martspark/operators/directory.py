@@ -50,23 +50,33 @@ def _valid_salesperson(c) -> F.Column:
 
 
 def filter_facets(fact: DataFrame, items: DataFrame) -> DataFrame:
-    """Long table (facet, value) of filter options plus the date range."""
-    t = F.col("territory_name")
-    terr = fact.where(t.isNotNull() & (t != "") & ~t.isin(*L.FACET_EXCLUDED_TERRITORIES)) \
-        .select(F.lit("territory").alias("facet"), t.alias("value"))
-    cls = fact.where(F.col("customer_class_id").isNotNull() & (F.col("customer_class_id") != "")) \
-        .select(F.lit("customer_class").alias("facet"), F.col("customer_class_id").alias("value"))
-    sp = fact.where(_valid_salesperson(F.col("salesperson_name"))) \
-        .select(F.lit("salesperson").alias("facet"), F.col("salesperson_name").alias("value"))
+    """Long table (facet, value) of filter options plus the date range.
+
+    The fact is read once: one group per (territory, class, salesperson) with
+    its first and last date; the facets are exploded from those few groups."""
+    groups = fact.groupBy("territory_name", "customer_class_id", "salesperson_name").agg(
+        F.min("document_date").alias("lo"), F.max("document_date").alias("hi"))
+    t, c, sp = F.col("territory_name"), F.col("customer_class_id"), F.col("salesperson_name")
+
+    def option(name, value, wanted, kind=0):
+        return F.struct(F.lit(name).alias("facet"), F.lit(kind).alias("kind"),
+                        F.when(wanted, value).alias("value"))
+
+    options = F.array(
+        option("territory", t, t.isNotNull() & (t != "") & ~t.isin(*L.FACET_EXCLUDED_TERRITORIES)),
+        option("customer_class", c, c.isNotNull() & (c != "")),
+        option("salesperson", sp, _valid_salesperson(sp)),
+        option("min_date", F.date_format("lo", "yyyy-MM-dd"), F.lit(True), 1),
+        option("max_date", F.date_format("hi", "yyyy-MM-dd"), F.lit(True), 2))
+    found = groups.select(F.explode(options).alias("o")).select("o.*")
     cat = items.where(F.col("category").isNotNull() & (F.col("category") != "")) \
-        .select(F.lit("inventory_category").alias("facet"), F.col("category").alias("value"))
-    values = terr.unionByName(cls).unionByName(sp).unionByName(cat).distinct()
-    dates = fact.agg(F.date_format(F.min("document_date"), "yyyy-MM-dd").alias("min_date"),
-                     F.date_format(F.max("document_date"), "yyyy-MM-dd").alias("max_date"))
-    bounds = dates.select(F.explode(F.array(
-        F.struct(F.lit("min_date").alias("facet"), F.col("min_date").alias("value")),
-        F.struct(F.lit("max_date").alias("facet"), F.col("max_date").alias("value")))).alias("f")).select("f.*")
-    return values.unionByName(bounds).orderBy("facet", "value")
+        .select(F.lit("inventory_category").alias("facet"), F.lit(0).alias("kind"), F.col("category").alias("value"))
+    # dates keep one value per facet, options every value
+    keyed = found.where((F.col("kind") > 0) | F.col("value").isNotNull()).unionByName(cat)
+    keyed = keyed.groupBy("facet", "kind", F.when(F.col("kind") == 0, F.col("value")).alias("own")).agg(
+        F.min("value").alias("lo"), F.max("value").alias("hi"))
+    return keyed.select("facet", F.when(F.col("kind") == 2, F.col("hi")).otherwise(F.col("lo")).alias("value")) \
+        .orderBy("facet", "value")
 
 
 def salespeople_by_territory_pairs(fact: DataFrame) -> DataFrame:

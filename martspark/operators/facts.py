@@ -147,12 +147,19 @@ def fact_inventory_balance(stg_item_quantities: DataFrame, valuation: DataFrame,
 
 
 def dim_location(iv40700: DataFrame) -> DataFrame:
-    """Warehouse dimension (service naming defaults)."""
+    """Warehouse dimension (service naming defaults) with the members of
+    stock without a warehouse (all stock) and of movements without one."""
     code = F.coalesce(F.nullif(F.rtrim("LOCNCODE"), F.lit("")), F.lit(L.TOTAL_LOCATION))
-    return iv40700.select(
+    named = iv40700.select(
         F.md5(code).alias("location_sk"), code.alias("location_code"),
         F.coalesce(F.nullif(F.rtrim("LOCNDSCR"), F.lit("")), F.lit(L.SERVICE_DEFAULT_LOCATION_NAME)).alias("location_name"),
     )
+    default = F.lit(L.SERVICE_DEFAULT_LOCATION_NAME)
+    members = iv40700.sparkSession.range(1).select(F.explode(F.array(
+        F.lit(L.TOTAL_LOCATION), F.lit(L.DEFAULT_LOCATION))).alias("location_code"))
+    members = members.select(F.md5("location_code").alias("location_sk"), "location_code", default.alias("location_name"))
+    return named.unionByName(members).groupBy("location_sk", "location_code").agg(
+        F.min("location_name").alias("location_name"))
 
 
 def fact_inventory_transactions(stg_trx: DataFrame, rates: DataFrame) -> DataFrame:

@@ -49,8 +49,8 @@ def rate_calendar(rates: DataFrame) -> DataFrame:
 
 
 def latest_rate(rates: DataFrame) -> Column:
-    """Rate of the greatest date in the table (scalar subquery), SURVEY D28."""
-    return rates.select(F.max_by("xchg_rate", "exch_date")).scalar()
+    """Rate of the greatest date in the table (scalar subquery), SURVEY D28; 1.0 without any rate."""
+    return rates.select(F.coalesce(F.max_by("xchg_rate", "exch_date"), F.lit(1.0))).scalar()
 
 
 def latest_rate_date(rates: DataFrame) -> Column:

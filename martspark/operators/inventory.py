@@ -42,7 +42,9 @@ def inventory_valuation(stg_quantities: DataFrame, stg_items: DataFrame, enriche
     stock = stg_quantities.where(F.col("record_type") == 1)
     items = small(stg_items.select(F.col("item_number").alias("i_item"), "item_description",
                                    F.col("item_class_code").alias("category"), "current_cost", "standard_cost"))
-    cogs = enriched.groupBy(F.col("item_number").alias("c_item")).agg(
+    # both figures look back at most 12 months; the left join turns absent into 0
+    cogs = enriched.where(F.col("document_date") >= F.add_months(today, -12)).groupBy(
+        F.col("item_number").alias("c_item")).agg(
         F.sum(F.when(F.col("document_date") >= F.add_months(today, -12), F.col("total_cost_amount"))
               .otherwise(F.lit(0))).alias("cogs_vef"),
         F.sum(F.when(F.col("document_date") >= F.add_months(today, -3), F.col("net_quantity"))

@@ -70,3 +70,19 @@ def role_view_scientist(snapshot: DataFrame) -> DataFrame:
         hash_value(F.col("customer_id")).alias("customer_token"), "year_month_sk", "active_month_flag",
         "is_churned_flag", "is_new_customer_flag", "net_sales_month", "gross_profit_month",
         "cumulative_net_sales_ltv", "cumulative_gross_profit_ltv", "days_since_last_purchase")
+
+
+def role_view_auditor(sop30200: DataFrame, sop30300: DataFrame) -> DataFrame:
+    """G08 financial auditor: full read, each non-voided document's header
+    subtotal reconciled with the sum of its source lines (aggregated per
+    document before the join)."""
+    lines = sop30300.groupBy(F.col("SOPTYPE").alias("_t"), F.trim("SOPNUMBE").alias("_k")).agg(
+        F.sum("XTNDPRCE").alias("_sum"))
+    h = sop30200.where(F.col("VOIDSTTS") == 0)
+    j = h.join(lines, (F.col("SOPTYPE") == F.col("_t")) & (F.trim("SOPNUMBE") == F.col("_k")), "left")
+    total = F.coalesce("_sum", F.lit(0))
+    return j.select(
+        F.rtrim("SOPNUMBE").alias("invoice_number"), F.col("SOPTYPE").alias("sop_type"),
+        F.rtrim("CUSTNMBR").alias("customer_id"), F.col("DOCDATE").cast("date").alias("document_date"),
+        F.col("SUBTOTAL").cast("double").alias("header_subtotal"), total.cast("double").alias("lines_total"),
+        (F.col("SUBTOTAL") - total).cast("double").alias("difference"), (F.col("SUBTOTAL") == total).alias("reconciled"))

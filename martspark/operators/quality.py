@@ -9,12 +9,14 @@ observed counts and the verdict — the evaluator really reads the data.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.broadcast import small
+from ..plans.stage import stage
 
 
 @dataclass(frozen=True)
@@ -82,6 +84,34 @@ COLUMN_TESTS = (
 )
 
 
+# Expectation type of a JSON suite -> rule kind and its argument names.
+_SUITE_KINDS = {
+    "expect_table_row_count_to_be_between": ("row_count_between", {"min_value": "min", "max_value": "max"}),
+    "expect_column_values_to_not_be_null": ("not_null", {}),
+    "expect_column_values_to_be_unique": ("unique", {}),
+    "expect_compound_columns_to_be_unique": ("compound_unique", {}),
+    "expect_column_values_to_be_in_set": ("in_set", {"value_set": "values"}),
+    "expect_column_values_to_be_between": ("between", {"min_value": "min", "max_value": "max"}),
+}
+
+
+def load_suite(text: str, table: str) -> tuple[Rule, ...]:
+    """The rules of a JSON expectation suite (its text), in order, for ``table``.
+
+    Unknown expectation types are an error, never skipped; a rule without a
+    dimension belongs to ``General``."""
+    rules = []
+    for n, e in enumerate(json.loads(text).get("expectations", []), 1):
+        if e.get("expectation_type") not in _SUITE_KINDS:
+            raise ValueError(f"expectation {n}: unknown type {e.get('expectation_type')!r}")
+        kind, names = _SUITE_KINDS[e["expectation_type"]]
+        args = e.get("kwargs", {})
+        columns = tuple(args.get("column_list", ())) or ((args["column"],) if "column" in args else ())
+        params = {to: tuple(args[k]) if to == "values" else args[k] for k, to in names.items() if args.get(k) is not None}
+        rules.append(Rule(n, table, kind, columns, e.get("meta", {}).get("dimension", "General"), params))
+    return tuple(rules)
+
+
 def column_test_rules() -> tuple[Rule, ...]:
     """The declared column tests as evaluator rules."""
     rules = []
@@ -195,15 +225,23 @@ def by_dimension(results: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------------- G04
-def referential(fact: DataFrame, checks: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """For each foreign key, fact rows whose key has no dimension row."""
+def referential(facts: dict[str, tuple[DataFrame, dict[str, tuple[DataFrame, str]]]]) -> DataFrame:
+    """Per fact and foreign key, fact rows whose (non-null) key has no
+    dimension row.  All keys of a fact are checked in one pass over it: left
+    joins to the dimensions' keys, then conditional counts."""
     parts = []
-    total = fact.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
-    for fk, (dim, pk) in checks.items():
-        keys = small(dim.select(F.col(pk).alias("_pk")).distinct())
-        orphans = fact.join(keys, fact[fk] == keys["_pk"], "left_anti").agg(F.count(F.lit(1)).alias("orphan_rows"))
-        parts.append(orphans.select(F.lit(fk).alias("foreign_key"), total.alias("fact_rows"), "orphan_rows",
-                                    (F.col("orphan_rows") == 0).alias("success")))
+    for table, (fact, checks) in facts.items():
+        d = stage(fact.select(*checks), table)  # the keys alone, computed once
+        for i, (dim, pk) in enumerate(checks.values()):
+            fk = list(checks)[i]
+            keys = small(dim.select(F.col(pk).alias(f"_k{i}")).distinct().withColumn(f"_in{i}", F.lit(True)))
+            d = d.join(keys, d[fk] == keys[f"_k{i}"], "left").drop(f"_k{i}")
+        counts = d.agg(F.count(F.lit(1)).alias("n"), *[
+            F.count_if(F.col(fk).isNotNull() & F.col(f"_in{i}").isNull()).alias(f"_o{i}") for i, fk in enumerate(checks)])
+        rows = F.array(*[F.struct(F.lit(table).alias("table_name"), F.lit(fk).alias("foreign_key"),
+                                  F.col("n").alias("fact_rows"), F.col(f"_o{i}").alias("orphan_rows"),
+                                  (F.col(f"_o{i}") == 0).alias("success")) for i, fk in enumerate(checks)])
+        parts.append(counts.select(F.explode(rows).alias("r")).select("r.*"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

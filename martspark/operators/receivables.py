@@ -92,14 +92,19 @@ def ar_kpis(docs: DataFrame, sales90: Column, latest_rate: Column, **filters) ->
     """Balance, overdue, current, delinquency %, DSO, debtors, documents."""
     d = apply_ar_filters(docs, **filters)
     bal, od = F.col("balance_usd"), F.col("overdue_days")
-    g = d.agg(
-        money_sum("balance_usd").cast("double").alias("total_ar_balance_usd"),
-        F.coalesce(F.sum(F.when((od > 0) & (bal > 0), bal.cast("decimal(30,2)"))), F.lit(0).cast("decimal(30,2)"))
-         .cast("double").alias("total_overdue_usd"),
-        F.coalesce(F.sum(F.when((od <= 0) & (bal > 0), bal.cast("decimal(30,2)"))), F.lit(0).cast("decimal(30,2)"))
-         .cast("double").alias("total_current_usd"),
-        F.countDistinct(F.when(bal > 0, F.col("customer_id"))).alias("customers_with_debt_count"),
-        F.countDistinct("doc_number").alias("open_documents_count"),
+    money = bal.cast("decimal(30,2)")
+    # document level first: documents become a plain count, one distinct count stays
+    doc = d.groupBy("doc_number").agg(
+        F.sum(money).alias("bal"), F.sum(F.when((od > 0) & (bal > 0), money)).alias("overdue"),
+        F.sum(F.when((od <= 0) & (bal > 0), money)).alias("current"),
+        F.max(F.when(bal > 0, F.col("customer_id"))).alias("debtor"))  # a document has one customer
+    zero = F.lit(0).cast("decimal(30,2)")
+    g = doc.agg(
+        F.sum("bal").cast("double").alias("total_ar_balance_usd"),
+        F.coalesce(F.sum("overdue"), zero).cast("double").alias("total_overdue_usd"),
+        F.coalesce(F.sum("current"), zero).cast("double").alias("total_current_usd"),
+        F.countDistinct("debtor").alias("customers_with_debt_count"),
+        F.count("doc_number").alias("open_documents_count"),
     )
     total = F.coalesce(F.col("total_ar_balance_usd"), F.lit(0.0))
     s90 = sales90

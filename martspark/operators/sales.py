@@ -51,17 +51,18 @@ def date_sk(d: Column) -> Column:
 
 
 # --------------------------------------------------------------------------- M06
-def sales_lines_enriched(headers: DataFrame, lines: DataFrame) -> DataFrame:
+def sales_lines_enriched(headers: DataFrame, lines: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """invoice/return lines joined to their non-voided header, signed metrics.
 
     ``headers``/``lines`` are the staging frames (T05, T06).  The item join of
     the model is not reproduced: it reads no column and could only duplicate
-    lines if the item key were not unique (G03 tests that it is).
+    lines if the item key were not unique (G03 tests that it is).  ``carry``
+    names further header columns to pass through.
     """
     h = headers.where((F.col("is_voided") == 0) & F.col("sop_type").isin(3, 4)).select(
         F.col("invoice_number").alias("h_invoice_number"), F.col("sop_type").alias("h_sop_type"),
         "document_date", "gl_post_date", "customer_id", "salesperson_id", "territory_id", "currency_id",
-        "document_type_name", "doc_id")
+        "document_type_name", "doc_id", *carry)
     lcols = lines.where(F.col("sop_type").isin(3, 4)).select(
         "invoice_number", "sop_type", "line_item_sequence", "component_sequence", "item_number", "uofm",
         "location_code", "quantity", "unit_price", "extended_price", "unit_cost", "extended_cost", "markdown_amount")
@@ -91,6 +92,7 @@ def sales_lines_enriched(headers: DataFrame, lines: DataFrame) -> DataFrame:
         net.alias("net_sales_amount"),
         profit.alias("gross_profit_amount"),
         margin.alias("gross_profit_margin_pct"),
+        *carry,
     )
 
 
@@ -110,7 +112,7 @@ def service_sales_fact(sop30200: DataFrame, sop30300: DataFrame, rm00101: DataFr
     h = h.select(
         F.col("SOPTYPE").alias("sop_type"), F.trim("SOPNUMBE").alias("h_key"),
         F.rtrim("SOPNUMBE").alias("invoice_number"), F.col("DOCDATE").cast("date").alias("document_date"),
-        "CUSTNMBR", "CUSTNAME", "SLPRSNID", "SALSTERR", "CURNCYID", "XCHGRATE")
+        F.col("GLPOSTDT").cast("date").alias("gl_post_date"), "CUSTNMBR", "CUSTNAME", "SLPRSNID", "SALSTERR", "CURNCYID", "XCHGRATE")
     line = sop30300.where(F.col("SOPTYPE").isin(3, 4)).select(
         F.col("SOPTYPE").alias("l_type"), F.trim("SOPNUMBE").alias("l_key"), "LNITMSEQ", "ITEMNMBR", "ITEMDESC",
         "QUANTITY", "UNITPRCE", "XTNDPRCE", "OXTNDPRC", "UNITCOST", "EXTDCOST", "MRKDNAMT")
@@ -120,7 +122,7 @@ def service_sales_fact(sop30200: DataFrame, sop30300: DataFrame, rm00101: DataFr
     j = j.join(items, F.trim(j["ITEMNMBR"]) == items["i_key"], "left")
     base = j.select(
         "sop_type", "invoice_number", F.col("LNITMSEQ").alias("line_item_sequence"), "document_date",
-        F.rtrim("CUSTNMBR").alias("customer_id"), F.rtrim("CUSTNAME").alias("customer_name"),
+        "gl_post_date", F.rtrim("CUSTNMBR").alias("customer_id"), F.rtrim("CUSTNAME").alias("customer_name"),
         "customer_class_id", "salesperson_name", "salesperson_id", "territory_name", "territory_id",
         F.rtrim("ITEMNMBR").alias("item_number"), F.rtrim("ITEMDESC").alias("item_description"),
         F.coalesce(F.nullif(F.col("i_class"), F.lit("")), F.lit(L.SERVICE_GENERAL)).alias("category"),
@@ -190,7 +192,9 @@ def kpi_summary(fact: DataFrame, customers: DataFrame, as_of, churn_days: int =
         F.sum(F.col("gross_profit_amount").cast("decimal(30,2)")).alias("gp"),
         F.sum(F.col("quantity").cast("decimal(30,4)")).alias("qty"),
         F.max("document_date").alias("last_date")))
-    last = docs.groupBy("customer_id").agg(F.max("last_date").alias("last_purchase"))
+    # documents without a customer count in the totals, but are nobody's activity
+    last = docs.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
+        F.max("last_date").alias("last_purchase"))
     activity = last.agg(
         F.count_if(F.col("last_purchase") >= cutoff).alias("active_customers"),
         F.count_if(F.col("last_purchase") < cutoff).alias("churned_customers"),
@@ -221,6 +225,8 @@ def kpi_summary(fact: DataFrame, customers: DataFrame, as_of, churn_days: int =
         ratio_or(F.col("churned_customers") * 100, base, base > 0, 0.0, 2).alias("churn_rate_pct"),
         ratio_or(gp, base, base > 0, 0.0, 2).alias("average_ltv_gross_profit"),
         "total_customers_in_scope",
+        ns.alias("net_sales"), gp.alias("gross_profit"), F.col("churned_customers").alias("churned_customers_count"),
+        ratio_or(gp, base, base > 0, 0.0, 2).alias("average_customer_ltv"),
     )
 
 
@@ -267,21 +273,41 @@ def sales_by_category(fact: DataFrame, **filters) -> DataFrame:
 GRAINS = ("year", "quarter", "month", "week", "day")
 
 
+def with_customer_cuts(fact: DataFrame, customers: DataFrame, credit_steps=(0, 25_000, 100_000)) -> DataFrame:
+    """K06 cuts: ``credit_limit_band`` (the customer's limit among ``credit_steps``)
+    and ``cohort_age_months`` (months from the customer's first sale to the line)."""
+    limit = F.coalesce(F.col("credit_limit_amount").cast("double"), F.lit(0.0))
+    band = F.lit(f"<= {credit_steps[0]}")
+    for lo, hi in zip(credit_steps, [*credit_steps[1:], None], strict=True):
+        band = F.when(limit > lo, f"> {lo}" if hi is None else f"{lo}-{hi}").otherwise(band)
+    c = small(customers.select(F.col("customer_id").alias("_c"), band.alias("credit_limit_band")))
+    born = fact.where(F.col("customer_id").isNotNull()).groupBy(F.col("customer_id").alias("_b")).agg(
+        F.min("document_date").alias("_first"))
+    j = fact.join(c, fact["customer_id"] == c["_c"], "left").join(born, F.col("customer_id") == F.col("_b"), "left")
+    age = ((F.year("document_date") - F.year("_first")) * 12 + F.month("document_date") - F.month("_first")).cast("int")
+    return j.select(*[F.col(x) for x in fact.columns], "credit_limit_band", age.alias("cohort_age_months"))
+
+
 def sales_slice(fact: DataFrame, grain: str = "quarter", dims: tuple[str, ...] = ("territory_name",),
                 date_col: str = "document_date") -> DataFrame:
     """Net sales, profit, documents, units by a calendar grain × dimensions.
 
     ``grain`` is one of year/quarter/month/week/day (week starts Monday);
-    ``date_col`` selects document or posting date.
+    ``date_col`` selects the document or the posting date (``gl_post_date``).
+    Lines are summed per document first, so only customers need a distinct count.
     """
     if grain not in GRAINS:
         raise ValueError(f"grain must be one of {GRAINS}")
     period = F.date_trunc(grain, F.col(date_col)).cast("date").alias("period_start")
-    g = fact.groupBy(period, *dims).agg(
-        money_sum("net_sales_amount").cast("double").alias("net_sales"),
-        money_sum("gross_profit_amount").cast("double").alias("gross_profit"),
-        F.countDistinct("invoice_number").alias("orders_count"),
-        money_sum("quantity", 4).cast("double").alias("units"),
+    docs = fact.groupBy(period, *dims, "invoice_number").agg(
+        F.sum(F.col("net_sales_amount").cast("decimal(30,2)")).alias("net"),
+        F.sum(F.col("gross_profit_amount").cast("decimal(30,2)")).alias("gp"),
+        F.sum(F.col("quantity").cast("decimal(30,4)")).alias("qty"),
+        F.max("customer_id").alias("customer_id"))  # a document has one customer
+    return docs.groupBy("period_start", *dims).agg(
+        F.sum("net").cast("double").alias("net_sales"),
+        F.sum("gp").cast("double").alias("gross_profit"),
+        F.count("invoice_number").alias("orders_count"),
+        F.sum("qty").cast("double").alias("units"),
         F.countDistinct("customer_id").alias("customers_count"),
     )
-    return g

@@ -15,12 +15,13 @@
   (equi-join on the key + half-open range predicate).
 
 Plain parquet has no MERGE: each apply produces a complete new version of the
-table, written to a new directory by the caller.
+table, kept by ``write_version`` under its own number; ``read_version`` gives the
+latest one (S04).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
@@ -67,15 +68,22 @@ def scd2_apply(history: DataFrame, incoming: DataFrame, load_ts: str, close_miss
     j = cur.join(inc, F.col(f"c.{KEY}") == F.col(f"i.{KEY}"), "full_outer")
     in_cur, in_inc = F.col(f"c.{KEY}").isNotNull(), F.col(f"i.{KEY}").isNotNull()
     changed = in_cur & in_inc & _changed()
-    cur_cols = [F.col(f"c.{c}").alias(c) for c in SNAPSHOT_COLS + SCD_COLS]
+    leaves = changed | (in_cur & ~in_inc) if close_missing else changed
+    # one join; each pair of states gives its kept, closed and opened versions
+    state = {side: [F.col(f"{side}.{c}").alias(c) for c in SNAPSHOT_COLS] for side in "ci"}
+    own = [F.col(f"c.{c}") for c in SCD_COLS]
+    as_is = dict(zip(SCD_COLS, own, strict=True))
+    closed = {**as_is, "valid_to": load, "is_current": F.lit(False)}
+    opened = {"customer_sk": F.md5(F.concat(F.col(f"i.{KEY}"), F.lit("_"), F.date_format(load, TS_FORMAT))),
+              "valid_from": load, "valid_to": ts(VALID_TO), "is_current": F.lit(True), "row_hash": row_hash("i")}
 
-    missing = in_cur & ~in_inc
-    keep = j.where(in_cur & ~changed & (~missing if close_missing else F.lit(True))).select(*cur_cols)
-    closing = (j.where(changed | (missing if close_missing else F.lit(False))).select(*cur_cols)
-               .withColumn("valid_to", load).withColumn("is_current", F.lit(False)))
-    opening = _version(j.where((in_inc & ~in_cur) | changed).select(
-        *[F.col(f"i.{c}").alias(c) for c in SNAPSHOT_COLS]), load)
-    return closed_hist.unionByName(keep).unionByName(closing).unionByName(opening)
+    def version(side: str, scd: dict) -> Column:
+        return F.struct(*state[side], *[scd[c].alias(c) for c in SCD_COLS])
+
+    versions = F.array(F.when(in_cur, F.when(leaves, version("c", closed)).otherwise(version("c", as_is))),
+                       F.when(in_inc & (~in_cur | changed), version("i", opened)))
+    rows = j.select(F.explode(F.filter(versions, lambda v: v.isNotNull())).alias("v")).select("v.*")
+    return closed_hist.select(*SNAPSHOT_COLS, *SCD_COLS).unionByName(rows)
 
 
 def scd2_from_changes(changes: DataFrame, ts_col: str = "change_ts") -> DataFrame:
@@ -116,46 +124,15 @@ def point_in_time(facts: DataFrame, history: DataFrame, date_col: str = "documen
                     F.coalesce("customer_sk", unknown_key(L.UNKNOWN_CUSTOMER)).alias("customer_sk"))
 
 
-# ----------------------------------------------------------- test batches
-# Cut-off dates that derive two extracts of the customer table.
-BATCH_ONE_CREATED_BEFORE = "1994-10-01 00:00:00"
-MOVE_TERRITORY_MODIFIED_FROM = "1997-01-01 00:00:00"
-CLEAR_CLASS_MODIFIED = ("1996-07-01 00:00:00", "1997-01-01 00:00:00")
-UNTRACKED_MODIFIED_BEFORE = "1995-04-01 00:00:00"
-MOVED_TERRITORY = "99"
-
-
-def batch_one(stg_customers: DataFrame) -> DataFrame:
-    """First extract: customers created before the first load."""
-    return stg_customers.where(F.col("created_at") < ts(BATCH_ONE_CREATED_BEFORE))
-
-
-def batch_two(stg_customers: DataFrame) -> DataFrame:
-    """Second extract (full): inactive accounts are no longer extracted (missing
-    keys); customers modified since 1997 moved territory; those modified in the
-    second half of 1996 lost their class (value → NULL); those modified before
-    April 1995 changed an untracked column (city); customers created after the
-    first load arrive as new keys."""
-    m = F.col("modified_at")
-    d = stg_customers.where(F.col("is_inactive") == 0)
-    cols = []
-    for c in SNAPSHOT_COLS:
-        if c == "territory_id":
-            cols.append(F.when(m >= ts(MOVE_TERRITORY_MODIFIED_FROM), F.lit(MOVED_TERRITORY)).otherwise(F.col(c)).alias(c))
-        elif c == "customer_class_id":
-            lo, hi = CLEAR_CLASS_MODIFIED
-            cols.append(F.when((m >= ts(lo)) & (m < ts(hi)), F.lit(None).cast("string")).otherwise(F.col(c)).alias(c))
-        elif c == "city":
-            cols.append(F.when(m < ts(UNTRACKED_MODIFIED_BEFORE), F.concat(F.col(c), F.lit(" Norte")))
-                        .otherwise(F.col(c)).alias(c))
-        else:
-            cols.append(F.col(c))
-    return d.select(*cols)
-
-
-def change_log(stg_customers: DataFrame, load_ts: str) -> DataFrame:
-    """Both extracts as one change log (state, change_ts) for ``scd2_from_changes``."""
-    one = batch_one(stg_customers)
-    first = one.select(*SNAPSHOT_COLS, F.coalesce(F.col("created_at"), ts(DEFAULT_VALID_FROM)).alias("change_ts"))
-    second = batch_two(stg_customers).select(*SNAPSHOT_COLS, ts(load_ts).alias("change_ts"))
-    return first.unionByName(second)
+# ------------------------------------------------------------------------ S04
+def write_version(history: DataFrame, base_dir: str, version: int) -> None:
+    """Write one complete version of the history; an existing number is never replaced."""
+    history.write.mode("errorifexists").parquet(f"{base_dir.rstrip('/')}/version={version}")
+
+
+def read_version(spark: SparkSession, base_dir: str, version: int | None = None) -> DataFrame:
+    """The given version of the history, or the latest one."""
+    every = spark.read.parquet(base_dir)
+    if version is None:
+        version = every.select(F.max("version")).first()[0]
+    return every.where(F.col("version") == version).drop("version")

@@ -92,6 +92,31 @@ def keyed_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[Column]
                     (F.row_number().over(w) + F.coalesce(F.col("_off"), F.lit(0))).alias(out))
 
 
+def bucketed_row_number(df: DataFrame, keys: Sequence[Column], order: Sequence[str], out: str) -> DataFrame:
+    """Add ``out`` = ``row_number() over (partition by keys order by order)``, as a lazy plan.
+
+    The first order column cuts a key into pieces: rows are numbered inside each
+    (key, value) piece, and a piece starts after the key's rows with smaller
+    values, a running sum over one row per (key, value).  So a key with very many
+    rows is only gathered as its distinct first values.  Nothing is staged and no
+    job runs while the plan is built.
+    """
+    names = [f"_k{i}" for i in range(len(keys))]
+    first = order[0]
+    d = df.select("*", *[k.alias(n) for k, n in zip(keys, names, strict=True)])
+    counts = d.groupBy(*names, first).agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.partitionBy(*names).orderBy(first).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*[F.col(n).alias(f"_o{n}") for n in names], F.col(first).alias("_of"),
+                           F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    cond = F.col(first).eqNullSafe(F.col("_of"))
+    for n in names:
+        cond = cond & F.col(n).eqNullSafe(F.col(f"_o{n}"))
+    inside = Window.partitionBy(*names, first).orderBy(*order)
+    numbered = d.select("*", F.row_number().over(inside).alias("_in"))
+    return numbered.join(starts, cond).select(*[F.col(f"`{c}`") for c in df.columns],
+                                              (F.col("_in") + F.col("_off")).alias(out))
+
+
 def ntile_from_rank(r: Column, n: Column, buckets: int) -> Column:
     """SQL ``ntile(buckets)`` of the row at 1-based position ``r`` among ``n`` rows."""
     q = (n / buckets).cast("bigint")

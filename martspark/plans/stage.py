@@ -14,14 +14,51 @@ per-customer metrics), not for raw facts.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, session_key
+
+
+_STAGED: dict[str, list[str]] = {}
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    _STAGED.setdefault(session_key(spark), []).append(path)
+    out = spark.read.parquet(path)
+    out._staged_path = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is None:  # Spark Connect: the folder's owner cleans up
+        return
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the folder of a staged frame that no other plan reads any more."""
+    path = getattr(df, "_staged_path", None)
+    if path:
+        _delete(df.sparkSession, path)
+        _STAGED.get(session_key(df.sparkSession), [path]).remove(path)
+
+
+@contextmanager
+def staging(spark: SparkSession):
+    """Everything staged inside the block is deleted at its end, once the
+    results that read it have been written."""
+    known = _STAGED.setdefault(session_key(spark), [])
+    start = len(known)
+    try:
+        yield
+    finally:
+        for path in known[start:]:
+            _delete(spark, path)
+        del known[start:]

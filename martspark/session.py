@@ -42,8 +42,9 @@ def prepare(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the operator sets this to a shared file system.  Only when it
-    is unset (local tests) a fresh scratch folder is created and registered.
+    On a cluster the operator sets this to a shared file system; without it
+    nothing can be staged safely, so that is an error.  Only a local session
+    (one machine) gets a scratch folder of its own where the setting is unset.
     """
     try:
         sc = spark.sparkContext
@@ -55,18 +56,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         master = sc.master if sc is not None else spark.conf.get("spark.master", "local")
-        if master.startswith("local"):
-            # tests and the local benchmark only
-            configured = tempfile.mkdtemp(prefix="martspark-ckpt-")
-        else:
-            # a cluster without the setting: use the (shared) warehouse location
-            configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_martspark_checkpoints"
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="martspark-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
     return configured
 
 
+def session_key(spark: SparkSession) -> str:
+    """Identity of the application behind a session (caches are keyed by it)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # Spark Connect: no SparkContext on the client
+        return f"session-{id(spark)}"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "martspark", event_log_dir: str | None = None) -> SparkSession:
     """Session for tests and the local benchmark (UI off, UTC, AQE on)."""

@@ -22,7 +22,8 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.ranking import keyed_row_number
+from ..plans.ranking import bucketed_row_number
+from ..session import session_key
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
@@ -41,11 +42,11 @@ select '000' || cast(s_suppkey as string) || '   ' as SLPRSNID, 'E' || cast(s_su
   case when s_suppkey = 7 then null else 'Last' || cast(s_suppkey as string) end as SPRSNSLN, 'Rep ' as SPRNSTTL,
   case when s_suppkey = 3 then '' else cast(s_nationkey as string) end as SALSTERR,
   cast(s_suppkey as decimal(8,4)) as COMPRCNT, case when s_suppkey = 9 then 1 else 0 end as INACTIVE
-from {supplier} where s_suppkey < 10""",
+from {supplier}""",
     "RM00201": """
 select distinct c_mktsegment || ' ' as CLASSID, 'Class ' || lower(c_mktsegment) as CLASDSCR, 1 as CRLMTTYP,
   cast(5000 as decimal(19,2)) as CRLMTAMT, '' as CHEKBKID, 'NET30' as PYMTRMID, 'STD' as PRCLEVEL
-from {customer} where c_mktsegment <> 'MACHINERY'""",
+from {customer}""",
     "RM00101": """
 select 'C' || lpad(cast(c_custkey as string), 8, '0') || '  ' as CUSTNMBR, c_name as CUSTNAME,
   case when c_custkey % 13 = 0 then ' ' else c_mktsegment || '  ' end as CUSTCLAS, '' as CPRCSTNM,
@@ -74,7 +75,7 @@ select case when l_returnflag = 'R' then 4 else 3 end as SOPTYPE,
     order by l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate) - 1 as int) as CMPNTSEQ,
   'P' || lpad(cast(l_partkey as string), 8, '0') as ITEMNMBR, p_name as ITEMDESC, 'UN ' as UOFM,
   'ALM-0' || cast(l_suppkey % 3 + 1 as string) as LOCNCODE, cast(o_orderdate as date) as DOCDATE,
-  'C' || lpad(cast(o_custkey as string), 8, '0') as CUSTNMBR, cast(l_quantity as decimal(19,4)) as QUANTITY,
+  case when o_orderkey % 211 = 0 then 'X' else 'C' end || lpad(cast(o_custkey as string), 8, '0') as CUSTNMBR, cast(l_quantity as decimal(19,4)) as QUANTITY,
   cast(floor(l_extendedprice / l_quantity) as decimal(19,4)) as UNITPRCE, cast(l_extendedprice as decimal(19,2)) as XTNDPRCE,
   cast(p_retailprice * 0.6 as decimal(19,4)) as UNITCOST,
   cast(cast(l_extendedprice as decimal(19,2)) * (cast(50 + l_partkey % 30 as decimal(6,2)) * cast(0.01 as decimal(4,2))) as decimal(19,2)) as EXTDCOST,
@@ -83,8 +84,9 @@ select case when l_returnflag = 'R' then 4 else 3 end as SOPTYPE,
 from {lineitem} join {orders} on l_orderkey = o_orderkey join {part} on l_partkey = p_partkey""",
     "SOP30200": """
 select d.SOPTYPE, d.SOPNUMBE, case when d.SOPTYPE = 4 then 'DEV' else 'FAC' end as DOCID, cast(o_orderdate as date) as DOCDATE,
-  cast(o_orderdate as date) + cast(o_orderkey % 4 as int) as GLPOSTDT, 'C' || lpad(cast(o_custkey as string), 8, '0') as CUSTNMBR,
-  c_name as CUSTNAME, case when o_orderkey % 8 = 0 then '' else '000' || cast(o_orderkey % 10 as string) end as SLPRSNID,
+  cast(o_orderdate as date) + cast(o_orderkey % 4 as int) as GLPOSTDT,
+  case when o_orderkey % 211 = 0 then 'X' else 'C' end || lpad(cast(o_custkey as string), 8, '0') as CUSTNMBR,
+  c_name as CUSTNAME, case when o_orderkey % 8 = 0 then '' else '000' || cast(d.SUPPKEY as string) end as SLPRSNID,
   case when o_orderkey % 9 = 0 then '' else cast(c_nationkey as string) end as SALSTERR,
   case when o_orderkey % 6 = 0 then 'USD  ' else 'VEF' end as CURNCYID, 'NET30' as PYMTRMID,
   d.SUBTOTAL, d.SUBTOTAL as DOCAMNT, cast(0 as decimal(19,2)) as FRTAMNT, cast(0 as decimal(19,2)) as MISCAMNT, cast(0 as decimal(19,2)) as TAXAMNT,
@@ -93,15 +95,16 @@ select d.SOPTYPE, d.SOPNUMBE, case when d.SOPTYPE = 4 then 'DEV' else 'FAC' end
   case when o_orderkey % 4 = 0 then cast(5.25 as decimal(19,7)) else cast(0 as decimal(19,7)) end as XCHGRATE
 from (select l_orderkey, case when l_returnflag = 'R' then 4 else 3 end as SOPTYPE,
         case when l_returnflag = 'R' then 'RTN' else 'INV' end || lpad(cast(l_orderkey as string), 10, '0') as SOPNUMBE,
-        cast(sum(cast(l_extendedprice as decimal(19,2))) as decimal(19,2)) as SUBTOTAL
+        cast(sum(cast(l_extendedprice as decimal(19,2))) as decimal(19,2)) as SUBTOTAL, min(l_suppkey) as SUPPKEY
       from {lineitem} group by 1, 2, 3) d
 join {orders} on d.l_orderkey = o_orderkey join {customer} on o_custkey = c_custkey""",
     "MC00100": """
 select case when i % 10 = 9 then 'USD-COMPRAS' else 'USD-VENTAS ' end as EXGTBLID, 'USD' as CURNCYID,
-  date '1995-01-08' + cast(7 * i as int) as EXCHDATE,
+  week as EXCHDATE,
   case when i % 25 = 24 then cast(0 as decimal(19,7)) else cast(cast(4 as decimal(10,2)) + cast(i as decimal(10,0)) * cast(0.01 as decimal(4,2)) as decimal(19,7)) end as XCHGRATE,
   date '2099-12-31' as EXPNDATE
-from {seq}""",
+from (select week, row_number() over (order by week) - 1 as i
+      from (select distinct cast(date_trunc('week', o_orderdate) as date) as week from {orders}))""",
     "IV40700": """
 select distinct 'ALM-0' || cast(s_suppkey % 3 + 1 as string) || '  ' as LOCNCODE,
   case when s_suppkey % 3 = 2 then '' else 'Warehouse ' || cast(s_suppkey % 3 + 1 as string) end as LOCNDSCR
@@ -114,7 +117,7 @@ select 'P' || lpad(cast(p_partkey as string), 8, '0') || ' ' as ITEMNMBR,
   cast(p_partkey % 30 as decimal(19,4)) as QTYONORD, cast(0 as decimal(19,4)) as QTYBKORD,
   cast(10 + p_partkey % 20 as decimal(19,4)) as SFTYSTCKQTY, cast(20 + p_partkey % 20 as decimal(19,4)) as ORDRPNTQTY,
   cast(1 as decimal(19,4)) as MNMMORDRQTY, cast(500 as decimal(19,4)) as MXMMORDRQTY
-from {part} cross join (select i as k from {seq} where i < 4) ks""",
+from {part} cross join (select i as k from {seq}) ks""",
     "IV10200": """
 select 'P' || lpad(cast(l_partkey as string), 8, '0') as ITEMNMBR,
   case when l_suppkey % 4 = 0 then '' else 'ALM-0' || cast(l_suppkey % 3 + 1 as string) end as TRXLOCTN,
@@ -138,30 +141,29 @@ select 'C' || lpad(cast(o_custkey as string), 8, '0') || ' ' as CUSTNMBR, 'AR' |
   case cast(o_orderkey % 10 as int) when 7 then 7 when 8 then 8 when 9 then 9 when 3 then 3 else 1 end as RMDTYPAL,
   cast(o_orderdate as date) as DOCDATE, case when o_orderkey % 97 = 0 then null else cast(o_orderdate as date) + 30 end as DUEDATE,
   cast(o_totalprice as decimal(19,4)) as ORTRXAMT,
-  cast(case when o_orderkey % 23 = 0 then 0 else o_totalprice end as decimal(19,4)) as CURTRXAM, 'VEF' as CURNCYID,
+  cast(case when o_orderkey % 23 = 0 or o_orderstatus = 'F' then 0 else o_totalprice end as decimal(19,4)) as CURTRXAM, 'VEF' as CURNCYID,
   case when o_orderkey % 8 = 0 then '' else '000' || cast(o_orderkey % 10 as string) end as SLPRSNID,
   case when o_orderkey % 9 = 0 then '' else cast(c_nationkey as string) end as SLSTERCD, 'NET30' as PYMTRMID, 1 as AGNGBUKT,
   case when o_orderkey % 41 = 0 then 1 else 0 end as VOIDSTTS
-from {orders} join {customer} on o_custkey = c_custkey
-where o_orderdate >= timestamp '2001-03-01 00:00:00'""",
+from {orders} join {customer} on o_custkey = c_custkey""",
 }
 
-SEQ_ROWS = 350
+SEQ_ROWS = 4  # record types per item (all stock, then three warehouses)
 
 # Spark forms of blocks whose portable text needs a cross join with a tiny
 # helper table; ``explode(sequence(...))`` generates the same rows per part
 # without a nested-loop join.
 SPARK_OVERRIDES = {
     "IV00102": SOURCE_SQL["IV00102"].replace(
-        "from {part} cross join (select i as k from {seq} where i < 4) ks",
+        "from {part} cross join (select i as k from {seq}) ks",
         "from {part} lateral view explode(sequence(0, 3)) ks as k"),
 }
 
 # Per-key sequence numbers of the blocks.  DuckDB runs the ``row_number()``
-# text as written; Spark replaces it with the key and order columns it names
-# and numbers the rows with ``plans.ranking.keyed_row_number``, so a part with a
-# third of all receipts (or an order line with many components) is spread over
-# many tasks instead of being sorted in one.
+# text as written; Spark numbers the narrow line table first, with
+# ``plans.ranking.bucketed_row_number`` (lazy, and a part with a third of all
+# receipts is cut at every value of the first order column), and the block reads
+# the number as a column.
 # (block, output column, value added to the row number, key exprs, order exprs)
 SPARK_SEQUENCES = (
     ("SOP30300", "CMPNTSEQ", -1, ("l_orderkey", "l_returnflag = 'R'", "l_linenumber"),
@@ -171,13 +173,11 @@ SPARK_SEQUENCES = (
 )
 
 
-def _sequence_sql(text: str, column: str, adjust: int, keys, order) -> str:
-    """The block with its ``row_number()`` column replaced by helper key/order columns."""
-    window = f"cast(row_number() over (partition by {', '.join(keys)}"
-    start = text.index(window)
-    end = text.index(f" as {column},", start) + len(f" as {column},")
-    helpers = [f"{k} as _sk{i}" for i, k in enumerate(keys)] + [f"{o} as _so{i}" for i, o in enumerate(order)]
-    return text[:start] + ", ".join(helpers) + "," + text[end:]
+def _sequence_sql(text: str, column: str, adjust: int, keys) -> str:
+    """The block with its ``row_number()`` expression replaced by the numbered lines' ``_seq``."""
+    start = text.index(f"cast(row_number() over (partition by {', '.join(keys)}")
+    end = text.index(f" as {column},", start)
+    return f"{text[:start]}cast(_seq + ({adjust}) as int){text[end:]}"
 
 
 # Order in which the blocks are emitted as CTEs for the DuckDB oracle.
@@ -210,31 +210,27 @@ class Sources:
     def __getitem__(self, source: str) -> DataFrame:
         with self._lock:
             if source not in self._frames:
-                frames = {t: self.driver(t) for t in DRIVER_TABLES}
-                frames["seq"] = self.spark.range(SEQ_ROWS).withColumnRenamed("id", "i")
                 text = SPARK_OVERRIDES.get(source, SOURCE_SQL[source])
-                used = {k: v for k, v in frames.items() if "{" + k + "}" in text}
-                seq = [s for s in SPARK_SEQUENCES if s[0] == source]
-                if not seq:
-                    self._frames[source] = self.spark.sql(text, **used)
-                else:
-                    _, column, adjust, keys, order = seq[0]
-                    columns = self.spark.sql(text, **used).columns
-                    df = self.spark.sql(_sequence_sql(text, column, adjust, keys, order), **used)
-                    df = keyed_row_number(df, [f"_sk{i}" for i in range(len(keys))],
-                                          [F.col(f"_so{i}").asc() for i in range(len(order))], "_seq")
-                    self._frames[source] = df.select(
-                        *[(F.col("_seq") + adjust).cast("int").alias(c) if c == column else F.col(c)
-                          for c in columns])
+                used = {t: self.driver(t) for t in DRIVER_TABLES if "{" + t + "}" in text}
+                for name, column, adjust, keys, order in SPARK_SEQUENCES:
+                    if name == source:
+                        text = _sequence_sql(text, column, adjust, keys)
+                        used["lineitem"] = bucketed_row_number(used["lineitem"], [F.expr(k) for k in keys],
+                                                               list(order), "_seq")
+                self._frames[source] = self.spark.sql(text, **used)
             return self._frames[source]
 
 
-_CACHE: dict[tuple[int, str], Sources] = {}
+_CACHE: dict[tuple[str, str], Sources] = {}
 
 
 def sources_for(spark: SparkSession, sf_dir: str) -> Sources:
-    """One ``Sources`` per (session, directory); frames are lazy plans, not data."""
-    key = (id(spark), sf_dir.rstrip("/"))
+    """One ``Sources`` per (application, directory); frames are lazy plans, not
+    data.  Frames of an earlier application are dropped."""
+    app = session_key(spark)
+    key = (app, sf_dir.rstrip("/"))
+    for old in [k for k in _CACHE if k[0] != app]:
+        del _CACHE[old]
     if key not in _CACHE:
         _CACHE[key] = Sources(spark, sf_dir)
     return _CACHE[key]
@@ -263,4 +259,4 @@ def materialize(spark: SparkSession, sf_dir: str, extract_dir: str) -> ExtractSo
 
 def use_extracts(spark: SparkSession, alias: str, extract_dir: str) -> None:
     """Make queries called with ``sf_dir=alias`` read the parquet extracts."""
-    _CACHE[(id(spark), alias.rstrip("/"))] = ExtractSources(spark, extract_dir)
+    _CACHE[(session_key(spark), alias.rstrip("/"))] = ExtractSources(spark, extract_dir)

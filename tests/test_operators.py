@@ -261,8 +261,9 @@ def test_scd2_from_changes_equals_apply(spark):
     from martspark.mart import Mart
     m = Mart(spark, "/root/testdata/sf0.001")
     load = "1998-01-01 00:00:00"
-    a = scd2.scd2_apply(scd2.scd2_initial(scd2.batch_one(m.stg_customers)), scd2.batch_two(m.stg_customers), load)
-    b = scd2.scd2_from_changes(scd2.change_log(m.stg_customers, load))
+    from martspark.catalog.q_governance import change_log, second_extract
+    a = scd2.scd2_apply(scd2.scd2_initial(m.stg_customers), second_extract(m.stg_customers), load)
+    b = scd2.scd2_from_changes(change_log(m.stg_customers, load))
     cols = ["customer_id", "customer_sk", "valid_from", "valid_to", "is_current", "territory_id", "customer_class_id"]
     assert sorted(map(tuple, a.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))
 
@@ -356,8 +357,11 @@ def test_nested_forms(spark):
     per = C.cohort_matrix_periods(m.fact_usd).collect()
     flat = {r.cohort_month: r for r in C.cohort_matrix(m.fact_usd).collect()}
     for r in per:
-        assert [p.retention_pct for p in r.periods] == [flat[r.cohort_month][f"m{i}"] for i in range(6)]
-        assert r.periods[0].period == "M+0"
+        # only months that exist; the flat form pads the rest with 0
+        n = len(r.periods)
+        assert [p.retention_pct for p in r.periods] == [flat[r.cohort_month][f"m{i}"] for i in range(n)]
+        assert all(flat[r.cohort_month][f"m{i}"] == 0 for i in range(n, 6))
+        assert r.periods[0].period == "M+0" and r.periods[0].active_users == r.total_users
 
 
 # ------------------------------------------------------------------- skew
@@ -460,3 +464,188 @@ def test_scd2_from_changes_hot_customer_against_loop(spark):
             exp.append((cid, r["change_ts"], nxt, k + 1 == len(kept), r["customer_class_id"]))
     assert len([e for e in exp if e[0] == "HOT"]) == 100
     assert got == sorted(exp)
+
+
+# ------------------------------------------------- churn and cohort population
+def _usd(spark, rows):
+    return spark.createDataFrame(rows, "customer_id string, document_date date, invoice_number string, "
+                                       "net_sales_amount double, gross_profit_amount double, quantity double, "
+                                       "territory_name string, customer_class_id string, salesperson_name string")
+
+
+def test_lines_without_customer_are_nobodys_history(spark):
+    from martspark.operators import sales
+    rows = [("A", D(2001, 1, 10), "I1", 1.0, 1.0, 1.0, "t", "c", "s"), ("A", D(2001, 2, 10), "I2", 1.0, 1.0, 1.0, "t", "c", "s"),
+            (None, D(2001, 1, 11), "I3", 5.0, 1.0, 1.0, "t", "c", "s")]
+    f = _usd(spark, rows)
+    hist = {r.year_month: r for r in C.churn_history(f).collect()}
+    assert all(r.churned_customers == 0 and r.churn_rate_pct == 0.0 for r in hist.values())
+    flat = C.cohort_matrix(f).collect()
+    assert [(r.total_users, r.m0) for r in flat] == [(1, 100.0)]
+    nested = C.cohort_matrix_periods(f).collect()
+    assert [[(p.period, p.active_users) for p in r.periods] for r in nested] == [[("M+0", 1), ("M+1", 1)]]
+    people = _usd(spark, rows[:1])
+    k = sales.kpi_summary(f, people, D(2001, 3, 1)).first()
+    assert (k.active_customers, k.churned_customers, k.total_net_sales) == (1, 0, 7.0)
+    assert k.net_sales == k.total_net_sales and k.churned_customers_count == 0
+
+
+def test_churn_rate_counts_invoices_of_the_churn_base(spark):
+    cols = ("invoice_number string, line_item_sequence int, component_sequence int, customer_id string, document_date date, "
+            "sop_type int, net_quantity decimal(19,4), gross_sales_amount decimal(19,2), net_sales_amount decimal(19,2), "
+            "total_cost_amount decimal(19,2), gross_profit_amount decimal(19,2)")
+
+    def line(doc, customer, day, kind=3):
+        x = __import__("decimal").Decimal(1)
+        return (doc, 1, 0, customer, day, kind, x, x, x, x, x)
+
+    lines = spark.createDataFrame([
+        line("I1", "A", D(2001, 1, 20)), line("R1", "A", D(2001, 4, 10), 4),  # the return is no purchase
+        line("I2", "X", D(2001, 1, 20))], cols)                                # X is not in the base
+    base = spark.createDataFrame([("A",)], "customer_id string")
+    out = {r.period_month: r for r in C.churn_rate_monthly(lines, base, D(2001, 8, 2)).collect()}
+    assert out[D(2001, 5, 1)].churned_customers == 1 and out[D(2001, 5, 1)].active_start_month == 1
+    assert sum(r.churned_customers for r in out.values()) == 1
+    assert max(r.active_start_month for r in out.values()) == 1
+
+
+# ------------------------------------------------------------ staging and plans
+def test_building_a_plan_runs_no_job(spark):
+    from martspark.sources.binding import Sources
+    src = Sources(spark, "/root/testdata/sf0.001")
+    sc = spark.sparkContext
+    sc.setJobGroup("plan-only", "plan-only")
+    for name in ("SOP30300", "IV10200"):
+        assert src[name].columns
+    jobs = sc.statusTracker().getJobIdsForGroup("plan-only")
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    # reading Parquet footers is a job of its own; lineitem, orders and part, then lineitem
+    assert len(jobs) <= 4
+
+
+def test_bucketed_row_number_equals_window(spark):
+    from pyspark.sql import Window
+    from martspark.plans.ranking import bucketed_row_number
+    df = spark.range(500).select((F.col("id") % 3).alias("k"), (F.col("id") % 7).alias("d"), "id").unionByName(
+        spark.createDataFrame([(None, None, 900), (None, 1, 901)], "k long, d long, id long"))
+    got = bucketed_row_number(df, [F.col("k")], ["d", "id"], "rn")
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("d", "id")))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_staging_folders_are_removed(spark, tmp_path):
+    import os
+
+    from martspark.plans import stage as st
+    with st.staging(spark):
+        path = st.stage(spark.range(3))._staged_path
+        local = path.replace("file:", "")
+        assert os.path.isdir(local)
+    assert not os.path.exists(local)
+
+
+def test_cluster_without_shared_folder_is_an_error():
+    from martspark.session import checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Remote:
+        conf = Conf()
+
+        @property
+        def sparkContext(self):
+            raise RuntimeError("no context")
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Remote())
+
+
+def test_history_versions(spark, tmp_path):
+    base = str(tmp_path / "history")
+    h1 = scd2.scd2_initial(_cust(spark, [{"customer_id": "A", "customer_name": "a"}]))
+    scd2.write_version(h1, base, 1)
+    scd2.write_version(scd2.scd2_apply(scd2.read_version(spark, base), _cust(
+        spark, [{"customer_id": "A", "customer_name": "b"}]), "2021-01-01 00:00:00"), base, 2)
+    assert scd2.read_version(spark, base).count() == 2 and scd2.read_version(spark, base, 1).count() == 1
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
+        scd2.write_version(h1, base, 1)
+
+
+def test_suite_from_json(spark):
+    import json
+    text = json.dumps({"expectations": [
+        {"expectation_type": "expect_column_values_to_not_be_null", "kwargs": {"column": "a"}, "meta": {"dimension": "Completeness"}},
+        {"expectation_type": "expect_compound_columns_to_be_unique", "kwargs": {"column_list": ["a", "b"]}},
+        {"expectation_type": "expect_column_values_to_be_in_set", "kwargs": {"column": "b", "value_set": [1, 2]}},
+        {"expectation_type": "expect_column_values_to_be_between", "kwargs": {"column": "b", "min_value": 2}},
+        {"expectation_type": "expect_table_row_count_to_be_between", "kwargs": {"min_value": 1, "max_value": 2}}]})
+    rules = quality.load_suite(text, "t")
+    df = spark.createDataFrame([(1, 1), (1, 1), (None, 3)], "a int, b int")
+    got = {r.rule_id: (r.unexpected_count, r.success, r.dimension) for r in quality.evaluate({"t": df}, rules).collect()}
+    assert got == {1: (1, False, "Completeness"), 2: (2, False, "General"), 3: (1, False, "General"),
+                   4: (2, False, "General"), 5: (0, False, "General")}
+    with pytest.raises(ValueError, match="unknown type"):
+        quality.load_suite('{"expectations": [{"expectation_type": "expect_magic"}]}', "t")
+
+
+def test_rate_fallback_without_rates(spark):
+    from martspark.operators import fx
+    rates = spark.createDataFrame([], "exch_date date, xchg_rate double")
+    assert spark.range(1).select(fx.latest_rate(rates)).first()[0] == 1.0
+
+
+def test_referential_sees_orphans(spark):
+    fact = spark.createDataFrame([("a", 1), ("b", None), ("zz", 9)], "x string, y int")
+    d1 = spark.createDataFrame([("a",), ("b",)], "k string")
+    d2 = spark.createDataFrame([(1,)], "k int")
+    got = {(r.table_name, r.foreign_key): (r.fact_rows, r.orphan_rows) for r in quality.referential(
+        {"f": (fact, {"x": (d1, "k"), "y": (d2, "k")})}).collect()}
+    assert got == {("f", "x"): (3, 1), ("f", "y"): (3, 1)}
+
+
+def test_incremental_recomputes_touched_customers_only(spark, tmp_path):
+    from martspark.mart import Mart
+    from martspark.streaming.refresh import LINE_COLUMNS, IncrementalSnapshot
+    lines = Mart(spark, "/root/testdata/sf0.001").sales_lines_enriched.select(*LINE_COLUMNS)
+    ids = [r[0] for r in lines.select("customer_id").distinct().orderBy("customer_id").limit(3).collect()]
+    seen = []
+
+    class Watched(IncrementalSnapshot):
+        def recompute(self, part):
+            seen.append({r[0] for r in part.select("customer_id").distinct().collect()})
+            return super().recompute(part)
+
+    inc = Watched(spark, str(tmp_path))
+    late = (F.col("customer_id") == ids[0]) & (F.col("document_date") < "1997-01-01")  # late, and a new earliest month
+    last = lines.where(F.col("customer_id") == ids[1]).agg(F.max("document_date")).first()[0]
+    newest = (F.col("customer_id") == ids[1]) & (F.col("document_date") == F.lit(last))  # its last month only
+    for chunk in (lines.where(~late & ~newest), lines.where(late), lines.where(newest)):
+        inc.land(chunk)
+        inc.run(lines.schema)
+    assert seen[1] == {ids[0]} and seen[2] == {ids[1]} and len(seen[0]) > 3
+    want = C.customer_monthly(lines)
+    cols = sorted(want.columns)
+    assert sorted(map(str, inc.result().select(cols).collect())) == sorted(map(str, want.select(cols).collect()))
+
+
+@pytest.mark.parametrize("name", ["dq_expectations", "dq_by_dimension", "dq_column_tests", "dq_contract",
+                                  "dq_referential", "filter_facets", "refresh_counts"])
+def test_shared_marts_are_computed_once(spark, name):
+    from martspark.catalog import QUERIES
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    # after staging, the result's plan joins lines to headers at most once
+    assert sum("Join Inner" in x and "SOPTYPE" in x for x in plan.split("\n")) <= 1
+
+
+def test_one_history_join(spark):
+    from martspark.catalog import QUERIES
+    plan = QUERIES["scd2_apply"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join FullOuter") == 1
+
+
+@pytest.mark.parametrize("name", ["sales_slice_quarter", "sales_slice_week", "ar_kpis", "churn_rate_monthly"])
+def test_no_expand(spark, name):
+    from martspark.catalog import QUERIES
+    assert "Expand" not in QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()

@@ -9,11 +9,11 @@ from compare import multiset
 import __spark_entry__ as entry_mod
 from conftest import SMALL
 
-QUERIES = entry_mod.queries()
+from martspark.catalog import ORACLES, QUERIES  # noqa: E402
+
 SPARK_TO_DUCK = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE",
                  "StringType()": "VARCHAR", "DateType()": "DATE", "TimestampType()": "TIMESTAMP",
                  "BooleanType()": "BOOLEAN", "TimestampNTZType()": "TIMESTAMP"}
-ORACLES = entry_mod.oracle_sql()
 
 
 def test_every_query_has_an_oracle():
@@ -28,10 +28,10 @@ def test_entry_smoke(spark):
 
 
 # Unpartitioned windows are allowed only over structurally bounded inputs,
-# named by their ordering column: one row per rate date (FX calendar), one row
+# named by their ordering column: one row per rate date or order week (FX), one row
 # per month or cohort month, one row per range partition (ranking offsets, and
 # the order-less total over the same rows).
-BOUNDED_WINDOW_ORDERS = {"exch_date", "m", "cohort", "_pid", ""}
+BOUNDED_WINDOW_ORDERS = {"exch_date", "week", "m", "cohort", "_pid", ""}
 
 
 def _plan_nodes(node):
@@ -59,7 +59,7 @@ def unpartitioned_window_orders(df) -> set[str]:
         if n.getClass().getSimpleName() == "WindowExec" and n.partitionSpec().isEmpty():
             it, cols = n.orderSpec().iterator(), []
             while it.hasNext():
-                cols.append(it.next().child().sql().strip("`"))
+                cols.append(it.next().child().sql().split(".")[-1].strip("`"))
             out.add(",".join(cols))
     return out
 
