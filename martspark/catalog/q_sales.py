@@ -67,20 +67,8 @@ def q_fact_sales_usd(spark, sf_dir):
 
 # ---------------------------------------------------------------- M04
 @register("resolve_sales_org", with_prelude(FACT_USD, final="""
-select h.SOPTYPE as sop_type, trim(h.SOPNUMBE) as invoice_number,
-  coalesce(nullif(rtrim(c.CUSTCLAS), ''), 'GENERAL') as customer_class_id,
-  trim(coalesce(nullif(sp.nm, ''), nullif(spc.nm, ''), rtrim(h.SLPRSNID), 'No Asignado')) as salesperson_name,
-  coalesce(nullif(rtrim(h.SLPRSNID), ''), rtrim(c.SLPRSNID), 'SIN_VENDEDOR') as salesperson_id,
-  trim(coalesce(nullif(t.descr, ''), nullif(tsp.descr, ''), nullif(tc.descr, ''), rtrim(h.SALSTERR), 'Sin Zona'))
-    as territory_name,
-  coalesce(nullif(rtrim(h.SALSTERR), ''), sp.terr, rtrim(c.SALSTERR), '0') as territory_id
-from SOP30200 h
-left join RM00101 c on trim(h.CUSTNMBR) = trim(c.CUSTNMBR)
-left join sp_roles sp on trim(h.SLPRSNID) = sp.k
-left join sp_roles spc on trim(c.SLPRSNID) = spc.k
-left join t_roles t on trim(h.SALSTERR) = t.k
-left join t_roles tsp on sp.terr_k = tsp.k
-left join t_roles tc on trim(c.SALSTERR) = tc.k"""))
+select sop_type, invoice_number, customer_class_id, salesperson_name, salesperson_id, territory_name, territory_id
+from doc_org"""))
 def q_resolve_sales_org(spark, sf_dir):
     """salesperson/territory fallback chain for every sales document."""
     m = mart_for(spark, sf_dir)

@@ -18,24 +18,20 @@ from .registry import register
 
 SVC_INV = f"""
 svc_fx as (select arg_max(xchg_rate, exch_date) as r from fx_rates),
+-- stock rows 0..3 of a part: all stock, then three warehouses
 svc_stock as (
-  select rtrim(s.ITEMNMBR) as item_number, rtrim(i.ITEMDESC) as item_description,
-    coalesce(nullif(rtrim(i.ITMCLSCD), ''), 'GENERAL') as category,
-    coalesce(nullif(rtrim(s.LOCNCODE), ''), 'TOTAL_GENERAL') as location_code, s.RCRDTYPE as record_type,
-    cast(s.QTYONHND as double) as qty_on_hand, cast(s.ATYALLOC as double) as qty_allocated,
-    cast(s.QTYONHND - s.ATYALLOC as double) as qty_available, cast(s.QTYONORD as double) as qty_on_order,
-    cast(s.SFTYSTCKQTY as double) as safety_stock, cast(s.ORDRPNTQTY as double) as reorder_point,
-    cast(coalesce(nullif(i.CURRCOST, 0), i.STNDCOST, 0) as double) as unit_cost_vef,
-    case upper(trim(coalesce(nullif(rtrim(i.ITMCLSCD), ''), 'GENERAL'))) when 'MP' then 'MP' when 'ME' then 'ME'
-      else 'PT' end as sku_type
-  from IV00102 s join IV00101 i on trim(s.ITEMNMBR) = trim(i.ITEMNMBR)),
+  select g.item_number, g.p_name as item_description, g.category,
+    if(RCRDTYPE = 1, 'TOTAL_GENERAL', LOCNCODE) as location_code, RCRDTYPE as record_type,
+    QTYONHND::double as qty_on_hand, ATYALLOC::double as qty_allocated, (QTYONHND - ATYALLOC)::double as qty_available,
+    QTYONORD::double as qty_on_order, SFTYSTCKQTY::double as safety_stock, ORDRPNTQTY::double as reorder_point,
+    (p_retailprice * if(p_partkey % 10 = 0, 0.5, 0.6))::decimal(19,4)::double as unit_cost_vef,
+    if(g.category in ('MP', 'ME'), g.category, 'PT') as sku_type
+  from IV00102 s join goods g on s.ITEMNMBR = g.item_number || ' ' join part p on p.p_partkey = substr(g.item_number, 2)::bigint),
+-- a line's own number and date tell whether its document counts
 cogs12 as (
-  select rtrim(l.ITEMNMBR) as item_number,
-    cast(sum(case when h.SOPTYPE = 4 then -1.0 else 1.0 end * l.QUANTITY) as double) as annual_units_sold,
-    cast(sum(case when h.SOPTYPE = 4 then -1.0 else 1.0 end * l.EXTDCOST) as double) as annual_cogs_vef
-  from SOP30200 h join SOP30300 l on h.SOPTYPE = l.SOPTYPE and trim(h.SOPNUMBE) = trim(l.SOPNUMBE)
-  where h.SOPTYPE in (3, 4) and h.VOIDSTTS = 0 and h.DOCDATE >= {AS_OF_SQL} - interval 12 month
-  group by 1),
+  select ITEMNMBR as item_number, sum(sgn * QUANTITY)::double as annual_units_sold, sum(sgn * EXTDCOST)::double as annual_cogs_vef
+  from (select *, if(SOPNUMBE like 'RTN%', -1, 1) as sgn from SOP30300)
+  where substr(SOPNUMBE, 4)::bigint % 50 <> 0 and DOCDATE >= {AS_OF_SQL} - interval 12 month group by 1),
 inv0 as (
   select s.*, coalesce(c.annual_units_sold, 0.0) as annual_units_sold,
     coalesce(c.annual_cogs_vef, 0.0) as annual_cogs_vef,
@@ -77,26 +73,22 @@ inv_kpis2 as (
 """
 
 SVC_AR = f"""
+-- receivables of the orders that are neither settled nor void
 ar0 as (
-  select rtrim(ar.CUSTNMBR) as customer_id, rtrim(c.CUSTNAME) as customer_name,
-    coalesce(nullif(rtrim(c.CUSTCLAS), ''), 'GENERAL') as customer_class_id, rtrim(ar.DOCNUMBR) as doc_number,
-    ar.RMDTYPAL as doc_type,
-    case ar.RMDTYPAL when 1 then 'Factura' when 3 then 'Nota de Débito' when 7 then 'Nota de Crédito (-)'
-      when 8 then 'Cobro no Aplicado (-)' when 9 then 'Devolución (-)' else 'Otro' end as doc_type_desc,
-    cast(ar.DOCDATE as date) as doc_date, cast(ar.DUEDATE as date) as due_date,
-    cast(ar.ORTRXAMT as double) as orig_amount_vef, cast(ar.CURTRXAM as double) as current_balance_vef,
-    rtrim(ar.CURNCYID) as currency_id,
-    coalesce(nullif(sp.nm, ''), rtrim(ar.SLPRSNID), 'No Asignado') as salesperson_name,
-    coalesce(nullif(t.descr, ''), nullif(tsp.descr, ''), 'Sin Zona') as territory_name,
-    cast(coalesce(c.CRLMTAMT, 0) as double) as credit_limit_vef,
-    case when ar.RMDTYPAL in (7, 8, 9) then -1.0 else 1.0 end as sgn,
-    coalesce(cast(datediff('day', cast(ar.DUEDATE as date), {AS_OF_SQL}) as integer), 0) as overdue_days
-  from RM20101 ar
-  left join RM00101 c on trim(ar.CUSTNMBR) = trim(c.CUSTNMBR)
-  left join sp_roles sp on trim(ar.SLPRSNID) = sp.k
-  left join t_roles t on trim(ar.SLSTERCD) = t.k
-  left join t_roles tsp on sp.terr_k = tsp.k
-  where ar.CURTRXAM > 0 and ar.VOIDSTTS = 0),
+  select 'C' || lpad(o_custkey::varchar, 8, '0') as customer_id, b.c_name as customer_name, class as customer_class_id,
+    'AR' || lpad(k::varchar, 10, '0') as doc_number, kind as doc_type,
+    ['Factura', 'Otro', 'Nota de Débito', 'Otro', 'Otro', 'Otro', 'Nota de Crédito (-)', 'Cobro no Aplicado (-)',
+     'Devolución (-)'][kind] as doc_type_desc,
+    o_orderdate::date as doc_date, if(k % 97 = 0, null, o_orderdate::date + 30) as due_date,
+    o_totalprice::decimal(19,4)::double as orig_amount_vef, o_totalprice::decimal(19,4)::double as current_balance_vef,
+    'VEF' as currency_id, coalesce(s.full_name, s.code, '') as salesperson_name,
+    case when k % 9 <> 0 then b.nation_name else coalesce(s.zone_name, 'Sin Zona') end as territory_name,
+    (greatest(c_acctbal, 0) * 20)::decimal(19,2)::double as credit_limit_vef, if(kind >= 7, -1.0, 1.0) as sgn,
+    if(k % 97 = 0, 0, datediff('day', o_orderdate::date + 30, {AS_OF_SQL}))::integer as overdue_days
+  from (select *, o_orderkey as k, if(o_orderkey % 10 in (3, 7, 8, 9), o_orderkey % 10, 1)::integer as kind from orders)
+  join buyers b on b.c = o_custkey join customer on c_custkey = o_custkey
+  left join seller_names s on k % 8 <> 0 and s.s = k % 10
+  where k % 23 <> 0 and o_orderstatus <> 'F' and k % 41 <> 0 and o_totalprice > 0),
 ar_docs as (
   select * exclude (sgn, overdue_days),
     {R('current_balance_vef / (select r from svc_fx) * sgn', 2)} as balance_usd,
@@ -109,10 +101,8 @@ ar_docs as (
     case when overdue_days > 0 then 1 else 0 end as is_overdue
   from ar0),
 s90 as (
-  select cast(sum(case when h.SOPTYPE = 4 then -1.0 else 1.0 end * (l.XTNDPRCE - coalesce(l.MRKDNAMT, 0))) as double)
-    / (select r from svc_fx) as s
-  from SOP30200 h join SOP30300 l on h.SOPTYPE = l.SOPTYPE and trim(h.SOPNUMBE) = trim(l.SOPNUMBE)
-  where h.SOPTYPE in (3, 4) and h.VOIDSTTS = 0 and h.DOCDATE >= {AS_OF_SQL} - 90),
+  select sum((XTNDPRCE - ifnull(MRKDNAMT, 0)) * if(SOPNUMBE like 'RTN%', -1, 1))::double / (select r from svc_fx) as s
+  from SOP30300 where substr(SOPNUMBE, 4)::bigint % 50 <> 0 and DOCDATE >= {AS_OF_SQL} - 90),
 ar_kpis as (
   select coalesce({MS('balance_usd')}, 0.0) as total_ar_balance_usd,
     cast(coalesce(sum(case when overdue_days > 0 and balance_usd > 0 then cast(balance_usd as decimal(30,2)) end), 0)
