@@ -34,6 +34,7 @@ def main() -> None:
     shuffle_partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(8, int(cpus) * 2))))
 
     from martspark.catalog import QUERIES
+    from martspark.plans.stage import staging
     from martspark.session import local_session
 
     log_dir = os.environ.get("BENCH_EVENT_LOG_DIR")
@@ -49,6 +50,7 @@ def main() -> None:
     t0 = time.perf_counter()
     materialize(spark, sf_dir, extract_dir)
     setup_seconds = round(time.perf_counter() - t0, 3)
+    print(f"# source extracts: {setup_seconds:.3f}s", file=sys.stderr, flush=True)
     alias = f"extracts:{sf_dir}"
     use_extracts(spark, alias, extract_dir)
 
@@ -59,7 +61,8 @@ def main() -> None:
 
         def run_once() -> float:
             t0 = time.perf_counter()
-            fn(spark, alias).write.format("noop").mode("overwrite").save()
+            with staging(spark):
+                fn(spark, alias).write.format("noop").mode("overwrite").save()
             return time.perf_counter() - t0
 
         run_once()  # warm-up (JIT, file listing, broadcast of small sides)
@@ -71,6 +74,7 @@ def main() -> None:
     out = {
         "metric": "sum_of_median_query_seconds",
         "value": round(sum(results.values()), 3),
+        "value_with_source_extracts": round(sum(results.values()) + setup_seconds, 3),
         "unit": "sec",
         "queries": results,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,

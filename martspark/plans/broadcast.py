@@ -18,8 +18,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Hard ceiling for an explicit broadcast hint on master data.
-MAX_BROADCAST_BYTES = 128 * 1024 * 1024
+# Hard ceiling for an explicit broadcast hint on master data.  Catalyst estimates
+# from compressed files and several hints may stack in one query, so it is low.
+MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
