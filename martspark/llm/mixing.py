@@ -45,6 +45,7 @@ SEED = 17
 ROUNDS = 24
 MAX_SOURCES = 10_000
 _CHUNK = 4096
+_SLOTS_PER_TASK = 16_384
 
 
 def hash52(*parts) -> Column:
@@ -150,7 +151,9 @@ def draw_slots(spark, plan: list, shards: int = SHARDS, seed: int = SEED) -> Dat
     chunks = parts.select("shard", "src", "first", "end",
                           F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)).alias("c"))
     start = F.col("first") + F.col("c") * _CHUNK
-    return (chunks.repartition("src", "c", "shard")
+    # the rows are few and short but each stands for many slots: the number of
+    # tasks follows the slots, not the bytes
+    return (chunks.repartition(max(1, math.ceil(total / _SLOTS_PER_TASK)), "src", "c", "shard")
             .select("shard", "src",
                     F.explode(F.sequence(start, F.least(start + _CHUNK, F.col("end")) - 1)).alias("g")))
 
@@ -203,7 +206,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, block_words: int = BLOCK_WORDS, shards
     start = F.greatest(F.col("offset") - F.col("block") * block_words, F.lit(0))
     end = F.least(F.col("offset") + F.col("size") - F.col("block") * block_words, F.lit(block_words))
     pieces = pieces.select("doc_id", "size", "src", "bucket", "rn", "block", start.alias("start"), end.alias("end"))
-    joined = pieces.join(taken, ["src", "block"], "left")
+    # one row per drawn block: grows with the corpus, so never broadcast
+    joined = pieces.join(taken.hint("merge"), ["src", "block"], "left")
     words = (F.coalesce("whole", F.lit(0)) * (F.col("end") - F.col("start"))
              + F.greatest(F.least(F.col("end"), F.coalesce("part", F.lit(0))) - F.col("start"), F.lit(0)))
     out = (joined.groupBy("src", "bucket", "rn", "doc_id", "size")
