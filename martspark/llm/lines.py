@@ -8,10 +8,12 @@ from every page of that host; lines are compared without surrounding white space
 and blank lines are always kept as they are.
 
 A line travels as its 64-bit hash.  Lines are made distinct inside a page before
-they are counted, counts are combined on the map side, and the boilerplate of a
-host is bounded: at most (lines per page) / ratio lines.  Pages get their lines'
-verdicts back by row key, which is unique per text, so a host with a third of
-the pages is never gathered anywhere.
+they are counted, and counts are combined on the map side.  The boilerplate of a
+host is bounded: the pages of a line add up to at most the lines of all pages, so
+a host has fewer than (lines per page) / ratio such lines.  They are gathered to
+one short list per host, which joins the pages by host (sent to every task while
+the lists hold at most ``BROADCAST_ROWS`` lines in all, which is counted), so a
+page's text is not shuffled.
 
 Defined results: a null text stays null and is no page; a null host is a host
 of its own; repeated rows are one page but are each cleaned; tables may be empty;
@@ -24,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.stage import stage
+from .common import BROADCAST_ROWS
 
 RATIO = 0.1
 MIN_PAGES = 5
@@ -60,25 +63,25 @@ def boilerplate(docs: DataFrame, text_col: str = "text", host_col: str = "source
 
 
 def mark_lines(docs: DataFrame, text_col: str = "text", host_col: str = "source", ratio: float = RATIO,
-               min_pages: int = MIN_PAGES, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` with ``__dropped``: the hashes of the page's boilerplate lines (empty, never null)."""
+               min_pages: int = MIN_PAGES) -> DataFrame:
+    """``docs`` with ``__dropped``: the hashes of the host's boilerplate lines (empty, never null)."""
     found = stage(boilerplate(docs, text_col, host_col, ratio, min_pages).select("__host", "__line"), "boilerplate")
-    key = F.struct(_host(F.col(host_col)).alias("h"), F.xxhash64(id_col, text_col).alias("a"),
-                   F.md5(F.col(text_col).cast("binary")).alias("t"))
-    keyed = docs.select("*", key.alias("__key"))
-    lines = F.filter(F.split(F.col(text_col), "\n"), _has_text)
-    held = keyed.select("__key", _host(F.col(host_col)).alias("__host"),
-                        F.explode(F.array_distinct(F.transform(lines, line_hash))).alias("__line"))
-    dropped = (held.join(found, ["__host", "__line"]).groupBy("__key")
-               .agg(F.collect_set("__line").alias("__dropped")))
-    out = keyed.join(dropped, "__key", "left")
+    lists = found.groupBy("__host").agg(F.collect_set("__line").alias("__dropped"))  # bounded per host, see above
+    if found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        lists = F.broadcast(lists)
+    keyed = docs.select("*", _host(F.col(host_col)).alias("__host"))
     empty = F.array().cast("array<bigint>")
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], F.coalesce("__dropped", empty).alias("__dropped"))
+    return keyed.join(lists, "__host", "left").select(*[F.col(f"`{c}`") for c in docs.columns],
+                                                      F.coalesce("__dropped", empty).alias("__dropped"))
+
+
+def _is_dropped(line: Column) -> Column:
+    return _has_text(line) & F.array_contains(F.col("__dropped"), line_hash(line))
 
 
 def cleaned(text_col: str = "text") -> Column:
-    kept = F.filter(F.split(F.col(text_col), "\n"),
-                    lambda x: ~_has_text(x) | ~F.array_contains(F.col("__dropped"), line_hash(x)))
+    """The text without its host's boilerplate lines."""
+    kept = F.filter(F.split(F.col(text_col), "\n"), lambda x: ~_is_dropped(x))
     return F.when(F.size("__dropped") == 0, F.col(text_col)).otherwise(F.array_join(kept, "\n"))
 
 
@@ -92,8 +95,9 @@ def drop_boilerplate(docs: DataFrame, text_col: str = "text", host_col: str = "s
         if c == text_col:
             cols.append(cleaned(text_col).alias(c))
         elif c == length_col:
-            cols.append(F.when(F.size("__dropped") == 0, F.col(f"`{c}`"))
-                        .otherwise(F.length(cleaned(text_col)).cast(docs.schema[c].dataType)).alias(c))
+            changed = F.exists(F.split(F.col(text_col), "\n"), _is_dropped)
+            cols.append(F.when(changed, F.length(cleaned(text_col)).cast(docs.schema[c].dataType))
+                        .otherwise(F.col(f"`{c}`")).alias(c))
         else:
             cols.append(F.col(f"`{c}`"))
     return marked.select(*cols)
@@ -103,7 +107,7 @@ def line_report(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines (with text), n_dropped, text_md5 of what stays: one row per document."""
     marked = mark_lines(docs.select("doc_id", "source", "text"))
     lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), _has_text)
-    dropped = F.filter(lines, lambda x: F.array_contains(F.col("__dropped"), line_hash(x)))
+    dropped = F.filter(lines, _is_dropped)
     return marked.select("doc_id", F.size(lines).cast("long").alias("n_lines"),
                          F.size(dropped).cast("long").alias("n_dropped"),
                          F.md5(cleaned("text").cast("binary")).alias("text_md5"))
