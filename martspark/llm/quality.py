@@ -13,8 +13,9 @@ holdout per stratum (language):
 * the level is delta / (rules * strata): Bonferroni over everything chosen.
 
 So with probability 1 - delta no stratum loses more than ``alpha`` of its good
-documents to the learned rules.  The boldest passing cutoff is used, provided it
-rejects at least one labelled bad document; a rule without one is off there.
+documents to the learned rules.  Any passing cutoff keeps that guarantee; the one
+used rejects the most bad documents, each rejected good one counting against
+``PENALTY`` of them (the safest of equals); a rule without a gain is off there.
 
 Statistics are staged once; the holdout is an equi-join on the document id; the
 counts are partial aggregates.  Labels cover all their rows, nothing is sampled.
@@ -36,6 +37,7 @@ from .common import broadcastable
 
 ALPHA = 0.05
 DELTA = 0.05
+PENALTY = 10
 WINDOW = 8
 _SPACE = r"[ \t-\x0D]+"
 
@@ -137,7 +139,8 @@ def binomial_log_cdf(k: Column, n: Column, p: float) -> Column:
 
 def learn_cutoffs(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", stratum_col: str = "lang",
                   alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """(__stratum, __<rule>): the certified cutoff of each rule, null where it is off."""
+    """(__stratum, __cut_<rule>): the certified cutoff of each rule, null where it
+    is off; strata without any are left out."""
     marks = labels.select(F.col(id_col).alias("__id"), F.col("quality").alias("__good")).where(
         F.col("__good").isin(0, 1)).distinct()
     held = stats.select(F.col(id_col).alias("__id"), F.coalesce(F.col(stratum_col), F.lit("")).alias("__stratum"),
@@ -148,23 +151,24 @@ def learn_cutoffs(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", s
         for j, cut in enumerate(grid):
             over = F.col(f"__{rule}") > cut
             counts += [F.count_if(good & over).alias(f"{rule}_k{j}"), F.count_if(~good & over).alias(f"{rule}_b{j}")]
-    # one row per stratum from here on
-    table = held.groupBy("__stratum").agg(F.count_if(good).alias("n"), *counts)
-    table = stage(table, "holdout-counts")
+    # one row per stratum, then one per stratum and cutoff
+    table = stage(held.groupBy("__stratum").agg(F.count_if(good).alias("n"), *counts), "holdout-counts")
     strata = max(1, table.count())
-    share = alpha / len(RULES)
-    chosen = [F.col("__stratum")]
-    for rule, grid in RULES.items():
-        best = F.lit(None).cast("double")
-        ok = F.lit(True)
-        for j, cut in enumerate(grid):
-            k, bad = F.col(f"{rule}_k{j}"), F.col(f"{rule}_b{j}")
-            level = math.log(delta / len(RULES) / strata)
-            # a share of false rejections at or above the limit cannot pass
-            ok = ok & (k < F.col("n") * share) & (binomial_log_cdf(k, F.col("n"), share) <= level)
-            best = F.when(ok & (bad > 0), F.lit(cut)).otherwise(best)
-        chosen.append(best.alias(f"__cut_{rule}"))
-    return table.select(*chosen)
+    share, level = alpha / len(RULES), math.log(delta / len(RULES) / strata)
+    tried = F.array(*[F.struct(F.lit(rule).alias("rule"), F.lit(j).alias("j"), F.lit(cut).alias("cut"),
+                               F.col(f"{rule}_k{j}").alias("k"), F.col(f"{rule}_b{j}").alias("bad"))
+                      for rule, grid in RULES.items() for j, cut in enumerate(grid)])
+    tests = table.select("__stratum", "n", F.explode(tried).alias("t")).select("__stratum", "n", "t.*")
+    # k grows along a grid and the tail grows with k, so a cutoff that passes has
+    # only passing ones before it; a share at or above the limit cannot pass
+    gain = F.col("bad") - PENALTY * F.col("k")
+    passed = tests.where((F.col("k") < F.col("n") * share) & (gain > 0)).where(
+        binomial_log_cdf(F.col("k"), F.col("n"), share) <= level)
+    merit = F.struct(gain.alias("gain"), (-F.col("j")).alias("safe"))
+    best = passed.groupBy("__stratum").agg(*[
+        F.max_by(F.when(F.col("rule") == r, F.col("cut")), F.when(F.col("rule") == r, merit)).alias(f"__cut_{r}")
+        for r in RULES])
+    return best
 
 
 def judge(stats: DataFrame, cutoffs: DataFrame, stratum_col: str = "lang") -> DataFrame:
@@ -190,7 +194,11 @@ def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the documents that the rules reject; all columns kept."""
-    stats = stage(statistics(docs), "quality-docs")
-    cutoffs = stage(learn_cutoffs(stats, labels), "cutoffs")
-    return judge(stats, cutoffs).where("__kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` without the documents that the rules reject; all columns kept.
+
+    The statistics are staged without the texts to learn from, and computed a
+    second time where the texts are filtered: no text is written or shuffled."""
+    names = docs.columns
+    texts = docs.select("doc_id", "lang", "text")
+    cutoffs = stage(learn_cutoffs(stage(statistics(texts).drop("text"), "quality"), labels), "cutoffs")
+    return judge(statistics(docs), cutoffs).where("__kept").select(*[F.col(f"`{c}`") for c in names])
