@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.stage import stage
+from ..plans.stage import discard, stage
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -44,7 +44,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if state == before or not state[0]:
             break
         before = state
-        now = stage(_step(_step(now, _large_star), _small_star), "edges")
+        old, now = now, stage(_step(_step(now, _large_star), _small_star), "edges")
+        discard(old)
     else:
         raise RuntimeError("components did not settle")
     # a settled table is a set of stars: u -> centre

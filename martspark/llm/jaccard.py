@@ -10,19 +10,23 @@ Sets are the distinct 4-word shingles of a text; two texts link when
 3. Each representative emits its prefix: the first n - ceil(0.85 n) + 1
    shingles.  Two sets that link share a prefix shingle.  Shingles with a single
    holder leave here.
-4. Star rounds: on each shared prefix shingle all holders are paired with one
-   leader, not with each other; pairs pass the length, positional and suffix
-   filters, are verified once on their full sets, and the found links are
-   contracted to components.  Rounds only save work.
-5. The last pass is exact: on each prefix shingle whose holders are still in
+4. A shared prefix shingle with two holders gives their pair.  On the others, a
+   star round pairs all holders with a few leaders, not with each other.  Pairs
+   pass the length, positional and suffix filters, are verified once on their
+   full sets, and the found links are contracted to components.  The round only
+   saves work.
+5. The last pass is exact.  On each prefix shingle whose holders are still in
    different components, all remaining cross-component pairs go through the
-   filters and the verification.  Holders are cut into cells of about 256;
-   cells of one component are not compared with each other, so a large group of
-   near copies costs no pairs once the rounds have merged it.
+   filters; what passes joins its documents to candidate clusters (a spanning
+   set of pairs is enough for that).  Inside a cluster all cross-component pairs
+   are verified, block against block, with one matrix product of the blocks'
+   shingle incidence.  Holders and clusters are cut into cells of about 256
+   documents; cells of one component are not compared with each other, so a
+   large group of near copies costs nothing once the round has merged it.
 
-The suffix filter compares histograms of the sets over 64 hash ranges: the sum
-of differences is a lower bound of the symmetric difference.  Shingles travel as
-64-bit hashes.
+The suffix filter compares histograms of the sets over hash ranges, about one
+range for eight shingles: the sum of differences is a lower bound of the
+symmetric difference.  Shingles travel as 64-bit hashes.
 
 Defined results: null and word-less texts have the empty set and link with
 nothing; fewer than 4 words are one shingle; a null id links with nothing and
@@ -38,16 +42,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, LongType, StructField, StructType
 
-from ..plans.stage import stage
+from ..plans.stage import discard, stage
 from .common import broadcastable, flat_arrow, space_words, with_arrow, with_arrow_batches
 from .components import connected_components
 
 WORDS = 4
 NUM, DEN = 85, 100  # similarity 0.85, in integers
 SKETCH_BITS = 18
-RANGES = 64
+RANGES = 64          # for a set of up to 512 shingles; doubled with the size
 CELL = 256
-STAR_ROUNDS = 4
+STAR_ROUNDS = 1
+LEADERS = 3
 
 _K = np.uint64(0x9E3779B97F4A7C15)
 _S = np.uint64(29)
@@ -122,9 +127,7 @@ def describe(docs: DataFrame, counts: np.ndarray, text_col: str = "text") -> Dat
             f1 = int(mixed.sum(dtype=np.uint64).view(np.int64))
             f2 = int(np.bitwise_xor.reduce(mixed * _K ^ s).view(np.int64))
             order = np.lexsort((s, counts[(s >> np.uint64(64 - bits)).astype(np.int64)]))[:prefix_length(n)]
-            # ranges by low bits: the buckets of the order use the high ones
-            ranges = np.minimum(np.bincount((s & np.uint64(RANGES - 1)).astype(np.int64), minlength=RANGES), 255)
-            return n, f1, f2, s[order].view(np.int64), ranges.astype(np.uint8).tobytes()
+            return n, f1, f2, s[order].view(np.int64), range_counts(s).tobytes()
 
         return one
 
@@ -134,9 +137,28 @@ def describe(docs: DataFrame, counts: np.ndarray, text_col: str = "text") -> Dat
     return out.drop(text_col)
 
 
+def range_counts(s: np.ndarray) -> np.ndarray:
+    """Shingles in each hash range (by low bits: the buckets of the order use the high ones), at most 255."""
+    size = RANGES
+    while size * 8 < len(s):
+        size *= 2
+    return np.minimum(np.bincount((s & np.uint64(size - 1)).astype(np.int64), minlength=size), 255).astype(np.uint8)
+
+
+def folded(ranges: np.ndarray, size: int) -> np.ndarray:
+    """Counts (last axis) over ``size`` ranges; capped counts stay at the cap."""
+    while ranges.shape[-1] > size:
+        half = ranges.shape[-1] // 2
+        ranges = np.minimum(ranges[..., :half].astype(np.int16) + ranges[..., half:], 255).astype(np.uint8)
+    return ranges
+
+
 def may_link(na, nb, ranges_a: np.ndarray, ranges_b: np.ndarray):
-    """Suffix filter: range differences within the symmetric difference that a link allows."""
-    gap = np.abs(ranges_a.astype(np.int16) - ranges_b.astype(np.int16)).sum(axis=-1)
+    """Suffix filter: range differences within the symmetric difference that a link allows.
+    Counts capped at 255 differ by no more than the true ones, so the bound holds."""
+    size = min(ranges_a.shape[-1], ranges_b.shape[-1])
+    a, b = folded(ranges_a, size), folded(ranges_b, size)
+    gap = np.abs(a.astype(np.int16) - b.astype(np.int16)).sum(axis=-1, dtype=np.int64)
     return gap <= na + nb - 2 * smallest_overlap(na, nb)
 
 
@@ -150,7 +172,8 @@ def _position_ok(na, pa, nb, pb):
 
 
 class Join:
-    """The steps of one run; ``texts`` has (id, text), ``reps`` (id, n, f1, ranges)."""
+    """The steps of one run; ``texts`` has (id, text), ``reps`` (id, n, f1, ranges),
+    ``holders`` (token, id, n, pos) of the shingles with three or more holders."""
 
     def __init__(self, texts: DataFrame, reps: DataFrame, holders: DataFrame):
         self.texts, self.reps, self.holders = texts, reps, holders
@@ -174,9 +197,8 @@ class Join:
 
         def make():
             def each(na, nb, ra, rb):
-                a = np.frombuffer(b"".join(ra), dtype=np.uint8).reshape(-1, RANGES)
-                b = np.frombuffer(b"".join(rb), dtype=np.uint8).reshape(-1, RANGES)
-                return [may_link(np.array(na), np.array(nb), a, b)]
+                return [[bool(may_link(x, y, np.frombuffer(a, dtype=np.uint8), np.frombuffer(b, dtype=np.uint8)))
+                         for x, y, a, b in zip(na, nb, ra, rb, strict=True)]]
 
             return each
 
@@ -185,142 +207,171 @@ class Join:
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Links (u, v) among the staged pairs (a, b, fa, fb), each pair once on full sets."""
-        ids = stage(pairs.select(F.col("a").alias("id"), F.col("fa").alias("f1"))
-                    .unionByName(pairs.select(F.col("b").alias("id"), F.col("fb").alias("f1"))).distinct(), "pair-ids")
-
-        def make_sets():
-            def one(text, f1):
-                s = shingles(text)
-                mixed = (s ^ (s >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-                own = int(mixed.sum(dtype=np.uint64).view(np.int64))
-                return (s.tobytes() if own == f1 else None,)  # None: another text under the same id
-
-            return one
-
-        sets = with_arrow(self.texts.join(broadcastable(ids), "id"), ["text", "f1"], make_sets,
-                          [StructField("shingles", BinaryType())])
-        sets = stage(sets.where(F.col("shingles").isNotNull()).select("id", "shingles"), "pair-sets")
-        sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("parts"))
-        split = pairs.join(sizes, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").cast("int").alias("part"))
-        members = split.join(sets.withColumnRenamed("id", "b"), "b").select("a", "part", "b", "shingles")
-        leaders = (sizes.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-                   .join(sets.withColumnRenamed("id", "a"), "a")
-                   .select("a", "part", F.lit(None).cast("long").alias("b"), "shingles"))
-        rows = leaders.unionByName(members)
-        rows = rows.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+        ids = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("fa").alias("f1")),
+                                             F.struct(F.col("b").alias("id"), F.col("fb").alias("f1")))).alias("p"))
+        texts = self.texts_of(ids.select("p.*").distinct())
+        group = connected_components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        parts = group.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("parts"))
+        block = stage(group.join(parts, "comp").select(
+            "id", F.col("comp").alias("g"), F.pmod(F.xxhash64("id"), "parts").cast("int").alias("block")), "blocks")
+        placed = (pairs.select("a", "b").join(block.select(F.col("id").alias("a"), "g", F.col("block").alias("x")), "a")
+                  .join(block.select(F.col("id").alias("b"), F.col("block").alias("y")), "b")
+                  .select("a", "b", "g", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")))
+        placed = stage(placed, "placed")
+        spots = placed.select(F.explode(F.array("a", "b")).alias("id"), "g", "x", "y").distinct()
+        members = texts.join(broadcastable(stage(spots, "spots")), "id").select(
+            "g", "x", "y", F.col("id").alias("a"), F.lit(None).cast("long").alias("b"), "text", "f1")
+        rows = members.unionByName(placed.select("*", F.lit(None).cast("string").alias("text"),
+                                                 F.lit(None).cast("long").alias("f1")))
+        rows = rows.repartition("g", "x", "y").sortWithinPartitions("g", "x", "y", F.col("b").asc_nulls_first())
 
         def make():
-            lead = [None, None]
+            held: dict = {}
+            now = [None]
 
-            def per_batch(a, part, b, data):
+            def per_batch(g, x, y, a, b, text, f1):
                 out = []
-                for x, y, s in zip(a, b, data, strict=True):
-                    own = np.frombuffer(s, dtype=np.uint64)
-                    if y is None:
-                        lead[:] = [x, own]  # sorted first in its group; repeated rows are the same set
-                    elif lead[0] == x:
-                        i = len(np.intersect1d(lead[1], own, assume_unique=True))
-                        if DEN * i >= NUM * (len(lead[1]) + len(own) - i):
-                            out.append((x, y))
+                for *key, i, j, t, f in zip(g, x, y, a, b, text, f1, strict=True):
+                    if key != now[0]:
+                        held.clear()
+                        now[0] = key
+                    if j is None:  # the texts of a group come before its pairs
+                        if (own := _own_shingles(t, f)) is not None:
+                            held[i] = own
+                    else:
+                        one, two = held[i], held[j]
+                        n = len(np.intersect1d(one, two, assume_unique=True))
+                        if DEN * n >= NUM * (len(one) + len(two) - n):
+                            out.append((i, j))
                 return out
 
             return per_batch, list
 
-        return flat_arrow(rows, make, StructType([StructField("u", LongType()), StructField("v", LongType())]))
+        return flat_arrow(rows, make, LINK)
+
+    def texts_of(self, ids: DataFrame) -> DataFrame:
+        """(id, text, f1) of the given (id, f1); an id with several texts gives each of them."""
+        return self.texts.join(broadcastable(stage(ids, "pair-ids")), "id")
 
     def absorb(self, pairs: DataFrame) -> int:
         """Verify the candidate pairs and contract the links; returns the number of candidates."""
         pairs = stage(self.suffix_filtered(pairs), "pairs")
         n = pairs.count()
         if n:
-            links = stage(self.verified(pairs), "links")
-            for side in ("u", "v"):  # in terms of present components
-                links = (links.join(self.comp.withColumnRenamed("id", side), side, "left")
-                         .withColumn(side, F.coalesce("comp", side)).drop("comp"))
-            merged = stage(connected_components(links).withColumnRenamed("comp", "new"), "merged")
-            old = self.comp.join(merged.withColumnRenamed("id", "comp"), "comp", "left")
-            old = old.select("id", F.coalesce("new", "comp").alias("comp"))
-            fresh = merged.join(self.comp, "id", "left_anti").select("id", F.col("new").alias("comp"))
-            self.comp = stage(old.unionByName(fresh), "components")
+            self.contract(self.verified(pairs))
+        discard(pairs)
         return n
 
-    def star_round(self, r: int) -> int:
+    def contract(self, links: DataFrame) -> None:
+        links = stage(links, "links")
+        now = links
+        for side in ("u", "v"):  # in terms of present components
+            now = (now.join(self.comp.withColumnRenamed("id", side), side, "left")
+                   .withColumn(side, F.coalesce("comp", side)).drop("comp"))
+        merged = connected_components(now).withColumnRenamed("comp", "new")
+        old = self.comp.join(merged.withColumnRenamed("id", "comp"), "comp", "left")
+        old = old.select("id", F.coalesce("new", "comp").alias("comp"))
+        fresh = merged.join(self.comp, "id", "left_anti").select("id", F.col("new").alias("comp"))
+        was, self.comp = self.comp, stage(old.unionByName(fresh), "components")
+        discard(was)
+        discard(links)
+
+    def star_pairs(self, r: int) -> DataFrame:
+        """Holders of open shingles paired with the shingle's leaders of round ``r``."""
+        held = self.labelled()
+        keys = [F.struct(F.xxhash64("id", F.lit(r * LEADERS + i)).alias("h"), F.col("id"), F.col("n"), F.col("pos"),
+                         F.col("comp")) for i in range(LEADERS)]
+        lead = (held.groupBy("token").agg(F.array(*[F.min(k) for k in keys]).alias("leads"),
+                                          F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+                .where(F.col("c0") != F.col("c1")).select("token", F.array_distinct("leads").alias("leads")))
+        pairs = held.join(lead, "token").select("id", "n", "pos", "comp", F.explode("leads").alias("k"))
+        pairs = pairs.where((F.col("comp") != F.col("k.comp")) & _length_ok(F.col("n"), F.col("k.n"))
+                            & _position_ok(F.col("n"), F.col("pos"), F.col("k.n"), F.col("k.pos")))
+        return pairs.select(F.least("k.id", "id").alias("a"), F.greatest("k.id", "id").alias("b"))
+
+    def last_pass(self) -> None:
         held = self.labelled()
-        key = F.struct(F.xxhash64("id", F.lit(r)).alias("h"), F.col("id"), F.col("n"), F.col("pos"), F.col("comp"))
-        lead = (held.groupBy("token").agg(F.min(key).alias("k"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
-                .where(F.col("c0") != F.col("c1")).select("token", "k"))
-        pairs = held.join(lead, "token").where(
-            (F.col("comp") != F.col("k.comp")) & _length_ok(F.col("n"), F.col("k.n"))
-            & _position_ok(F.col("n"), F.col("pos"), F.col("k.n"), F.col("k.pos")))
-        return self.absorb(pairs.select(F.col("k.id").alias("a"), F.col("id").alias("b")).distinct())
-
-    def last_pass(self) -> int:
-        held = stage(self.labelled(), "held")
-        tokens = (held.groupBy("token")
-                  .agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count(F.lit(1)).alias("cnt"),
-                       F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
-                  .where(F.col("c0") != F.col("c1"))
-                  .groupBy("cnt", "x", "y").agg(F.min("token").alias("token")))  # one shingle per set of holders
+        tokens = (held.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+                  .where(F.col("c0") != F.col("c1")))
         held = stage(held.join(tokens.select("token"), "token", "left_semi"), "open")
-        parts = held.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("m"))
-        small = parts.where(F.col("m") < CELL).groupBy("token").agg(F.sum("m").alias("small"))
-        cells = parts.join(small, "token", "left").select(
-            "token", "comp", F.when(F.col("m") >= CELL, F.col("comp")).alias("big"),
-            F.when(F.col("m") >= CELL, F.ceil(F.col("m") / CELL)).otherwise(F.ceil(F.col("small") / CELL))
-            .cast("long").alias("parts"))
-        rows = held.join(cells, ["token", "comp"])
-        salt = F.pmod(F.when(F.col("big").isNull(), F.xxhash64("comp")).otherwise(F.xxhash64("id")), F.col("parts"))
-        rows = stage(rows.select("token", "id", "n", "pos", "comp", "big", salt.alias("salt")), "cells")
-        listed = rows.select("token", "big", "salt").distinct().withColumn("cell", F.xxhash64("token", "big", "salt"))
-        one = listed.select("token", F.col("cell").alias("c1"), F.col("big").alias("b1"))
-        two = listed.select("token", F.col("cell").alias("c2"), F.col("big").alias("b2"))
-        pairs = one.join(two, "token").where((F.col("c1") <= F.col("c2"))
-                                             & ~F.coalesce(F.col("b1") == F.col("b2"), F.lit(False)))
-        group = F.struct("c1", "c2")
-        sides = (pairs.select(F.col("c1").alias("cell"), group.alias("g"), F.lit(0).alias("side"))
-                 .unionByName(pairs.where("c1 <> c2").select(F.col("c2").alias("cell"), group.alias("g"),
-                                                              F.lit(1).alias("side"))))
-        rows = rows.select(F.xxhash64("token", "big", "salt").alias("cell"), "id", "n", "pos", "comp")
-        rows = rows.join(self.reps.select("id", "ranges"), "id")
-        grouped = (sides.join(rows, "cell").select("g.c1", "g.c2", "side", "id", "n", "pos", "comp", "ranges")
-                   .repartition("c1", "c2").sortWithinPartitions("c1", "c2"))
-        found = flat_arrow(grouped, _cross_pairs, StructType([StructField("a", LongType()), StructField("b", LongType())]))
-        return self.absorb(found.distinct())
-
-
-def _cross_pairs():
-    """Per-task function: candidate pairs of each (c1, c2) group of sorted rows."""
+        cells, pairs = _cells(held, "token")
+        rows = cells.join(self.reps.select("id", "ranges"), "id")
+        edges = flat_arrow(_by_cell_pair(rows, pairs, ["id", "n", "pos", "comp", "ranges"]), _candidate_edges, LINK)
+        edges = stage(edges.distinct(), "candidate-edges")
+        if not edges.limit(1).count():
+            return
+        cluster = connected_components(edges).withColumnRenamed("comp", "g")
+        members = cluster.join(self.comp, "id", "left").select("id", "g", F.coalesce("comp", "id").alias("comp"))
+        cells, pairs = _cells(stage(members, "clusters"), "g")
+        texts = self.texts_of(cells.join(self.reps.select("id", "f1"), "id").select("id", "f1").distinct())
+        rows = broadcastable(_by_cell_pair(cells, pairs, ["id", "comp"], shuffle=False)).join(texts, "id")
+        rows = rows.select("c1", "c2", "side", "id", "comp", "text", "f1")
+        rows = rows.repartition("c1", "c2").sortWithinPartitions("c1", "c2")
+        self.contract(flat_arrow(rows, _cross_links, LINK))
+
+
+LINK = StructType([StructField("u", LongType()), StructField("v", LongType())])
+
+
+def _cells(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of each key cut into cells of about CELL rows, and the pairs
+    (c1, c2) of cells to compare: components of CELL rows or more have cells of
+    their own, which are not compared with each other; the others share cells."""
+    parts = rows.groupBy(key, "comp").agg(F.count(F.lit(1)).alias("m"))
+    small = parts.where(F.col("m") < CELL).groupBy(key).agg(F.sum("m").alias("small"))
+    sizes = parts.join(small, key, "left").select(
+        key, "comp", F.when(F.col("m") >= CELL, F.col("comp")).alias("big"),
+        F.when(F.col("m") >= CELL, F.ceil(F.col("m") / CELL)).otherwise(F.ceil(F.col("small") / CELL))
+        .cast("long").alias("parts"))
+    salt = F.pmod(F.when(F.col("big").isNull(), F.xxhash64("comp")).otherwise(F.xxhash64("id")), F.col("parts"))
+    placed = rows.join(sizes, [key, "comp"]).select(*rows.columns, "big", F.xxhash64(key, "big", salt).alias("cell"))
+    placed = stage(placed, "cells")
+    listed = placed.select(key, "big", "cell").distinct()
+    one = listed.select(key, F.col("cell").alias("c1"), F.col("big").alias("b1"))
+    two = listed.select(key, F.col("cell").alias("c2"), F.col("big").alias("b2"))
+    pairs = one.join(two, key).where((F.col("c1") <= F.col("c2")) & ~F.coalesce(F.col("b1") == F.col("b2"), F.lit(False)))
+    return placed, pairs.select("c1", "c2")
+
+
+def _by_cell_pair(rows: DataFrame, pairs: DataFrame, columns: list[str], shuffle: bool = True) -> DataFrame:
+    """The rows of both cells of each pair, side 0 (c1) and side 1 (c2), a pair's rows together."""
+    side = F.when(F.col("c1") == F.col("c2"), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))
+    sides = pairs.select("c1", "c2", F.explode(side).alias("side"))
+    sides = sides.withColumn("cell", F.when(F.col("side") == 0, F.col("c1")).otherwise(F.col("c2")))
+    out = sides.join(rows, "cell").select("c1", "c2", "side", *columns)
+    return out.repartition("c1", "c2").sortWithinPartitions("c1", "c2") if shuffle else out
+
+
+def _own_shingles(text: str, f1: int) -> np.ndarray | None:
+    """The shingles of the text with fingerprint ``f1`` (None: another text under the same id)."""
+    s = shingles(text)
+    mixed = (s ^ (s >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return s if int(mixed.sum(dtype=np.uint64).view(np.int64)) == f1 else None
+
+
+class Union:
+    """Which of a few ids are already connected."""
+
+    def __init__(self):
+        self.root: dict = {}
+
+    def find(self, x):
+        while (up := self.root.get(x, x)) != x:
+            self.root[x] = x = self.root.get(up, up)
+        return x
+
+    def join(self, x, y) -> bool:
+        a, b = self.find(x), self.find(y)
+        self.root[max(a, b)] = min(a, b)
+        return a != b
+
+
+def _grouped(close):
+    """Per-task function over rows sorted by (c1, c2): ``close(same cell?, rows)`` at the end of each pair."""
     key, rows = [None], []
 
-    def close():
-        out = []
-        if len(rows) > 1:
-            same = key[0][0] == key[0][1]
-            left = rows if same else [r for r in rows if r[0] == 0]
-            right = rows if same else [r for r in rows if r[0] == 1]
-            n = np.array([r[2] for r in right])
-            pos = np.array([r[3] for r in right])
-            comp = np.array([r[4] for r in right])
-            hist = None
-            for i, (_, x, nx, px, cx, rx) in enumerate(left):
-                lo = i + 1 if same else 0
-                if lo >= len(right):
-                    break
-                m = n[lo:]
-                ok = (comp[lo:] != cx) & (np.minimum(m, nx) * DEN >= np.maximum(m, nx) * NUM)
-                if not ok.any():
-                    continue
-                q = pos[lo:]
-                most = np.minimum(q, px) + 1 + np.minimum(m - q - 1, nx - px - 1)
-                at = np.flatnonzero(ok & (most * (NUM + DEN) >= (m + nx) * NUM))
-                if not len(at):
-                    continue
-                if hist is None:
-                    hist = np.frombuffer(b"".join(r[5] for r in right), dtype=np.uint8).reshape(-1, RANGES)
-                mine = np.frombuffer(rx, dtype=np.uint8)
-                for j in at[may_link(m[at], nx, hist[lo:][at], mine)].tolist():
-                    y = right[lo + j][1]
-                    out.append((min(x, y), max(x, y)))
+    def end():
+        out = close(key[0][0] == key[0][1], rows) if len(rows) > 1 else []
         rows.clear()
         return out
 
@@ -328,12 +379,104 @@ def _cross_pairs():
         out = []
         for k1, k2, *r in zip(c1, c2, *cols, strict=True):
             if key[0] != (k1, k2):
-                out += close()
+                out += end()
                 key[0] = (k1, k2)
             rows.append(r)
         return out
 
-    return per_batch, close
+    return per_batch, end
+
+
+def _candidate_edges():
+    """Spanning pairs of the candidate graph of each cell pair."""
+
+    def close(same, rows):
+        left = rows if same else [r for r in rows if r[0] == 0]
+        right = rows if same else [r for r in rows if r[0] == 1]
+        out, known, hist = [], Union(), {}
+        size = np.array([len(r[5]) for r in right])
+        n, pos, comp = (np.array([r[k] for r in right]) for k in (2, 3, 4))
+        for i, (_, x, nx, px, cx, rx) in enumerate(left):
+            lo = i + 1 if same else 0
+            if lo >= len(right):
+                break
+            m = n[lo:]
+            ok = (comp[lo:] != cx) & (np.minimum(m, nx) * DEN >= np.maximum(m, nx) * NUM)
+            if not ok.any():
+                continue
+            q = pos[lo:]
+            most = np.minimum(q, px) + 1 + np.minimum(m - q - 1, nx - px - 1)
+            at = np.flatnonzero(ok & (most * (NUM + DEN) >= (m + nx) * NUM))
+            if not len(at):
+                continue
+            mine = np.frombuffer(rx, dtype=np.uint8)
+            near = []
+            for k in np.unique(size[lo:][at]).tolist():  # one matrix for each number of ranges
+                if k not in hist:
+                    own = np.flatnonzero(size == k)
+                    place = np.zeros(len(right), dtype=np.int64)
+                    place[own] = np.arange(len(own))
+                    hist[k] = place, np.frombuffer(b"".join(right[i][5] for i in own.tolist()),
+                                                   dtype=np.uint8).reshape(-1, k)
+                place, matrix = hist[k]
+                some = at[size[lo:][at] == k]
+                near += some[may_link(m[some], nx, matrix[place[lo + some]], mine)].tolist()
+            for j in sorted(near):
+                y = right[lo + j][1]
+                if known.join(x, y):
+                    out.append((x, y))
+        return out
+
+    return _grouped(close)
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """|intersection| of every left and right set, by products of incidence
+    matrices over ``width`` shared shingles at a time."""
+    sets = left + right
+    value, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    shared = held > (2 if left is right else 1)  # by more than one set
+    keep = shared[column]
+    number = np.cumsum(shared) - 1  # shared shingles numbered from 0
+    row, column = row[keep], number[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    total = int(number[-1]) + 1 if len(number) else 0
+    for lo in range(0, total, width):
+        a, b = np.searchsorted(column, (lo, lo + width))
+        part = np.zeros((len(sets), width), dtype=np.float32)
+        part[row[a:b], column[a:b] - lo] = 1
+        out += part[:len(left)] @ part[len(left):].T
+    return out.astype(np.int64)
+
+
+def _cross_links():
+    """Links that connect the components of each cell pair (a spanning set of them)."""
+
+    def close(same, rows):
+        sets = [(side, i, c, s) for side, i, c, t, f in rows if (s := _own_shingles(t, f)) is not None]
+        sets = list({(side, i): r for r in sets for side, i in [r[:2]]}.values())  # repeated rows once
+        left = sets if same else [r for r in sets if r[0] == 0]
+        right = sets if same else [r for r in sets if r[0] == 1]
+        if not left or not right:
+            return []
+        one = [r[3] for r in left]
+        two = one if same else [r[3] for r in right]
+        both = overlaps(one, two)
+        na, nb = (np.array([len(s) for s in x]) for x in (one, two))
+        link = both >= smallest_overlap(na[:, None], nb[None, :])
+        link &= np.array([r[2] for r in left])[:, None] != np.array([r[2] for r in right])[None, :]
+        if same:
+            link = np.triu(link, 1)
+        out, known = [], Union()
+        for i, j in np.argwhere(link).tolist():
+            if known.join(left[i][2], right[j][2]):
+                out.append((left[i][1], right[j][1]))
+        return out
+
+    return _grouped(close)
 
 
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -343,17 +486,29 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = stage(all_docs.where((F.col("n") > 0) & F.col("id").isNotNull())
                     .groupBy("f1", "f2", "n").agg(F.min("id").alias("rep")), "classes")
     of_rep = classes.select("f1", "f2", F.col("rep").alias("id"))
-    reps = all_docs.join(of_rep, ["f1", "f2", "id"], "left_semi").dropDuplicates(["id", "f1", "f2"])
+    reps = all_docs.join(of_rep, ["f1", "f2", "id"], "left_semi").dropDuplicates(["f1", "f2", "id"])
+    reps = stage(reps, "representatives")
     prefixes = reps.select("id", "n", F.posexplode("prefix").alias("pos", "token"))
     shared = stage(reps.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("c"))
                    .where(F.col("c") > 1).select("token"), "shared-tokens")
     holders = stage(prefixes.join(broadcastable(shared), "token"), "holders")
-    # a representative id with several texts is described by one of them per fingerprint
-    narrow = stage(reps.join(holders.select("id").distinct(), "id", "left_semi").select("id", "n", "f1", "ranges"), "reps")
-    run = Join(texts, narrow, holders)
+    at = F.struct("id", "n", "pos")
+    tokens = stage(holders.groupBy("token").agg(
+        F.count(F.lit(1)).alias("c"), F.min(at).alias("lo"), F.max(at).alias("hi"),
+        F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")), "tokens")
+    twos = tokens.where((F.col("c") == 2) & _length_ok(F.col("lo.n"), F.col("hi.n"))
+                        & _position_ok(F.col("lo.n"), F.col("lo.pos"), F.col("hi.n"), F.col("hi.pos")))
+    # one shingle for each set of three or more holders
+    more = tokens.where("c > 2").groupBy("c", "x", "y").agg(F.min("token").alias("token")).select("token")
+    run = Join(texts, reps.select("id", "n", "f1", "ranges"),
+               stage(holders.join(broadcastable(stage(more, "open-tokens")), "token"), "open-holders"))
+    first = twos.select(F.col("lo.id").alias("a"), F.col("hi.id").alias("b"))
     for r in range(STAR_ROUNDS):
-        if not run.star_round(r):
+        pairs = run.star_pairs(r)
+        if not run.absorb((pairs if r else pairs.unionByName(first)).distinct()):
             break
+    if not STAR_ROUNDS:  # everything is left to the last pass
+        run.absorb(first.distinct())
     run.last_pass()
     labels = classes.join(run.comp.withColumnRenamed("id", "rep"), "rep", "left")
     labels = labels.select("f1", "f2", "n", F.coalesce("comp", "rep").alias("component"))

@@ -144,6 +144,19 @@ def test_jaccard_of_one_large_group_and_edges(spark, docs_of, monkeypatch):
     assert jaccard.link_components(docs_of([])).count() == 0
 
 
+def test_overlaps_equal_set_intersections():
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    sets = [np.unique(rng.integers(0, 300, rng.integers(1, 120)).astype(np.uint64)) for _ in range(20)]
+    for left, right in ((sets, sets), (sets[:7], sets[7:])):
+        got = jaccard.overlaps(left, right, width=16)
+        for i, a in enumerate(left):
+            for j, b in enumerate(right):
+                if left is not right or i != j:
+                    assert got[i, j] == len(np.intersect1d(a, b))
+
+
 def test_keep_one_of_each_group(spark, docs_of):
     rows = [(1, "a b c d e f", "en", "s"), (2, "A B C D E F", "en", "s"), (2, "A B C D E F", "en", "s"),
             (3, "other words stand in here", "en", "s"), (4, "", "en", "s"), (5, None, "en", "s"), (6, "", "en", "s"),
