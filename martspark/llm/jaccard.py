@@ -519,18 +519,21 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each component (the smallest id); texts
-    without shingles and rows without id all stay.  All columns kept."""
-    found = link_components(docs, id_col, text_col)
+    without shingles and rows without id all stay.  All columns kept.
+
+    Only ids decide: those to leave out join the documents (sent to every task
+    while they are few enough, which is counted), so texts are not shuffled.
+    Repeated rows of a chosen id are copies of it: one of them stays."""
+    found = link_components(docs, id_col, text_col).where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
+    ids = found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("chosen"),
+                                      F.count(F.lit(1)).alias("rows"))
+    special = stage(ids.where(~F.col("chosen") | (F.col("rows") > 1)).withColumnRenamed("doc_id", "__id"), "not-kept")
     cols = [F.col(f"`{c}`") for c in docs.columns]
-    chosen = (found.where((F.col("n_shingles") > 0) & (F.col("doc_id") == F.col("component_id")))
-              .select(F.col("doc_id").alias("__id")).distinct())
-    keyed = docs.withColumn("__id", F.col(id_col).cast("long"))
     has_words = F.trim(F.coalesce(F.col(text_col), F.lit("")), F.lit(" \t\n\x0b\x0c\r")) != ""
-    alone = keyed.where(F.col("__id").isNull() | ~has_words)
-    one = keyed.where(F.col("__id").isNotNull() & has_words).join(chosen, "__id", "left_semi")
-    # repeated rows of the chosen id are copies of it: one stays
-    one = one.groupBy("__id").agg(F.min(F.struct(*cols)).alias("row")).select("row.*")
-    return one.unionByName(alone.select(*cols))
+    keyed = docs.withColumn("__id", F.when(has_words, F.col(id_col).cast("long")))  # null keys match nothing
+    single = keyed.join(broadcastable(special.select("__id")), "__id", "left_anti").select(*cols)
+    twice = keyed.join(broadcastable(special.where("chosen").select("__id")), "__id", "left_semi")
+    return single.unionByName(twice.groupBy("__id").agg(F.min(F.struct(*cols)).alias("row")).select("row.*"))
 
 
 def brute_force(docs) -> list[tuple]:
