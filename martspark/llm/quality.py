@@ -194,11 +194,7 @@ def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the documents that the rules reject; all columns kept.
-
-    The statistics are staged without the texts to learn from, and computed a
-    second time where the texts are filtered: no text is written or shuffled."""
-    names = docs.columns
-    texts = docs.select("doc_id", "lang", "text")
-    cutoffs = stage(learn_cutoffs(stage(statistics(texts).drop("text"), "quality"), labels), "cutoffs")
-    return judge(statistics(docs), cutoffs).where("__kept").select(*[F.col(f"`{c}`") for c in names])
+    """``docs`` without the documents that the rules reject; all columns kept."""
+    stats = stage(statistics(docs), "quality-docs")  # staged: the filter would repeat the expressions
+    cutoffs = stage(learn_cutoffs(stats, labels), "cutoffs")
+    return judge(stats, cutoffs).where("__kept").select(*[F.col(f"`{c}`") for c in docs.columns])
