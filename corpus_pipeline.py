@@ -15,6 +15,9 @@ from martspark.llm import decontaminate, jaccard, lines, mixing, quality
 from martspark.llm.common import table
 from martspark.plans.stage import stage
 
+# The query op6_jaccard has a contract of its own (jaccard.OP6); the stage takes the wider net.
+NEAR = jaccard.Rule(words=5, num=80, den=100)
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the certified cutoffs keep."""
@@ -27,8 +30,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of linked documents."""
-    return jaccard.keep_one(docs)
+    """One document of each component of linked documents (5-word shingles, similarity 0.8 or more)."""
+    return jaccard.keep_one(docs, rule=NEAR)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

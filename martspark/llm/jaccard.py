@@ -1,14 +1,15 @@
 """Exact n-gram Jaccard self-join by rare-first prefix filtering (operator 6).
 
-Sets are the distinct 4-word shingles of a text; two texts link when
-100 * |intersection| >= 85 * |union|.
+Sets are the distinct shingles of a text; two texts link when
+den * |intersection| >= num * |union|.  A ``Rule`` (words of a shingle, num, den)
+says which: ``OP6`` (4 words, 85/100) is the query's, callers may pass another.
 
 1. Shingles get one global order, rarest first.  Their frequencies are counted
    over all documents in 2^18 hash buckets (an order by any common key is
    correct, the counts only make it selective), so the table has a fixed size.
 2. Texts with the same set are one class; its smallest id stands for it.
-3. Each representative emits its prefix: the first n - ceil(0.85 n) + 1
-   shingles.  Two sets that link share a prefix shingle.  Shingles with a single
+3. Each representative emits its prefix: the first
+   n - ceil(n num / den) + 1 shingles.  Two sets that link share a prefix shingle.  Shingles with a single
    holder leave here.
 4. A shared prefix shingle with two holders gives their pair.  On the others, a
    star round pairs all holders with a few leaders, not with each other.  Pairs
@@ -29,13 +30,15 @@ range for eight shingles: the sum of differences is a lower bound of the
 symmetric difference.  Shingles travel as 64-bit hashes.
 
 Defined results: null and word-less texts have the empty set and link with
-nothing; fewer than 4 words are one shingle; a null id links with nothing and
+nothing; fewer words than a shingle has are one shingle; a null id links with nothing and
 has a null component; repeated rows belong to the same class; an id that occurs
 with several texts is judged row by row; tables may be empty.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -46,8 +49,6 @@ from ..plans.stage import discard, stage
 from .common import broadcastable, flat_arrow, space_words, with_arrow, with_arrow_batches
 from .components import connected_components
 
-WORDS = 4
-NUM, DEN = 85, 100  # similarity 0.85, in integers
 SKETCH_BITS = 18
 RANGES = 64          # for a set of up to 512 shingles; doubled with the size
 CELL = 256
@@ -58,13 +59,23 @@ _K = np.uint64(0x9E3779B97F4A7C15)
 _S = np.uint64(29)
 
 
-def shingles(text: str | None) -> np.ndarray:
+class Rule(NamedTuple):
+    """Words of a shingle and the least similarity num / den, in integers."""
+    words: int
+    num: int
+    den: int
+
+
+OP6 = Rule(4, 85, 100)
+
+
+def shingles(text: str | None, rule: Rule = OP6) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's shingles."""
     words = space_words(text)
     if not words:
         return np.zeros(0, dtype=np.uint64)
     h = pd.util.hash_array(np.array(words, dtype=object), categorize=False)
-    size = min(WORDS, len(h))
+    size = min(rule.words, len(h))
     m = len(h) - size + 1
     s = (h[:m] + np.uint64(size)) * _K
     for i in range(1, size):
@@ -72,16 +83,16 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(s ^ (s >> _S))
 
 
-def smallest_overlap(a, b):
-    """Least |intersection| with DEN * i >= NUM * (a + b - i)."""
-    return -((-NUM * (a + b)) // (NUM + DEN))
+def smallest_overlap(a, b, rule: Rule = OP6):
+    """Least |intersection| with den * i >= num * (a + b - i)."""
+    return -((-rule.num * (a + b)) // (rule.num + rule.den))
 
 
-def prefix_length(n: int) -> int:
-    return n - (-((-NUM * n) // DEN)) + 1
+def prefix_length(n: int, rule: Rule = OP6) -> int:
+    return n - (-((-rule.num * n) // rule.den)) + 1
 
 
-def sketch(docs: DataFrame, text_col: str = "text", bits: int = SKETCH_BITS) -> np.ndarray:
+def sketch(docs: DataFrame, text_col: str = "text", bits: int = SKETCH_BITS, rule: Rule = OP6) -> np.ndarray:
     """Shingle occurrences (per document) of every hash bucket."""
 
     def make():
@@ -90,7 +101,7 @@ def sketch(docs: DataFrame, text_col: str = "text", bits: int = SKETCH_BITS) ->
         def per_batch(texts):
             nonlocal total
             for i in range(0, len(texts), 512):
-                found = [shingles(t) for t in texts[i:i + 512]]
+                found = [shingles(t, rule) for t in texts[i:i + 512]]
                 total += np.bincount((np.concatenate(found) >> np.uint64(64 - bits)).astype(np.int64),
                                      minlength=1 << bits)
             return []
@@ -109,7 +120,7 @@ def sketch(docs: DataFrame, text_col: str = "text", bits: int = SKETCH_BITS) ->
     return out
 
 
-def describe(docs: DataFrame, counts: np.ndarray, text_col: str = "text") -> DataFrame:
+def describe(docs: DataFrame, counts: np.ndarray, text_col: str = "text", rule: Rule = OP6) -> DataFrame:
     """``docs`` without text, with n, f1, f2 (fingerprint of the set), prefix (rare first) and ranges."""
     bits = len(counts).bit_length() - 1
     # rank of a bucket: equal counts keep one order
@@ -119,14 +130,14 @@ def describe(docs: DataFrame, counts: np.ndarray, text_col: str = "text") -> Dat
         counts = shared.value
 
         def one(text):
-            s = shingles(text)
+            s = shingles(text, rule)
             n = len(s)
             if not n:
                 return 0, 0, 0, [], b""
             mixed = (s ^ (s >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
             f1 = int(mixed.sum(dtype=np.uint64).view(np.int64))
             f2 = int(np.bitwise_xor.reduce(mixed * _K ^ s).view(np.int64))
-            order = np.lexsort((s, counts[(s >> np.uint64(64 - bits)).astype(np.int64)]))[:prefix_length(n)]
+            order = np.lexsort((s, counts[(s >> np.uint64(64 - bits)).astype(np.int64)]))[:prefix_length(n, rule)]
             return n, f1, f2, s[order].view(np.int64), range_counts(s).tobytes()
 
         return one
@@ -153,30 +164,30 @@ def folded(ranges: np.ndarray, size: int) -> np.ndarray:
     return ranges
 
 
-def may_link(na, nb, ranges_a: np.ndarray, ranges_b: np.ndarray):
+def may_link(na, nb, ranges_a: np.ndarray, ranges_b: np.ndarray, rule: Rule = OP6):
     """Suffix filter: range differences within the symmetric difference that a link allows.
     Counts capped at 255 differ by no more than the true ones, so the bound holds."""
     size = min(ranges_a.shape[-1], ranges_b.shape[-1])
     a, b = folded(ranges_a, size), folded(ranges_b, size)
     gap = np.abs(a.astype(np.int16) - b.astype(np.int16)).sum(axis=-1, dtype=np.int64)
-    return gap <= na + nb - 2 * smallest_overlap(na, nb)
+    return gap <= na + nb - 2 * smallest_overlap(na, nb, rule)
 
 
-def _length_ok(na, nb):
-    return (F.least(na, nb) * DEN) >= (F.greatest(na, nb) * NUM)
+def _length_ok(na, nb, rule: Rule):
+    return (F.least(na, nb) * rule.den) >= (F.greatest(na, nb) * rule.num)
 
 
-def _position_ok(na, pa, nb, pb):
+def _position_ok(na, pa, nb, pb, rule: Rule):
     most = F.least(pa, pb) + 1 + F.least(na - pa - 1, nb - pb - 1)
-    return most * (NUM + DEN) >= (na + nb) * NUM
+    return most * (rule.num + rule.den) >= (na + nb) * rule.num
 
 
 class Join:
     """The steps of one run; ``texts`` has (id, text), ``reps`` (id, n, f1, ranges),
     ``holders`` (token, id, n, pos) of the shingles with three or more holders."""
 
-    def __init__(self, texts: DataFrame, reps: DataFrame, holders: DataFrame):
-        self.texts, self.reps, self.holders = texts, reps, holders
+    def __init__(self, texts: DataFrame, reps: DataFrame, holders: DataFrame, rule: Rule = OP6):
+        self.texts, self.reps, self.holders, self.rule = texts, reps, holders, rule
         self.spark = texts.sparkSession
         self.comp = self.spark.createDataFrame([], "id long, comp long")
 
@@ -194,10 +205,11 @@ class Join:
 
     def suffix_filtered(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that pass the suffix filter, with the fingerprints fa, fb."""
+        rule = self.rule
 
         def make():
             def each(na, nb, ra, rb):
-                return [[bool(may_link(x, y, np.frombuffer(a, dtype=np.uint8), np.frombuffer(b, dtype=np.uint8)))
+                return [[bool(may_link(x, y, np.frombuffer(a, dtype=np.uint8), np.frombuffer(b, dtype=np.uint8), rule))
                          for x, y, a, b in zip(na, nb, ra, rb, strict=True)]]
 
             return each
@@ -207,6 +219,7 @@ class Join:
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Links (u, v) among the staged pairs (a, b, fa, fb), each pair once on full sets."""
+        rule = self.rule
         ids = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("fa").alias("f1")),
                                              F.struct(F.col("b").alias("id"), F.col("fb").alias("f1")))).alias("p"))
         texts = self.texts_of(ids.select("p.*").distinct())
@@ -236,12 +249,12 @@ class Join:
                         held.clear()
                         now[0] = key
                     if j is None:  # the texts of a group come before its pairs
-                        if (own := _own_shingles(t, f)) is not None:
+                        if (own := _own_shingles(t, f, rule)) is not None:
                             held[i] = own
                     else:
                         one, two = held[i], held[j]
                         n = len(np.intersect1d(one, two, assume_unique=True))
-                        if DEN * n >= NUM * (len(one) + len(two) - n):
+                        if rule.den * n >= rule.num * (len(one) + len(two) - n):
                             out.append((i, j))
                 return out
 
@@ -285,8 +298,8 @@ class Join:
                                           F.min("comp").alias("c0"), F.max("comp").alias("c1"))
                 .where(F.col("c0") != F.col("c1")).select("token", F.array_distinct("leads").alias("leads")))
         pairs = held.join(lead, "token").select("id", "n", "pos", "comp", F.explode("leads").alias("k"))
-        pairs = pairs.where((F.col("comp") != F.col("k.comp")) & _length_ok(F.col("n"), F.col("k.n"))
-                            & _position_ok(F.col("n"), F.col("pos"), F.col("k.n"), F.col("k.pos")))
+        pairs = pairs.where((F.col("comp") != F.col("k.comp")) & _length_ok(F.col("n"), F.col("k.n"), self.rule)
+                            & _position_ok(F.col("n"), F.col("pos"), F.col("k.n"), F.col("k.pos"), self.rule))
         return pairs.select(F.least("k.id", "id").alias("a"), F.greatest("k.id", "id").alias("b"))
 
     def last_pass(self) -> None:
@@ -296,7 +309,7 @@ class Join:
         held = stage(held.join(tokens.select("token"), "token", "left_semi"), "open")
         cells, pairs = _cells(held, "token")
         rows = cells.join(self.reps.select("id", "ranges"), "id")
-        edges = flat_arrow(_by_cell_pair(rows, pairs, ["id", "n", "pos", "comp", "ranges"]), _candidate_edges, LINK)
+        edges = flat_arrow(_by_cell_pair(rows, pairs, ["id", "n", "pos", "comp", "ranges"]), _candidate_edges(self.rule), LINK)
         edges = stage(edges.distinct(), "candidate-edges")
         if not edges.limit(1).count():
             return
@@ -307,7 +320,7 @@ class Join:
         rows = broadcastable(_by_cell_pair(cells, pairs, ["id", "comp"], shuffle=False)).join(texts, "id")
         rows = rows.select("c1", "c2", "side", "id", "comp", "text", "f1")
         rows = rows.repartition("c1", "c2").sortWithinPartitions("c1", "c2")
-        self.contract(flat_arrow(rows, _cross_links, LINK))
+        self.contract(flat_arrow(rows, _cross_links(self.rule), LINK))
 
 
 LINK = StructType([StructField("u", LongType()), StructField("v", LongType())])
@@ -342,9 +355,9 @@ def _by_cell_pair(rows: DataFrame, pairs: DataFrame, columns: list[str], shuffle
     return out.repartition("c1", "c2").sortWithinPartitions("c1", "c2") if shuffle else out
 
 
-def _own_shingles(text: str, f1: int) -> np.ndarray | None:
+def _own_shingles(text: str, f1: int, rule: Rule) -> np.ndarray | None:
     """The shingles of the text with fingerprint ``f1`` (None: another text under the same id)."""
-    s = shingles(text)
+    s = shingles(text, rule)
     mixed = (s ^ (s >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     return s if int(mixed.sum(dtype=np.uint64).view(np.int64)) == f1 else None
 
@@ -387,7 +400,7 @@ def _grouped(close):
     return per_batch, end
 
 
-def _candidate_edges():
+def _candidate_edges(rule: Rule):
     """Spanning pairs of the candidate graph of each cell pair."""
 
     def close(same, rows):
@@ -401,12 +414,12 @@ def _candidate_edges():
             if lo >= len(right):
                 break
             m = n[lo:]
-            ok = (comp[lo:] != cx) & (np.minimum(m, nx) * DEN >= np.maximum(m, nx) * NUM)
+            ok = (comp[lo:] != cx) & (np.minimum(m, nx) * rule.den >= np.maximum(m, nx) * rule.num)
             if not ok.any():
                 continue
             q = pos[lo:]
             most = np.minimum(q, px) + 1 + np.minimum(m - q - 1, nx - px - 1)
-            at = np.flatnonzero(ok & (most * (NUM + DEN) >= (m + nx) * NUM))
+            at = np.flatnonzero(ok & (most * (rule.num + rule.den) >= (m + nx) * rule.num))
             if not len(at):
                 continue
             mine = np.frombuffer(rx, dtype=np.uint8)
@@ -420,14 +433,14 @@ def _candidate_edges():
                                                    dtype=np.uint8).reshape(-1, k)
                 place, matrix = hist[k]
                 some = at[size[lo:][at] == k]
-                near += some[may_link(m[some], nx, matrix[place[lo + some]], mine)].tolist()
+                near += some[may_link(m[some], nx, matrix[place[lo + some]], mine, rule)].tolist()
             for j in sorted(near):
                 y = right[lo + j][1]
                 if known.join(x, y):
                     out.append((x, y))
         return out
 
-    return _grouped(close)
+    return lambda: _grouped(close)
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
@@ -452,11 +465,11 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096)
     return out.astype(np.int64)
 
 
-def _cross_links():
+def _cross_links(rule: Rule):
     """Links that connect the components of each cell pair (a spanning set of them)."""
 
     def close(same, rows):
-        sets = [(side, i, c, s) for side, i, c, t, f in rows if (s := _own_shingles(t, f)) is not None]
+        sets = [(side, i, c, s) for side, i, c, t, f in rows if (s := _own_shingles(t, f, rule)) is not None]
         sets = list({(side, i): r for r in sets for side, i in [r[:2]]}.values())  # repeated rows once
         left = sets if same else [r for r in sets if r[0] == 0]
         right = sets if same else [r for r in sets if r[0] == 1]
@@ -466,7 +479,7 @@ def _cross_links():
         two = one if same else [r[3] for r in right]
         both = overlaps(one, two)
         na, nb = (np.array([len(s) for s in x]) for x in (one, two))
-        link = both >= smallest_overlap(na[:, None], nb[None, :])
+        link = both >= smallest_overlap(na[:, None], nb[None, :], rule)
         link &= np.array([r[2] for r in left])[:, None] != np.array([r[2] for r in right])[None, :]
         if same:
             link = np.triu(link, 1)
@@ -476,13 +489,13 @@ def _cross_links():
                 out.append((left[i][1], right[j][1]))
         return out
 
-    return _grouped(close)
+    return lambda: _grouped(close)
 
 
-def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = OP6) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of ``docs``."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    all_docs = stage(describe(texts, sketch(texts)), "described")
+    all_docs = stage(describe(texts, sketch(texts, rule=rule), rule=rule), "described")
     classes = stage(all_docs.where((F.col("n") > 0) & F.col("id").isNotNull())
                     .groupBy("f1", "f2", "n").agg(F.min("id").alias("rep")), "classes")
     of_rep = classes.select("f1", "f2", F.col("rep").alias("id"))
@@ -496,12 +509,12 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tokens = stage(holders.groupBy("token").agg(
         F.count(F.lit(1)).alias("c"), F.min(at).alias("lo"), F.max(at).alias("hi"),
         F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")), "tokens")
-    twos = tokens.where((F.col("c") == 2) & _length_ok(F.col("lo.n"), F.col("hi.n"))
-                        & _position_ok(F.col("lo.n"), F.col("lo.pos"), F.col("hi.n"), F.col("hi.pos")))
+    twos = tokens.where((F.col("c") == 2) & _length_ok(F.col("lo.n"), F.col("hi.n"), rule)
+                        & _position_ok(F.col("lo.n"), F.col("lo.pos"), F.col("hi.n"), F.col("hi.pos"), rule))
     # one shingle for each set of three or more holders
     more = tokens.where("c > 2").groupBy("c", "x", "y").agg(F.min("token").alias("token")).select("token")
     run = Join(texts, reps.select("id", "n", "f1", "ranges"),
-               stage(holders.join(broadcastable(stage(more, "open-tokens")), "token"), "open-holders"))
+               stage(holders.join(broadcastable(stage(more, "open-tokens")), "token"), "open-holders"), rule)
     first = twos.select(F.col("lo.id").alias("a"), F.col("hi.id").alias("b"))
     for r in range(STAR_ROUNDS):
         pairs = run.star_pairs(r)
@@ -517,14 +530,14 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       F.when(F.col("id").isNull(), None).otherwise(F.coalesce("component", "id")).alias("component_id"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = OP6) -> DataFrame:
     """``docs`` with one document of each component (the smallest id); texts
     without shingles and rows without id all stay.  All columns kept.
 
     Only ids decide: those to leave out join the documents (sent to every task
     while they are few enough, which is counted), so texts are not shuffled.
     Repeated rows of a chosen id are copies of it: one of them stays."""
-    found = link_components(docs, id_col, text_col).where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
+    found = link_components(docs, id_col, text_col, rule).where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     ids = found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("chosen"),
                                       F.count(F.lit(1)).alias("rows"))
     special = stage(ids.where(~F.col("chosen") | (F.col("rows") > 1)).withColumnRenamed("doc_id", "__id"), "not-kept")
@@ -536,11 +549,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return single.unionByName(twice.groupBy("__id").agg(F.min(F.struct(*cols)).alias("row")).select("row.*"))
 
 
-def brute_force(docs) -> list[tuple]:
+def brute_force(docs, rule: Rule = OP6) -> list[tuple]:
     """Plain all-pairs reference used by the tests: [(id, n, component)]."""
     def of(text):
         w = space_words(text)
-        size = min(WORDS, len(w))
+        size = min(rule.words, len(w))
         return {tuple(w[i:i + size]) for i in range(len(w) - size + 1)} if w else set()
 
     sets = [(i, of(t)) for i, t in docs]
@@ -553,7 +566,7 @@ def brute_force(docs) -> list[tuple]:
 
     for p, (i, a) in enumerate(sets):
         for j, b in sets[p + 1:]:
-            if a and b and DEN * len(a & b) >= NUM * len(a | b):
+            if a and b and rule.den * len(a & b) >= rule.num * len(a | b):
                 x, y = sorted((find(i), find(j)))
                 root[y] = x
     return [(i, len(s), find(i)) for i, s in sets]

@@ -69,7 +69,7 @@ def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 4-word shingle sets have a Jaccard similarity of 0.85 or more."""
-    return jaccard.link_components(table(spark, sf_dir, "documents"))
+    return jaccard.link_components(table(spark, sf_dir, "documents"), rule=jaccard.OP6)
 
 
 @query

@@ -258,3 +258,29 @@ def test_pipeline_stages(spark):
     assert {r["doc_id"] for r in fourth.collect()} == clean and fourth.columns == docs.columns
     out = pipeline.run(spark, sf)
     assert {r["doc_id"] for r in out.collect()} == clean
+
+
+def test_pipeline_near_duplicates_take_five_words(spark, docs_of):
+    import corpus_pipeline as pipeline
+
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(1000)]
+    spread = list(base)
+    for i in range(22):  # 5-word similarity 0.801, 4-word similarity 0.838
+        spread[20 + 44 * i] = f"x{i}"
+    block = [f"v{i}" for i in range(300)]
+    changed = block[:100] + [f"y{i}" for i in range(28)] + block[128:]  # between 0.8 and 0.85 by either width
+    far = list(base)
+    for i in range(24):  # 0.785
+        far[10 + 41 * i] = f"z{i}"
+    texts = [base, spread, block, changed, far] + [long_words(rng, 40).split() for _ in range(10)]
+    rows = [(i, " ".join(t), "en", "s") for i, t in enumerate(texts)]
+    rows += [(100 + i, t, "en", "s") for i, t in enumerate(near_copies(rng, rows[-1][1] + " " + rows[-2][1], 30, 0.02))]
+    want = {i for i, _, c in jaccard.brute_force([(i, t) for i, t, *_ in rows], pipeline.NEAR) if i == c}
+    got = {r["doc_id"] for r in pipeline.near_duplicates(spark, docs_of(rows), "").collect()}
+    assert pipeline.NEAR == (5, 80, 100) and got == want
+    assert {0, 2, 4} <= got and not {1, 3} & got
+    assert {0, 1, 2, 3} <= {i for i, _, c in jaccard.brute_force([(i, t) for i, t, *_ in rows]) if i == c}
+    links = jaccard.link_components(docs_of(rows), rule=pipeline.NEAR)
+    assert sorted(collected(links, "doc_id", "n_shingles", "component_id")) == sorted(
+        jaccard.brute_force([(i, t) for i, t, *_ in rows], pipeline.NEAR))
