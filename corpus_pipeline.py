@@ -18,6 +18,10 @@ from martspark.plans.stage import stage
 # The query op6_jaccard has a contract of its own (jaccard.OP6); the stage takes the wider net.
 NEAR = jaccard.Rule(words=5, num=80, den=100)
 
+# The query op5_lines has a contract of its own (its oracle SQL); on sf0.1 repeated lines stand on 1 to 5 % of a
+# source's pages, which only a share of 1 % reaches. The page minimum spares chance repeats on small sources.
+LINE_RATIO, LINE_PAGES = 0.01, 5
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the certified cutoffs keep."""
@@ -26,7 +30,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the boilerplate lines of their source."""
-    return lines.drop_boilerplate(docs, length_col="n_chars")
+    return lines.drop_boilerplate(docs, length_col="n_chars", ratio=LINE_RATIO, min_pages=LINE_PAGES)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

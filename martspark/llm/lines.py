@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ..plans.stage import stage
 from .common import BROADCAST_ROWS
 
-RATIO = 0.1
+RATIO = 0.1  # of the query; its oracle SQL holds the same values
 MIN_PAGES = 5
 _EDGE = " \t\n\x0b\x0c\r"
 
@@ -46,9 +46,10 @@ def _host(col: Column) -> Column:
     return F.coalesce(F.concat(F.lit("h"), col), F.lit(""))
 
 
-def boilerplate(docs: DataFrame, text_col: str = "text", host_col: str = "source", ratio: float = RATIO,
-                min_pages: int = MIN_PAGES) -> DataFrame:
-    """(__host, __line, pages, host_pages) of the lines above the ratio."""
+def repeated(docs: DataFrame, text_col: str = "text", host_col: str = "source", ratio: float = RATIO,
+             min_pages: int = MIN_PAGES) -> DataFrame:
+    """(__host, __line, pages, host_pages, dropped) of the lines on ``min_pages`` pages or more:
+    those above the ratio are dropped, the others stay."""
     lines = F.filter(F.split(F.col(text_col), "\n"), _has_text)
     pages = (docs.where(F.col(text_col).isNotNull())
              .select(_host(F.col(host_col)).alias("__host"), F.md5(F.col(text_col).cast("binary")).alias("page"),
@@ -59,7 +60,13 @@ def boilerplate(docs: DataFrame, text_col: str = "text", host_col: str = "source
               .agg(F.count(F.lit(1)).alias("pages")))
     totals = pages.groupBy("__host").agg(F.count(F.lit(1)).alias("host_pages"))
     return (counts.where(F.col("pages") >= min_pages).join(totals, "__host")
-            .where(F.col("pages") > ratio * F.col("host_pages")))
+            .withColumn("dropped", F.col("pages") > ratio * F.col("host_pages")))
+
+
+def boilerplate(docs: DataFrame, text_col: str = "text", host_col: str = "source", ratio: float = RATIO,
+                min_pages: int = MIN_PAGES) -> DataFrame:
+    """(__host, __line, pages, host_pages) of the lines above the ratio."""
+    return repeated(docs, text_col, host_col, ratio, min_pages).where("dropped").drop("dropped")
 
 
 def mark_lines(docs: DataFrame, text_col: str = "text", host_col: str = "source", ratio: float = RATIO,

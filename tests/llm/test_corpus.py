@@ -284,3 +284,19 @@ def test_pipeline_near_duplicates_take_five_words(spark, docs_of):
     links = jaccard.link_components(docs_of(rows), rule=pipeline.NEAR)
     assert sorted(collected(links, "doc_id", "n_shingles", "component_id")) == sorted(
         jaccard.brute_force([(i, t) for i, t, *_ in rows], pipeline.NEAR))
+
+
+def test_pipeline_line_dedup_drops_lines_on_a_few_percent_of_pages(spark, docs_of):
+    import corpus_pipeline as pipeline
+
+    def page(i):
+        return "\n".join([f"page {i} alone"] + ["on three percent"] * (i % 33 == 0) + ["on one percent"] * (i % 100 == 0)
+                         + ["on four pages"] * (i < 4))
+
+    rows = [(i, page(i), "en", "big") for i in range(600)]
+    rows += [(1000 + i, f"text {i}\n" + "small site" * (i < 4), "en", "small") for i in range(20)]
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in pipeline.line_dedup(spark, docs_of(rows), "").collect()}
+    want = {i: t.replace("\non three percent", "") for i, t, *_ in rows}  # 19 of 600 pages; 6 of 600 are not above 1 %
+    assert got == {i: (t, len(t)) for i, t in want.items()}
+    report = lines.repeated(docs_of(rows), ratio=pipeline.LINE_RATIO, min_pages=pipeline.LINE_PAGES)
+    assert collected(report, "pages", "host_pages", "dropped") == [(19, 600, True), (6, 600, False)]
