@@ -14,6 +14,14 @@ The template side has a fixed size, so its index travels with the tasks and
 documents are never shuffled.  Base phrases are found as runs of words over the
 whole text.
 
+A notice wrapped over several lines is a block too: a window of at most
+|template words| / threshold words of the text, whatever its line ends, whose
+words stand in the template's order (a longest common subsequence with it holds
+the distinct words that count).  Order keeps common words of neighbouring lines
+from completing a notice.  Windows are looked at only around prefix words, pass
+the same length and position bounds, and are verified only where they can raise
+the template's containment.
+
 Defined results: a null text is empty; repeated rows are kept; word counts are
 over the whole text; a text without a place has null first and last word, empty
 labels and score 0; tables may be empty.
@@ -22,6 +30,7 @@ labels and score 0; tables may be empty.
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from collections import Counter
 
 from pyspark.sql import DataFrame
@@ -88,9 +97,13 @@ class TemplateIndex:
         self.order = {w: r for r, w in enumerate(sorted(frozenset().union(*self.sets.values()),
                                                         key=lambda w: (counts.get(w, 0), w)))}
         self.need = {label: required_overlap(len(s), threshold) for label, s in self.sets.items()}
+        self.words = {label: alnum_words(text) for label, text in templates}
+        self.window = {label: math.ceil(len(w) / threshold) for label, w in self.words.items()}
+        self.rare: dict[str, frozenset[bytes]] = {}
         self.prefix: dict[bytes, list[tuple[str, int]]] = {}
         for label, s in self.sets.items():
             ranked = sorted(s, key=self.order.__getitem__)
+            self.rare[label] = frozenset(ranked[:len(ranked) - self.need[label] + 1])
             for position, w in enumerate(ranked[:len(ranked) - self.need[label] + 1]):
                 self.prefix.setdefault(w, []).append((label, position))
         self.keys = frozenset(self.prefix)
@@ -118,6 +131,56 @@ class TemplateIndex:
         return out
 
 
+    def wrapped(self, words: list[bytes], found: dict[str, float]) -> list[tuple[int, str, float]]:
+        """(first word, label, containment) of the best window of each template
+        that holds more of it than the blocks in ``found`` (label to containment)."""
+        shared = self.keys.intersection(words)
+        out = []
+        for label in sorted({label for w in shared for label, _ in self.prefix[w]}):
+            template, rare, width = self.sets[label], self.rare[label], self.window[label]
+            best, start = found.get(label, 0.0), -1
+            at = [i for i, w in enumerate(words) if w in template]
+            counts: Counter = Counter()
+            lo = n_rare = 0
+            for hi, i in enumerate(at):
+                counts[words[i]] += 1
+                n_rare += words[i] in rare
+                while at[lo] <= i - width:
+                    w = words[at[lo]]
+                    counts[w] -= 1
+                    n_rare -= w in rare
+                    if not counts[w]:
+                        del counts[w]
+                    lo += 1
+                if n_rare and len(counts) >= self.need[label] and len(counts) / len(template) > best:
+                    overlap = in_order([words[j] for j in at[lo:hi + 1]], self.words[label])
+                    if overlap >= self.need[label] and overlap / len(template) > best:
+                        best, start = overlap / len(template), at[lo]
+            if start >= 0:
+                out.append((start, label, best))
+        return out
+
+
+def in_order(found: list[bytes], template: list[bytes]) -> int:
+    """Distinct words of a longest common subsequence of both."""
+    rows = [[0] * (len(template) + 1)]
+    for w in found:
+        up, row = rows[-1], [0]
+        for k, t in enumerate(template):
+            row.append(up[k] + 1 if w == t else max(up[k + 1], row[k]))
+        rows.append(row)
+    held, i, k = set(), len(found), len(template)
+    while i and k:
+        if found[i - 1] == template[k - 1]:
+            held.add(found[i - 1])
+            i, k = i - 1, k - 1
+        elif rows[i - 1][k] >= rows[i][k - 1]:
+            i -= 1
+        else:
+            k -= 1
+    return len(held)
+
+
 def phrase_places(words: list[bytes], phrases=PHRASES) -> list[tuple[int, str]]:
     """(start word, label) of every place of every phrase, sorted."""
     text = b" " + b" ".join(words) + b" "
@@ -139,18 +202,24 @@ PLACE = StructType([StructField("word", LongType()), StructField("label", String
 def scan_licenses(docs: DataFrame, text_col: str = "text", templates=TEMPLATES,
                   threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with ``__n_words``, ``__places`` (base phrases) and ``__blocks``
-    (line number, label, containment of every matching line)."""
+    (line number, label, containment of every matching line, and of each template's
+    best wrapped window, at its first line, if it holds more than the lines)."""
     # at most one row per template word: a fixed size
     counts = {r["word"].encode(): r["n"] for r in vocabulary_counts(docs, text_col, templates).collect()}
     index = TemplateIndex(counts, templates, threshold)
 
     def make():
         def one(text):
-            blocks, words = [], []
+            blocks, words, ends, found = [], [], [], {}
             for i, line in enumerate((text or "").split("\n")):
                 own = alnum_words(line)
                 words += own
-                blocks += [{"block": i, "label": label, "containment": c} for label, c in index.match(own)]
+                ends.append(len(words))
+                for label, c in index.match(own):
+                    blocks.append({"block": i, "label": label, "containment": c})
+                    found[label] = max(c, found.get(label, 0.0))
+            blocks += [{"block": bisect_right(ends, at), "label": label, "containment": c}
+                       for at, label, c in index.wrapped(words, found)]
             places = [{"word": w, "label": label} for w, label in phrase_places(words)]
             return len(words), places, blocks
 

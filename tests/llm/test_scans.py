@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 
 import numpy as np
 import pytest
@@ -111,6 +112,34 @@ def test_licenses_equal_brute_force(spark, docs_of):
     assert licenses.license_report(docs_of([])).count() == 0
 
 
+def test_wrapped_license_notices_are_found(spark, docs_of):
+    rng = random.Random(6)
+    notices = list(licenses.TEMPLATES)
+    rows, want = [], {}
+    for width in (20, 30, 45, 78):
+        for label, text in notices:
+            lines = textwrap.wrap(text, width, break_long_words=False, break_on_hyphens=False)
+            for mark in ("", " * ", "# "):
+                i = len(rows)
+                body = "\n".join([sentence(rng, 12), "", *(mark + x for x in lines), "", sentence(rng, 12)])
+                rows.append((i, body, "en", "s"))
+                want[i] = label
+    out = {r["doc_id"]: r for r in licenses.license_report(docs_of(rows)).collect()}
+    for i, label in want.items():
+        assert label in out[i]["labels"].split(",") and out[i]["score"] == 1.0, rows[i]
+    # four words missing of a wrapped 24-word notice stay above 0.8, six do not, nor do its words in another order
+    mit = dict(notices)["mit-grant"].split()
+    short = [w for w in mit if w not in ("hereby", "granted,", "charge,", "person")]
+    shorter = [w for w in short if w not in ("obtaining", "copy")]
+    mixed = rng.sample(mit, len(mit))
+    bodies = ["\n".join(" ".join(w[k:k + 5]) for k in range(0, len(w), 5)) for w in (short, shorter, mixed)]
+    got = {r["doc_id"]: r for r in licenses.license_report(
+        docs_of([(i, t, "en", "s") for i, t in enumerate(bodies)])).collect()}
+    n = len(licenses.template_sets()["mit-grant"])
+    assert got[0]["labels"] == "mit-grant" and abs(got[0]["score"] - (n - 4) / n) < 1e-12
+    assert [got[i]["labels"] for i in (1, 2)] == ["", ""]
+
+
 def test_tokens_round_trip(spark, docs_of):
     rng = random.Random(7)
     rows = [(100 + i, "\n".join(sentence(rng, rng.randint(0, 20)) for _ in range(8)) + "\n" * (i % 3), "en", "s")
