@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard, langid, licenses, lines, mixing, quality, secrets, token_counts, toxicity
+from . import (conversations, decontaminate, jaccard, langid, licenses, lines, mixing, quality, secrets, spelling,
+               token_counts, toxicity)
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -76,3 +77,15 @@ def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learned from labels outside the held-out fifth."""
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trie of the rebuilt conversations."""
+    return conversations.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the corpus with their near words, forms and roots."""
+    return spelling.spelling_report(table(spark, sf_dir, "documents"))
