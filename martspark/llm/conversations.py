@@ -47,7 +47,6 @@ GROUP = 256
 
 KEY = ["depth", "k1", "k2"]
 _NO_ENDS = hashlib.sha256(b"").hexdigest()
-_EVERY = F.lit(1)
 
 
 def numbered_turns(conv: DataFrame) -> DataFrame:
@@ -180,7 +179,7 @@ def prefix_trie(conv: DataFrame, group: int = GROUP) -> DataFrame:
     last = F.max(F.struct("depth", "k1", "k2", "run"))
     whole = convs.join(prefixes.groupBy("conv_id").agg(last.alias("e")), "conv_id", "left")
     whole = stage(whole.select("conv_id", *[F.coalesce(f"e.{c}", F.lit(0)).alias(c) for c in (*KEY, "run")]), "whole")
-    classes = whole.groupBy(*KEY).agg(F.min("conv_id").alias("conv_id"), F.count(_EVERY).alias("m"),
+    classes = whole.groupBy(*KEY).agg(F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("m"),
                                       F.max("run").alias("total"))
     classes = stage(classes, "classes")
     several = hashed_ids(whole.join(classes.where("m > 1").select(*KEY), KEY, "left_semi"))
@@ -191,9 +190,9 @@ def prefix_trie(conv: DataFrame, group: int = GROUP) -> DataFrame:
     # nodes: members, classes through them; the last three only mean something for a single class
     nodes = stage(paths.groupBy(*KEY).agg(
         F.min("p1").alias("p1"), F.min("p2").alias("p2"), F.min("chars").alias("chars"), F.min("conv_id").alias("conv_id"),
-        F.sum("m").alias("n_convs"), F.count(_EVERY).alias("classes"), F.max("run").alias("run"),
+        F.sum("m").alias("n_convs"), F.count(F.lit(1)).alias("classes"), F.max("run").alias("run"),
         F.max("total").alias("total"), F.max("length").alias("length")), "nodes")
-    root = classes.agg(F.min("conv_id").alias("conv_id"), F.sum("m").alias("n_convs"), F.count(_EVERY).alias("classes"),
+    root = classes.agg(F.min("conv_id").alias("conv_id"), F.sum("m").alias("n_convs"), F.count(F.lit(1)).alias("classes"),
                        F.count(F.when(F.col("depth") > 0, 1)).alias("deep")).first()
     if not root.n_convs:
         return _output(nodes.limit(0).select(
@@ -218,7 +217,7 @@ def prefix_trie(conv: DataFrame, group: int = GROUP) -> DataFrame:
         .withColumn("is_head", (F.col("depth") == 1) | F.col("parent").isNotNull()), "chains")
     hung = chains.where("is_head").groupBy((F.col("depth") - 1).alias("depth"), F.col("p1").alias("k1"),
                                            F.col("p2").alias("k2"))
-    hung = hung.agg(F.count(_EVERY).alias("children"), F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved"))
+    hung = hung.agg(F.count(F.lit(1)).alias("children"), F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved"))
     shared = (shared.join(parents, ["depth", "p1", "p2"], "left")
               .withColumn("parent_conv_id", F.when(F.col("depth") == 1, F.lit(root.conv_id)).otherwise(F.col("parent")))
               .unionByName(top.withColumns({"p1": F.lit(0).cast("long"), "p2": F.lit(0).cast("long"),
@@ -259,7 +258,7 @@ def peeled(shared: DataFrame, paths: DataFrame, group: int) -> DataFrame:
     below = peeled_small.join(tops, KEY, "left_semi") if deepest is not None else None
     for depth in range(deepest if deepest is not None else -1, -1, -1):
         stripped = below.where(F.col("depth") == depth + 1).groupBy(F.col("p1").alias("k1"), F.col("p2").alias("k2")).agg(
-            F.count(_EVERY).alias("c"), F.sum("leaves").alias("l"), F.sum("saved").alias("s"))
+            F.count(F.lit(1)).alias("c"), F.sum("leaves").alias("l"), F.sum("saved").alias("s"))
         level = hot.where(F.col("depth") == depth).join(stripped, ["k1", "k2"], "left").select(
             *KEY, "p1", "p2", (F.col("children") + F.coalesce("c", F.lit(0))).alias("children"),
             (F.col("leaves") + F.coalesce("l", F.lit(0))).alias("leaves"),

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (conversations, decontaminate, jaccard, langid, licenses, lines, mixing, quality, secrets, spelling,
-               token_counts, toxicity)
+from . import (conversations, decontaminate, hyperminhash, jaccard, langid, licenses, lines, mixing, quality, secrets,
+               spelling, token_counts, toxicity)
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,12 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op11_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 5-word shingle sets have a Jaccard similarity of 0.85 or more."""
+    return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trie of the rebuilt conversations."""
