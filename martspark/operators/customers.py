@@ -112,8 +112,26 @@ def _document_totals(enriched: DataFrame, extra_keys: list) -> DataFrame:
     )
 
 
+def document_months(enriched: DataFrame) -> DataFrame:
+    """Totals of every (customer, month, document)."""
+    return _document_totals(enriched, [month_start(F.col("document_date")).alias("period_month")])
+
+
+def merged_documents(totals: DataFrame) -> DataFrame:
+    """Totals of the same (customer, month, document) from several loads as one, of the same types."""
+    of = {"has_invoice": F.max, "has_return": F.max, "doc_first": F.min, "doc_last": F.max}
+    keys = ["customer_id", "period_month", "invoice_number"]
+    kinds = dict(totals.dtypes)
+    return totals.groupBy(*keys).agg(*[of.get(c, F.sum)(c).cast(kinds[c]).alias(c)
+                                       for c in totals.columns if c not in keys])
+
+
 def _monthly_sales(enriched: DataFrame) -> DataFrame:
-    docs = _document_totals(enriched, [month_start(F.col("document_date")).alias("period_month")])
+    return months_of_documents(document_months(enriched))
+
+
+def months_of_documents(docs: DataFrame) -> DataFrame:
+    """Customer × month aggregates of document totals."""
     return docs.groupBy("customer_id", "period_month").agg(
         F.count_if(F.col("has_invoice")).alias("total_invoices_month"),
         F.count_if(F.col("has_return")).alias("total_returns_month"),
@@ -159,7 +177,12 @@ def _history_columns(m: DataFrame, churn_days: int) -> DataFrame:
 
 def customer_monthly(enriched: DataFrame, churn_days: int = 90) -> DataFrame:
     """One row per customer and month with sales lines, running LTV."""
-    return _history_columns(_with_first_dates(_monthly_sales(enriched)), churn_days)
+    return history_of_months(_monthly_sales(enriched), churn_days)
+
+
+def history_of_months(months: DataFrame, churn_days: int = 90) -> DataFrame:
+    """M08 from customer × month aggregates of whole customers."""
+    return _history_columns(_with_first_dates(months), churn_days)
 
 
 def customer_monthly_dense(enriched: DataFrame, as_of, churn_days: int = 90) -> DataFrame:

@@ -28,8 +28,8 @@ def _current_customers(dim_customer: DataFrame) -> DataFrame:
 
 
 def fact_sales(enriched: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
-               dim_salesperson: DataFrame, dim_territory: DataFrame) -> DataFrame:
-    """One row per sales document line with surrogate keys."""
+               dim_salesperson: DataFrame, dim_territory: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per sales document line with surrogate keys; ``carry`` names line columns to pass through."""
     c = _current_customers(dim_customer)
     p = small(dim_product.select(F.col("item_number").alias("dp_item"), "product_sk"))
     sp = small(dim_salesperson.select(F.col("salesperson_id").alias("ds_sp"), "salesperson_sk"))
@@ -54,7 +54,7 @@ def fact_sales(enriched: DataFrame, dim_customer: DataFrame, dim_product: DataFr
         F.col("total_cost_amount").alias("extended_cost"),
         F.coalesce("markdown_amount", F.lit(0).cast("decimal(19,2)")).alias("markdown_amount"),
         "net_sales_amount", "gross_profit_amount", "gross_profit_margin_pct",
-        F.lit(0).alias("is_voided"),
+        F.lit(0).alias("is_voided"), *carry,
     )
 
 

@@ -14,9 +14,8 @@
 * ``point_in_time``: fact rows get the version valid at their document date
   (equi-join on the key + half-open range predicate).
 
-Plain parquet has no MERGE: each apply produces a complete new version of the
-table, kept by ``write_version`` under its own number; ``read_version`` gives the
-latest one (S04).
+Plain parquet has no MERGE: ``StoredHistory`` keeps the history in customer
+buckets and rewrites the buckets that a load changes (S04).
 """
 
 from __future__ import annotations
@@ -27,6 +26,8 @@ from pyspark.sql import functions as F
 from ..functions import labels as L
 from ..plans.broadcast import small
 from ..plans.ranking import keyed_row_number
+from ..plans.stage import discard, stage
+from ..sources.parts import PartStore, bucket_of
 from .dims import DEFAULT_VALID_FROM, TS_FORMAT, VALID_TO, row_hash, ts, unknown_key
 
 KEY = "customer_id"
@@ -125,14 +126,38 @@ def point_in_time(facts: DataFrame, history: DataFrame, date_col: str = "documen
 
 
 # ------------------------------------------------------------------------ S04
-def write_version(history: DataFrame, base_dir: str, version: int) -> None:
-    """Write one complete version of the history; an existing number is never replaced."""
-    history.write.mode("errorifexists").parquet(f"{base_dir.rstrip('/')}/version={version}")
-
-
-def read_version(spark: SparkSession, base_dir: str, version: int | None = None) -> DataFrame:
-    """The given version of the history, or the latest one."""
-    every = spark.read.parquet(base_dir)
-    if version is None:
-        version = every.select(F.max("version")).first()[0]
-    return every.where(F.col("version") == version).drop("version")
+class StoredHistory:
+    """The history below ``base_dir`` in customer buckets.
+
+    A load reads the buckets of its customers, writes those in which a version
+    was opened or closed, and publishes them at once (``sources.parts``): readers
+    see the history before or after a load, an interrupted load leaves no trace,
+    and a load without changes writes nothing."""
+
+    def __init__(self, spark: SparkSession, base_dir: str, buckets: int = 64):
+        self.store, self.buckets = PartStore(spark, base_dir), buckets
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """The history as of the given load, or the latest one."""
+        return self.store.read("history", number=version)
+
+    def load(self, incoming: DataFrame, load_ts: str, close_missing: bool = False) -> list[str]:
+        """Apply one batch (whole extract or changed customers only); returns the written buckets.
+        With ``close_missing`` the batch must be the whole extract."""
+        part = bucket_of(KEY, self.buckets)
+        change = self.store.change()
+        own = [r.part for r in incoming.select(part.alias("part")).distinct().collect()]
+        old = self.store.read("history", None if close_missing else own)
+        if old is None:
+            written = change.replace("history", scd2_initial(incoming).withColumn("part", part), own)
+        else:
+            new = stage(scd2_apply(old, incoming, load_ts, close_missing).withColumn("part", part), "history")
+            # rows that were not there: closed and opened versions
+            fresh = new.join(old.select("customer_sk", "valid_to"), ["customer_sk", "valid_to"], "left_anti")
+            changed = [r.part for r in fresh.select("part").distinct().collect()]
+            if not changed:
+                return []
+            written = change.replace("history", new.where(F.col("part").isin(changed)), changed)
+            discard(new)
+        change.publish()
+        return sorted(written)

@@ -1,37 +1,17 @@
-"""Refresh of the marts (S10) and incremental maintenance of the customer-month
-snapshot with Structured Streaming (S12).
+"""Refresh of the marts.
 
-S10 — ``refresh_counts`` returns one row per mart with its row count (a single
+``refresh_counts`` returns one row per mart with its row count (a single
 Spark job over the union of counts); ``refresh_all`` writes every mart as
 parquet (the snapshot partitioned by ``year_month_sk`` with dynamic partition
 overwrite) and collects the written row counts through ``Observation`` metrics,
 so counting costs no extra pass.
-
-S12 — the 4-hour full reload re-aimed as an incremental job:
-``readStream`` over a landing folder of new sales lines, ``trigger(availableNow)``
-and ``foreachBatch``.  Each micro-batch
-
-1. is appended to the accumulated lines table under its own ``epoch`` partition
-   (written with overwrite, so a retried epoch replaces itself: idempotent) and
-   read back from there;
-2. yields its customers and the earliest month it touches (one scalar);
-3. recomputes the history of those customers only (their accumulated lines, by
-   semi-join), from that month on;
-4. replaces the month partitions from that month on: rows of untouched
-   customers are carried over as they are, rows of touched ones are the new ones.
-
-The result equals the batch computation over all lines (tested).
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..operators.customers import customer_monthly
-from ..plans.stage import discard, stage
-
 
 def refresh_counts(marts: dict[str, DataFrame]) -> DataFrame:
     """Row count per mart (one union of global counts)."""
@@ -61,72 +41,3 @@ def refresh_all(marts: dict[str, DataFrame], target_dir: str,
         w.parquet(f"{target_dir.rstrip('/')}/{name}")
         counts[name] = int(obs.get["rows"])
     return counts
-
-
-# ----------------------------------------------------------------------- S12
-LINE_COLUMNS = ("invoice_number", "line_item_sequence", "component_sequence", "customer_id", "document_date",
-                "sop_type", "net_quantity", "gross_sales_amount", "net_sales_amount", "total_cost_amount",
-                "gross_profit_amount")
-
-
-class IncrementalSnapshot:
-    """Keeps ``<base>/snapshot`` (customer × month, partitioned by ``year_month_sk``)
-    up to date from sales lines landing in ``<base>/landing``."""
-
-    def __init__(self, spark: SparkSession, base_dir: str):
-        self.spark = spark
-        self.base = base_dir.rstrip("/")
-        self.landing = f"{self.base}/landing"
-        self.lines = f"{self.base}/lines"
-        self.snapshot = f"{self.base}/snapshot"
-        self.checkpoint = f"{self.base}/_checkpoint"
-        self.started = self._exists()
-
-    def _exists(self) -> bool:
-        """Whether an earlier run has written the snapshot."""
-        try:
-            return bool(self.spark.read.parquet(self.snapshot).columns)
-        except AnalysisException:  # no such path yet
-            return False
-
-    def land(self, lines: DataFrame) -> None:
-        """Drop a set of new lines into the landing folder (producer side)."""
-        lines.select(*LINE_COLUMNS).write.mode("append").parquet(self.landing)
-
-    def _process(self, batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        (batch.select(*LINE_COLUMNS).withColumn("epoch", F.lit(epoch_id)).write
-         .mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(self.lines))
-        every = spark.read.parquet(self.lines)
-        own = every.where(F.col("epoch") == epoch_id)
-        first = own.agg(F.min(F.trunc("document_date", "month")).alias("m")).first()["m"]
-        if first is None:
-            return
-        touched = own.select(F.col("customer_id").alias("_c")).distinct()
-        lines = every.join(touched, F.col("customer_id").eqNullSafe(F.col("_c")), "left_semi")
-        fresh = self.recompute(lines).where(F.col("period_month") >= F.lit(first))
-        if self.started:
-            month = first.year * 10000 + first.month * 100 + 1
-            kept = spark.read.parquet(self.snapshot).where(F.col("year_month_sk") >= month)
-            kept = kept.join(touched, F.col("customer_id").eqNullSafe(F.col("_c")), "left_anti")
-            fresh = fresh.unionByName(kept)
-        merged = stage(fresh, "snapshot-months")  # read from and written to one table: two steps
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("year_month_sk").parquet(self.snapshot))
-        discard(merged)
-        self.started = True
-
-    def recompute(self, lines: DataFrame) -> DataFrame:
-        """History of the customers in ``lines``."""
-        return customer_monthly(lines)
-
-    def run(self, schema) -> None:
-        """Process every landed file not yet seen, then stop (availableNow)."""
-        q = (self.spark.readStream.schema(schema).parquet(self.landing)
-             .writeStream.foreachBatch(self._process)
-             .option("checkpointLocation", self.checkpoint)
-             .trigger(availableNow=True).start())
-        q.awaitTermination()
-
-    def result(self) -> DataFrame:
-        return self.spark.read.parquet(self.snapshot)

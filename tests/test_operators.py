@@ -562,17 +562,6 @@ def test_cluster_without_shared_folder_is_an_error():
         checkpoint_dir(Remote())
 
 
-def test_history_versions(spark, tmp_path):
-    base = str(tmp_path / "history")
-    h1 = scd2.scd2_initial(_cust(spark, [{"customer_id": "A", "customer_name": "a"}]))
-    scd2.write_version(h1, base, 1)
-    scd2.write_version(scd2.scd2_apply(scd2.read_version(spark, base), _cust(
-        spark, [{"customer_id": "A", "customer_name": "b"}]), "2021-01-01 00:00:00"), base, 2)
-    assert scd2.read_version(spark, base).count() == 2 and scd2.read_version(spark, base, 1).count() == 1
-    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
-        scd2.write_version(h1, base, 1)
-
-
 def test_suite_from_json(spark):
     import json
     text = json.dumps({"expectations": [
@@ -605,31 +594,6 @@ def test_referential_sees_orphans(spark):
     assert got == {("f", "x"): (3, 1), ("f", "y"): (3, 1)}
 
 
-def test_incremental_recomputes_touched_customers_only(spark, tmp_path):
-    from martspark.mart import Mart
-    from martspark.streaming.refresh import LINE_COLUMNS, IncrementalSnapshot
-    lines = Mart(spark, "/root/testdata/sf0.001").sales_lines_enriched.select(*LINE_COLUMNS)
-    ids = [r[0] for r in lines.select("customer_id").distinct().orderBy("customer_id").limit(3).collect()]
-    seen = []
-
-    class Watched(IncrementalSnapshot):
-        def recompute(self, part):
-            seen.append({r[0] for r in part.select("customer_id").distinct().collect()})
-            return super().recompute(part)
-
-    inc = Watched(spark, str(tmp_path))
-    late = (F.col("customer_id") == ids[0]) & (F.col("document_date") < "1997-01-01")  # late, and a new earliest month
-    last = lines.where(F.col("customer_id") == ids[1]).agg(F.max("document_date")).first()[0]
-    newest = (F.col("customer_id") == ids[1]) & (F.col("document_date") == F.lit(last))  # its last month only
-    for chunk in (lines.where(~late & ~newest), lines.where(late), lines.where(newest)):
-        inc.land(chunk)
-        inc.run(lines.schema)
-    assert seen[1] == {ids[0]} and seen[2] == {ids[1]} and len(seen[0]) > 3
-    want = C.customer_monthly(lines)
-    cols = sorted(want.columns)
-    assert sorted(map(str, inc.result().select(cols).collect())) == sorted(map(str, want.select(cols).collect()))
-
-
 @pytest.mark.parametrize("name", ["dq_expectations", "dq_by_dimension", "dq_column_tests", "dq_contract",
                                   "dq_referential", "filter_facets", "refresh_counts"])
 def test_shared_marts_are_computed_once(spark, name):
