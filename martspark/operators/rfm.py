@@ -1,9 +1,9 @@
 """RFM segmentation: quintile form of the analysis layer (A02) and median form
 of the service layer (V08–V11, V29), customer 360 (V12).
 
-Global quintiles and medians use ``plans.ranking`` (range-partitioned global
-row numbers) instead of unpartitioned windows or a single-task percentile
-buffer.  Ties are broken by ``customer_id`` (D6) so results are deterministic.
+Global quintiles and medians use ``plans.quantiles`` (exact cuts by refinement
+over the staged metrics) instead of unpartitioned windows, global sorts or a
+single-task percentile buffer.  Ties are broken by ``customer_id`` (D6) so results are deterministic.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import labels as L
 from ..functions.numeric import ratio_or, rnd, safe_div
-from ..plans.ranking import global_median, global_ntiles
+from ..plans.quantiles import Spec, medians, ntiles
 from ..plans.topk import top_k_per_group
 from ..plans.stage import stage
 from .sales import _date, apply_filters, money_sum
@@ -31,11 +31,9 @@ def rfm_quintiles(summary: DataFrame) -> DataFrame:
         F.col("total_net_revenue").alias("monetary_net_revenue"),
         "historical_ltv_gross_profit", "average_order_value", "current_churn_status")
     base = stage(base, "rfm-base")  # one computation of the customer summary for all three scores
-    # the three scores come out of one stacked range sort of (customer, metric)
-    scores = global_ntiles(base.select("customer_id", "recency_days", "frequency_orders", "monetary_net_revenue"),
-                           "customer_id", (("r_score", "recency_days", True), ("f_score", "frequency_orders", False),
-                                           ("m_score", "monetary_net_revenue", False)), 5)
-    s = base.join(scores, "customer_id")
+    # the cuts of the three scores come out of the same passes; scoring compares each row with them
+    s = ntiles(base, "customer_id", {"r_score": Spec("recency_days", descending=True), "f_score": Spec("frequency_orders"),
+                                     "m_score": Spec("monetary_net_revenue")}, 5)
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     seg = (F.when((r >= 4) & (f >= 4) & (m >= 4), L.RFM_CHAMPIONS)
            .when((r >= 3) & (f >= 3), L.RFM_LOYAL)
@@ -85,16 +83,17 @@ def customer_rfm_metrics(fact: DataFrame, as_of, **filters) -> DataFrame:
 
 
 # ----------------------------------------------------------------------- V09
+def _row_keyed(metrics: DataFrame) -> DataFrame:
+    return metrics.select("recency_days", "frequency", "monetary",
+                          F.concat_ws("\u0001", *[F.col(c) for c in SERVICE_KEYS]).alias("_row_key"))
+
+
 def rfm_medians(metrics: DataFrame) -> DataFrame:
     """One row with the exact interpolated medians of recency, frequency, monetary."""
-    row_key = F.concat_ws("\u0001", *[F.col(c) for c in SERVICE_KEYS]).alias("_row_key")
-    m = metrics.select("recency_days", "frequency", "monetary", row_key)
-    r = global_median(m, "recency_days", "_row_key")
-    f = global_median(m, "frequency", "_row_key")
-    mo = global_median(m, "monetary", "_row_key")
-    return r.select("recency_days_median",
-                    f.select("frequency_median").scalar().alias("frequency_median"),
-                    mo.select("monetary_median").scalar().alias("monetary_median"))
+    names = ("recency_days", "frequency", "monetary")
+    found = medians(stage(_row_keyed(metrics), "rfm-medians"), "_row_key", names)
+    return metrics.sparkSession.range(1).select(*[F.lit(v).cast("double").alias(f"{n}_median")
+                                                  for n, v in zip(names, found, strict=True)])
 
 
 def rfm_median_segments(metrics: DataFrame, vip_days: int = 60, loyal_days: int = 90,
@@ -104,13 +103,7 @@ def rfm_median_segments(metrics: DataFrame, vip_days: int = 60, loyal_days: int
     # folder: the medians and the segment rules read them without recomputing
     # the sales fact
     metrics = stage(metrics, "rfm-metrics")
-    keyed = metrics.select("frequency", "monetary",
-                           F.concat_ws("\u0001", *[F.col(c) for c in SERVICE_KEYS]).alias("_row_key"))
-    # one-row medians used as scalar subqueries (no join)
-    # frequency has a small integer domain: the exact percentile aggregate keeps
-    # one counter per distinct value, so its buffer stays bounded
-    fm = keyed.select(F.median("frequency")).scalar()
-    mm = global_median(keyed, "monetary", "_row_key").scalar()
+    fm, mm = (F.lit(v).cast("double") for v in medians(_row_keyed(metrics), "_row_key", ("frequency", "monetary")))
     rec, fr, mo = F.col("recency_days"), F.col("frequency"), F.col("monetary")
     seg = (F.when((rec <= vip_days) & (fr >= fm) & (mo >= mm), L.SEG_VIP)
            .when((rec <= loyal_days) & (fr >= fm), L.SEG_LOYAL)

@@ -12,7 +12,7 @@
 * ``scd2_from_changes``: builds the chains from a change log — consecutive
   identical states collapse, ``valid_to`` = next ``valid_from``.
 * ``point_in_time``: fact rows get the version valid at their document date
-  (equi-join on the key + half-open range predicate).
+  (equi-join on the key and a time slice, half-open interval within it).
 
 Plain parquet has no MERGE: ``StoredHistory`` keeps the history in customer
 buckets and rewrites the buckets that a load changes (S04).
@@ -24,7 +24,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
-from ..plans.broadcast import small
 from ..plans.ranking import keyed_row_number
 from ..plans.stage import discard, stage
 from ..sources.parts import PartStore, bucket_of
@@ -39,6 +38,9 @@ SNAPSHOT_COLS = ("customer_id", "customer_name", "customer_class_id", "corporate
                  "is_inactive", "created_at", "modified_at")
 SCD_COLS = ("customer_sk", "valid_from", "valid_to", "is_current", "row_hash")
 
+# Time slice of the point-in-time join, about a quarter: a version of many years is listed a few dozen times.
+SLICE_DAYS = 91
+
 
 def _version(df: DataFrame, valid_from: Column) -> DataFrame:
     return df.select(
@@ -113,16 +115,31 @@ def scd2_from_changes(changes: DataFrame, ts_col: str = "change_ts") -> DataFram
         F.col("_next").isNull().alias("is_current"), row_hash().alias("row_hash"))
 
 
-def point_in_time(facts: DataFrame, history: DataFrame, date_col: str = "document_date") -> DataFrame:
-    """Attach the customer version valid at ``date_col`` (half-open interval)."""
-    # the history is customer-level master data: broadcast when its estimated
-    # size allows, so a customer with a huge share of the lines never meets a
-    # sort-merge join partition of its own
-    h = small(history.select(F.col(KEY).alias("h_key"), "customer_sk", "valid_from", "valid_to"))
-    d = F.col(date_col).cast("timestamp")
-    j = facts.join(h, (facts[KEY] == h["h_key"]) & (d >= h["valid_from"]) & (d < h["valid_to"]), "left")
+def _slice(day: Column, days: int) -> Column:
+    return F.floor(F.datediff(day, F.lit("1970-01-01").cast("date")) / days)
+
+
+def point_in_time(facts: DataFrame, history: DataFrame, date_col: str = "document_date",
+                  slice_days: int = SLICE_DAYS) -> DataFrame:
+    """Attach the customer version valid at ``date_col`` (half-open interval).
+
+    Every version is listed once for each time slice that it overlaps, clipped to
+    the slices of the facts (two scalar subqueries), so the join is an equality on
+    (customer, slice); the interval only decides between versions of one slice.
+    A customer with a third of all facts is thereby cut into as many join keys as
+    there are slices, on both sides, and nothing has to be broadcast."""
+    day = F.col(date_col).cast("date")
+    first, last = (facts.select(agg(_slice(day, slice_days))).scalar() for agg in (F.min, F.max))
+    low = F.greatest(_slice(F.col("valid_from").cast("date"), slice_days), first)
+    high = F.least(_slice(F.col("valid_to").cast("date"), slice_days), last)
+    spans = history.select(F.col(KEY).alias("h_key"), F.col("customer_sk").alias("h_sk"), "valid_from", "valid_to",
+                           low.alias("_low"), high.alias("_high")).where(F.col("_low") <= F.col("_high"))
+    h = spans.select("h_key", "h_sk", "valid_from", "valid_to", F.explode(F.sequence("_low", "_high")).alias("h_slice"))
+    at = F.col(date_col).cast("timestamp")
+    j = facts.join(h, (F.col(KEY) == F.col("h_key")) & (_slice(day, slice_days) == F.col("h_slice"))
+                   & (at >= F.col("valid_from")) & (at < F.col("valid_to")), "left")
     return j.select(*[F.col(c) for c in facts.columns],
-                    F.coalesce("customer_sk", unknown_key(L.UNKNOWN_CUSTOMER)).alias("customer_sk"))
+                    F.coalesce("h_sk", unknown_key(L.UNKNOWN_CUSTOMER)).alias("customer_sk"))
 
 
 # ------------------------------------------------------------------------ S04
