@@ -85,7 +85,7 @@ def customer_rfm_metrics(fact: DataFrame, as_of, **filters) -> DataFrame:
 # ----------------------------------------------------------------------- V09
 def _row_keyed(metrics: DataFrame) -> DataFrame:
     return metrics.select("recency_days", "frequency", "monetary",
-                          F.concat_ws("\u0001", *[F.col(c) for c in SERVICE_KEYS]).alias("_row_key"))
+                          F.xxhash64(*SERVICE_KEYS).alias("_row_key"))
 
 
 def rfm_medians(metrics: DataFrame) -> DataFrame:

@@ -1,14 +1,13 @@
 """Exact order statistics by refinement, without sorting the rows.
 
 A quantile cut is a row: the one at a given position in the order (value, key).
-Each pass is one aggregate over the staged rows.  It counts the rows between
-splitters and, in the same aggregate, draws a few rows of every interval as the
-splitters of the next pass (the row of smallest hash for each salt).  Only the
-intervals that hold a wanted position are refined, by a factor of about 64 in
-the first pass and 16 in the following ones, until an interval has at most
-``LIMIT`` rows; those rows are collected and the row is picked.  Several
-columns and positions share every pass.  The driver sees at most a few thousand
-sampled rows and ``LIMIT`` rows for each position, whatever the table holds.
+Each pass counts the staged rows between a few cuts (one hash aggregate) and
+draws about ``CUTS`` rows of every interval that holds a wanted position, by a
+hash of the key, as the cuts of the next pass.  An interval shrinks by a factor of about
+``CUTS`` in each pass until it has at most ``LIMIT`` rows; those rows are
+collected and the row is picked.  Several columns and positions share every
+pass.  The driver sees some sampled rows and ``LIMIT`` rows for each position,
+whatever the table holds.
 
 Scores (``ntiles``) then compare every row with the cuts: no join, no shuffle.
 Ties are broken by the key, which must be unique and not null; null values come
@@ -17,15 +16,17 @@ first in ascending and last in descending order, as in SQL windows of Spark.
 
 from __future__ import annotations
 
+import json
 from collections import defaultdict
 from collections.abc import Callable, Sequence
+from decimal import Decimal
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LIMIT = 2048
-FIRST, NEXT = 64, 16  # splitters of the first pass and of an interval of a later one
+LIMIT = 8192
+CUTS = 64
 _STEP = 1 << 10
 
 
@@ -55,13 +56,24 @@ def _sorted(rows: list[tuple], spec: Spec) -> list[tuple]:
     return some + none if spec.descending else none + some
 
 
-def _interval_no(key: str, spec: Spec, cuts: Sequence[tuple], lo: int = 0) -> Column:
-    """Number of the first of the sorted cuts that a row is not behind (their count if none), by bisection."""
+def _json(value) -> str:
+    return str(value) if isinstance(value, Decimal) else json.dumps(value, default=str)
+
+
+def _interval_no(df: DataFrame, key: str, spec: Spec, cuts: Sequence[tuple]) -> Column:
+    """Number of the sorted cuts that a row is behind.  The cuts are one literal, not an expression for each."""
     if not cuts:
-        return F.lit(lo)
-    mid = len(cuts) // 2
-    return (F.when(_up_to(key, spec, cuts[mid]), _interval_no(key, spec, cuts[:mid], lo))
-            .otherwise(_interval_no(key, spec, cuts[mid + 1:], lo + mid + 1)))
+        return F.lit(0)
+    text = ",".join(f'{{"v":{_json(v)},"k":{_json(k)}}}' for v, k in cuts)
+    kind = f"array<struct<v:{df.schema[spec.value].dataType.simpleString()},k:{df.schema[key].dataType.simpleString()}>>"
+    v, name = F.col(spec.value), F.col(key)
+
+    def behind(c):
+        further = (v < c["v"]) if spec.descending else (v > c["v"])
+        nulls = (v.isNull() & c["v"].isNotNull()) if spec.descending else (v.isNotNull() & c["v"].isNull())
+        return F.coalesce(further, F.lit(False)) | nulls | (v.eqNullSafe(c["v"]) & (name > c["k"]))
+
+    return F.size(F.filter(F.from_json(F.lit(f"[{text}]"), kind), behind))
 
 
 class _Interval(NamedTuple):
@@ -84,53 +96,61 @@ def _marked(df: DataFrame, key: str, specs: Sequence[Spec], open_: Sequence[Sequ
                 inside = inside & ~_up_to(key, spec, x.lo)
             if x.hi is not None:
                 inside = inside & _up_to(key, spec, x.hi)
-            code = F.when(inside, F.lit(j * _STEP) + _interval_no(key, spec, x.cuts)).otherwise(code)
+            code = F.when(inside, F.lit(j * _STEP) + _interval_no(df, key, spec, x.cuts)).otherwise(code)
         entries.append(F.struct(F.lit(i).alias("spec"), code.alias("code")))
     values = sorted({s.value for s in specs})
     return (df.select(F.col(key).alias("_key"), *values, F.explode(F.array(*entries)).alias("e"))
             .select("_key", *values, "e.spec", "e.code").where(F.col("code").isNotNull()))
 
 
+def _drawn(df: DataFrame, key: str, specs: Sequence[Spec], large: Sequence[Sequence[_Interval]], number: int) -> dict:
+    """Some rows (value, key) of every interval, about ``CUTS`` of each."""
+    rates = F.lit(1)
+    for i, intervals in enumerate(large):
+        for j, x in enumerate(intervals):
+            here = (F.col("spec") == i) & (F.col("code") == j * _STEP)
+            rates = F.when(here, F.lit(max(1, x.rows // CUTS))).otherwise(rates)
+    uncut = [[x._replace(cuts=()) for x in xs] for xs in large]
+    rows = _marked(df, key, specs, uncut).where(F.pmod(F.xxhash64("_key", F.lit(number)), rates) == 0)
+    out: dict = defaultdict(list)
+    for r in rows.collect():
+        out[r.spec, r.code // _STEP].append((r[specs[r.spec].value], r["_key"]))
+    return out
+
+
+def _parts(x: _Interval, counts: Sequence[int]) -> list[_Interval]:
+    """The intervals between the cuts of ``x``."""
+    out, lo, before = [], x.lo, x.before
+    for n, hi in zip(counts, (*x.cuts, x.hi), strict=True):
+        out.append(_Interval(lo, hi, before, n, ()))
+        lo, before = hi, before + n
+    return out
+
+
 def order_statistics(df: DataFrame, key: str, specs: Sequence[Spec],
                      positions: Callable[[int], Sequence[int]], limit: int = LIMIT) -> tuple[int, list[list[tuple]]]:
     """Number of rows, and for each spec the (value, key) at each 1-based position of ``positions(rows)``.
     ``df`` should be staged: it is read once for each pass."""
-    values = sorted({s.value for s in specs})
-    open_ = [[_Interval(None, None, 0, -1, ())] for _ in specs]
-    wanted: list[int] | None = None
+    total = df.count()
+    wanted = sorted({p for p in positions(total) if 1 <= p <= total})
     small: list[dict[int, _Interval]] = [{} for _ in specs]
-    salts = FIRST
-    number = total = 0
+    open_ = [[_Interval(None, None, 0, total, ())] if wanted else [] for _ in specs]
+    number = 0
     while any(open_):
+        large = []
+        for found, intervals in zip(small, open_, strict=True):
+            found.update({p: x for x in intervals if x.rows <= limit for p in wanted if x.before < p <= x.before + x.rows})
+            large.append([x for x in intervals if x.rows > limit])
+        if not any(large):
+            break
         number += 1
-        sample = F.min(F.struct(F.xxhash64("_key", F.lit(number)), *values, "_key")).alias("row")
-        found = (_marked(df, key, specs, open_)
-                 .groupBy("spec", "code", F.pmod(F.xxhash64("_key"), F.lit(salts)).alias("salt"))
-                 .agg(F.count(F.lit(1)).alias("n"), sample)).collect()
-        counts: dict = defaultdict(int)
-        samples: dict = defaultdict(list)
-        for r in found:
-            counts[r.spec, r.code] += r.n
-            samples[r.spec, r.code].append((r.row[specs[r.spec].value], r.row["_key"]))
-        if wanted is None:
-            total = sum(n for (s, _), n in counts.items() if s == 0)
-            wanted = sorted({p for p in positions(total) if 1 <= p <= total})
-        nexts: list[list[_Interval]] = []
-        for i, spec in enumerate(specs):
-            refined = []
-            for j, x in enumerate(open_[i]):
-                lo, before = x.lo, x.before
-                for b in range(len(x.cuts) + 1):
-                    n = counts[i, j * _STEP + b]
-                    hi = x.cuts[b] if b < len(x.cuts) else x.hi
-                    mine = [p for p in wanted if before < p <= before + n]
-                    if mine and n <= limit:
-                        small[i].update({p: _Interval(lo, hi, before, n, ()) for p in mine})
-                    elif mine:
-                        refined.append(_Interval(lo, hi, before, n, tuple(_sorted(samples[i, j * _STEP + b], spec))))
-                    lo, before = hi, before + n
-            nexts.append(refined)
-        open_, salts = nexts, NEXT
+        drawn = _drawn(df, key, specs, large, number)
+        open_ = [[x._replace(cuts=tuple(_sorted(drawn[i, j], spec))) for j, x in enumerate(xs)]
+                 for i, (spec, xs) in enumerate(zip(specs, large, strict=True))]
+        counts = {(r.spec, r.code): r["count"] for r in _marked(df, key, specs, open_).groupBy("spec", "code").count().collect()}
+        open_ = [[part for j, x in enumerate(xs) for part in _parts(x, [counts.get((i, j * _STEP + b), 0)
+                                                                       for b in range(len(x.cuts) + 1)])
+                  if any(part.before < p <= part.before + part.rows for p in wanted)] for i, xs in enumerate(open_)]
     last = [sorted(set(m.values()), key=lambda x: x.before) for m in small]
     held: dict = defaultdict(list)
     for r in _marked(df, key, specs, last).collect():
@@ -138,7 +158,7 @@ def order_statistics(df: DataFrame, key: str, specs: Sequence[Spec],
     out = []
     for i, spec in enumerate(specs):
         rows = {x: _sorted(held[i, j], spec) for j, x in enumerate(last[i])}
-        out.append([rows[small[i][p]][p - small[i][p].before - 1] for p in wanted or []])
+        out.append([rows[small[i][p]][p - small[i][p].before - 1] for p in wanted])
     return total, out
 
 
