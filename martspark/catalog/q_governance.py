@@ -169,8 +169,10 @@ SUITE_CTES = """sales_lines as (select e.*, h.VOIDSTTS as is_voided from enriche
 
 
 def _suite_frames(m):
-    """The suite's tables; lines and months come from one staged computation."""
-    lines = stage(sales.sales_lines_enriched(m.stg_sales_headers, m.stg_sales_lines, ("is_voided",)), "suite-lines")
+    """The suite's tables; lines and months come from one staged computation of the columns that they read."""
+    lines = sales.sales_lines_enriched(m.stg_sales_headers, m.stg_sales_lines, ("is_voided",))
+    read = {c for r in quality.SALES_SUITE if r.table == "sales_lines" for c in r.columns} | set(customers.MONTH_INPUTS)
+    lines = stage(lines.select(*sorted(read)), "suite-lines")
     return {"sales_lines": lines, "customer_monthly": customers.customer_monthly(lines)}
 
 
@@ -206,22 +208,16 @@ COLUMN_TEST_TABLES = {
 
 
 def _column_test_frames(m):
-    """The tested tables; lines and the sales fact are computed once."""
+    """The tested tables; lines and the sales fact are computed once, the fact without untested columns."""
     m = m.staged("sales_lines_enriched")
-    m = _with(m, "fact_sales")
+    tested = sorted({c for table, c, _ in quality.COLUMN_TESTS if table == "fact_sales"})
+    m.__dict__["fact_sales"] = stage(m.fact_sales.select(*tested), "fact_sales")
     return {name: getattr(m, _TABLE_FRAMES.get(name, name)) for name in COLUMN_TEST_TABLES}
 
 
 _TABLE_FRAMES = {"customer_orders_summary": "customer_summary"}
 
 
-def _with(m, *names):
-    """``m`` with further frames staged (derived from what it already staged)."""
-    for name in names:
-        m.__dict__[name] = stage(getattr(m, name), name)
-    return m
-
-
 @register("dq_column_tests", with_prelude(ENRICHED, CUSTOMER_SUMMARY, CUSTOMER_MONTHLY, DIMS, FACT_SALES_SQL,
                                           DIM_DATE_CTE, SNAPSHOT_CTE,
                                           final=_rules_sql(quality.column_test_rules(), COLUMN_TEST_TABLES)))

@@ -88,6 +88,11 @@ def customer_orders_summary(enriched: DataFrame, customers: DataFrame, as_of, ch
 
 
 # ------------------------------------------------------------------ M08 / M09
+# Line columns that the customer aggregates read.
+MONTH_INPUTS = ("customer_id", "invoice_number", "sop_type", "document_date", "gross_sales_amount", "net_sales_amount",
+                "total_cost_amount", "gross_profit_amount", "net_quantity")
+
+
 def _document_totals(enriched: DataFrame, extra_keys: list) -> DataFrame:
     """Level 1 of the customer aggregates: one row per (customer, [month], document).
 
@@ -414,9 +419,10 @@ def cohort_matrix(fact: DataFrame, n_cohorts: int = 6, n_periods: int = 6, **fil
     act = (cust_month.join(members, "customer_id")
            .join(months, "m")
            .join(months.select(F.col("m").alias("cohort"), F.col("idx").alias("cidx")), "cohort")
+           # (cohort, customer, month) is unique, so cells are plain counts
            .select("cohort", "customer_id", (F.col("idx") - F.col("cidx")).alias("period"))
            .where((F.col("period") >= 0) & (F.col("period") < n_periods)))
-    cells = act.groupBy("cohort").pivot("period", list(range(n_periods))).agg(F.countDistinct("customer_id"))
+    cells = act.groupBy("cohort").pivot("period", list(range(n_periods))).agg(F.count("customer_id"))
     j = sizes.join(cells, "cohort", "left")
     cols = []
     for p in range(n_periods):

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..functions import labels as L
 from ..functions.numeric import ratio_or, rnd
 from ..plans.broadcast import small
-from .sales import _date, money_sum
+from .sales import _date, dated_from, money_sum
 
 ALL = "ALL"
 
@@ -99,8 +99,8 @@ def item_cogs_12m(sop30200: DataFrame, sop30300: DataFrame, as_of, months: int =
     start = F.add_months(_date(as_of), -months)
     h = sop30200.where(F.col("SOPTYPE").isin(3, 4) & (F.col("VOIDSTTS") == 0) & (F.col("DOCDATE") >= start)) \
         .select(F.col("SOPTYPE").alias("h_type"), F.trim("SOPNUMBE").alias("h_key"))
-    line = sop30300.select(F.col("SOPTYPE").alias("l_type"), F.trim("SOPNUMBE").alias("l_key"), "ITEMNMBR",
-                           "QUANTITY", "EXTDCOST")
+    line = sop30300.where(dated_from(start)).select(
+        F.col("SOPTYPE").alias("l_type"), F.trim("SOPNUMBE").alias("l_key"), "ITEMNMBR", "QUANTITY", "EXTDCOST")
     j = line.join(h, (line["l_type"] == h["h_type"]) & (line["l_key"] == h["h_key"]))
     sign = F.when(F.col("h_type") == 4, F.lit(-1.0).cast("decimal(2,1)")).otherwise(F.lit(1.0).cast("decimal(2,1)"))
     g = j.groupBy(F.rtrim("ITEMNMBR").alias("item_number")).agg(

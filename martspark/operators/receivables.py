@@ -17,7 +17,7 @@ from ..functions.numeric import ratio_or, rnd
 from ..plans.broadcast import small
 from .facts import aging_bucket
 from .org import person_name, territory_role
-from .sales import _date, money_sum
+from .sales import _date, dated_from, money_sum
 
 ALL = "ALL"
 
@@ -78,10 +78,11 @@ def apply_ar_filters(df: DataFrame, territory=ALL, customer_class=ALL, salespers
 
 def sales_90d_usd(sop30200: DataFrame, sop30300: DataFrame, latest_rate: Column, as_of, days: int = 90) -> Column:
     """Scalar: signed net sales of the last ``days`` days in USD (unfiltered, D17)."""
-    h = sop30200.where(F.col("SOPTYPE").isin(3, 4) & (F.col("VOIDSTTS") == 0) &
-                       (F.col("DOCDATE") >= F.date_sub(_date(as_of), days))) \
+    start = F.date_sub(_date(as_of), days)
+    h = sop30200.where(F.col("SOPTYPE").isin(3, 4) & (F.col("VOIDSTTS") == 0) & (F.col("DOCDATE") >= start)) \
         .select(F.col("SOPTYPE").alias("h_type"), F.trim("SOPNUMBE").alias("h_key"))
-    line = sop30300.select(F.col("SOPTYPE").alias("l_type"), F.trim("SOPNUMBE").alias("l_key"), "XTNDPRCE", "MRKDNAMT")
+    line = sop30300.where(dated_from(start)).select(
+        F.col("SOPTYPE").alias("l_type"), F.trim("SOPNUMBE").alias("l_key"), "XTNDPRCE", "MRKDNAMT")
     j = line.join(h, (line["l_type"] == h["h_type"]) & (line["l_key"] == h["h_key"]))
     sign = F.when(F.col("h_type") == 4, F.lit(-1.0).cast("decimal(2,1)")).otherwise(F.lit(1.0).cast("decimal(2,1)"))
     net = F.sum(sign * (F.col("XTNDPRCE") - F.coalesce(F.col("MRKDNAMT"), F.lit(0).cast("decimal(19,2)"))))

@@ -63,12 +63,16 @@ def customer_rfm_metrics(fact: DataFrame, as_of, **filters) -> DataFrame:
     give several rows when its documents carry different territories (D23);
     rows with a NULL group key are dropped like the pandas group-by (D5)."""
     s = apply_filters(fact, **filters).dropna(subset=list(SERVICE_KEYS))
-    g = s.groupBy(*SERVICE_KEYS).agg(
-        F.max("document_date").alias("last_purchase"),
-        F.min("document_date").alias("first_purchase"),
-        F.countDistinct("invoice_number").alias("frequency"),
-        money_sum("net_sales_amount").cast("double").alias("monetary"),
-        money_sum("gross_profit_amount").cast("double").alias("gross_profit_ltv"),
+    # document level first: the shuffle is spread by document, distinct documents become a plain count
+    docs = s.groupBy(*SERVICE_KEYS, "invoice_number").agg(
+        F.max("document_date").alias("doc_last"), F.min("document_date").alias("doc_first"),
+        money_sum("net_sales_amount").alias("doc_net"), money_sum("gross_profit_amount").alias("doc_gp"))
+    g = docs.groupBy(*SERVICE_KEYS).agg(
+        F.max("doc_last").alias("last_purchase"),
+        F.min("doc_first").alias("first_purchase"),
+        F.count("invoice_number").alias("frequency"),
+        F.sum("doc_net").cast("double").alias("monetary"),
+        F.sum("doc_gp").cast("double").alias("gross_profit_ltv"),
     )
     today = _date(as_of)
     return g.select(

@@ -46,6 +46,12 @@ def direction(sop_type: Column) -> Column:
     return F.when(sop_type == 4, F.lit(-1.0).cast("decimal(2,1)")).otherwise(F.lit(1.0).cast("decimal(2,1)"))
 
 
+def dated_from(start: Column) -> Column:
+    """Lines of documents dated from ``start`` on.  A line repeats its document's date, so the line scan
+    can be cut too; a line without a date is kept and left to its header."""
+    return (F.col("DOCDATE") >= start) | F.col("DOCDATE").isNull()
+
+
 def date_sk(d: Column) -> Column:
     return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
 
@@ -104,7 +110,7 @@ def service_sales_fact(sop30200: DataFrame, sop30300: DataFrame, rm00101: DataFr
 
     Invoices and returns of non-voided documents dated in the trailing
     ``months_back`` months before ``as_of`` (the window predicate is pushed into
-    the header scan), header ⋈ line on (type, number), names resolved by M04,
+    both scans), header ⋈ line on (type, number), names resolved by M04,
     rates by the as-of calendar join, amounts in USD rounded to cents.
     """
     start = F.add_months(_date(as_of), -months_back)
@@ -113,7 +119,7 @@ def service_sales_fact(sop30200: DataFrame, sop30300: DataFrame, rm00101: DataFr
         F.col("SOPTYPE").alias("sop_type"), F.trim("SOPNUMBE").alias("h_key"),
         F.rtrim("SOPNUMBE").alias("invoice_number"), F.col("DOCDATE").cast("date").alias("document_date"),
         F.col("GLPOSTDT").cast("date").alias("gl_post_date"), "CUSTNMBR", "CUSTNAME", "SLPRSNID", "SALSTERR", "CURNCYID", "XCHGRATE")
-    line = sop30300.where(F.col("SOPTYPE").isin(3, 4)).select(
+    line = sop30300.where(F.col("SOPTYPE").isin(3, 4) & dated_from(start)).select(
         F.col("SOPTYPE").alias("l_type"), F.trim("SOPNUMBE").alias("l_key"), "LNITMSEQ", "ITEMNMBR", "ITEMDESC",
         "QUANTITY", "UNITPRCE", "XTNDPRCE", "OXTNDPRC", "UNITCOST", "EXTDCOST", "MRKDNAMT")
     j = h.join(line, (h["sop_type"] == line["l_type"]) & (h["h_key"] == line["l_key"]))

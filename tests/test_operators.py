@@ -613,3 +613,12 @@ def test_one_history_join(spark):
 def test_no_expand(spark, name):
     from martspark.catalog import QUERIES
     assert "Expand" not in QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_contract_reports_a_missing_column(spark):
+    fact = spark.createDataFrame([("k1", "d1", 1, 0, "c", "p", 20200101), ("k2", "d2", 1, 0, None, "p", 20200101)],
+                                 "sales_fact_sk string, invoice_number string, line_item_sequence int, component_sequence int, "
+                                 "customer_sk string, product_sk string, document_date_sk int")
+    got = {r.rule_id: (r.unexpected_count, r.success) for r in quality.contract(fact).collect()}
+    assert got == {0: (1, False), 1: (0, True), 2: (0, True), 3: (0, True), 4: (1, False), 5: (0, True), 6: (0, True),
+                   7: (2, False)}
