@@ -92,6 +92,28 @@ def keyed_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[Column]
                     (F.row_number().over(w) + F.coalesce(F.col("_off"), F.lit(0))).alias(out))
 
 
+def keyed_running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: str, out: str,
+                      num_partitions: int | None = None) -> DataFrame:
+    """Add ``out`` = ``sum(value) over (partition by keys order by order)`` up to and with the row, without one
+    task for a key: the sums inside the pieces of ``keyed_row_number`` plus the sum of the key's earlier pieces.
+    ``order`` should be a total order within a key."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = stage(df.repartitionByRange(n, *[F.col(k).asc() for k in keys], *order)
+                   .select("*", F.spark_partition_id().alias("_pid")), "keyed")
+    pieces = ranged.groupBy(*keys, "_pid").agg(F.sum(value).alias("_sum"))
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    # at most one row per range partition (its first key, when continued)
+    offsets = bounded(pieces.select(*[F.col(k).alias(f"_o_{k}") for k in keys], F.col("_pid").alias("_o_pid"),
+                                    F.sum("_sum").over(before).alias("_off")).where(F.col("_off").isNotNull()))
+    cond = F.col("_pid") == F.col("_o_pid")
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
+    inside = Window.partitionBy(*keys, "_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return ranged.join(offsets, cond, "left").select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        (F.sum(value).over(inside) + F.coalesce(F.col("_off"), F.lit(0))).alias(out))
+
+
 def bucketed_row_number(df: DataFrame, keys: Sequence[Column], order: Sequence[str], out: str) -> DataFrame:
     """Add ``out`` = ``row_number() over (partition by keys order by order)``, as a lazy plan.
 
