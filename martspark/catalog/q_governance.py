@@ -3,6 +3,8 @@ privacy (G07, G08) and the refresh counts (S10)."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -298,6 +300,50 @@ def q_quarantine_split(spark, sf_dir):
     return quality.quarantine(m.sales_lines_enriched, m.stg_customers)
 
 
+# What the first delivery lacks: amounts of the documents of every 101st order, customers by the end of their number.
+_DAMAGED = "substr(invoice_number, 4)::bigint % 101 = 0"
+_LATE = "customer_id like '%7'"
+
+
+@register("quarantine_replay", with_prelude(ENRICHED, final=f"""
+, judged as (
+  select customer_id in (select customer_id from stg_customers) as known, {_LATE} as late, {_DAMAGED} as damaged from enriched)
+select 'delivered' as step, count(*) filter (known and not late and not damaged) as clean_rows,
+  count(*) filter (not known or late) as unknown_customer_rows,
+  count(*) filter (known and not late and damaged) as null_amount_rows from judged
+union all
+select 'corrected', count(*) filter (known and not late), count(*) filter (not known or late), 0 from judged
+union all select 'customers arrived', count(*) filter (known), count(*) filter (not known), 0 from judged
+union all select 'customers registered', count(*), 0, 0 from judged"""))
+def q_quarantine_replay(spark, sf_dir):
+    """Lines delivered with missing amounts and customers, corrected, and replayed until nothing is rejected."""
+    import uuid
+
+    from ..session import checkpoint_dir
+    from ..streaming.quarantine import Quarantine
+    m = mart_for(spark, sf_dir)
+    lines = stage(m.sales_lines_enriched.select("invoice_number", "line_item_sequence", "component_sequence", "customer_id",
+                                                "net_sales_amount"), "quarantine-lines")
+    damaged = F.substring("invoice_number", 4, 20).cast("long") % 101 == 0
+    q = Quarantine(spark, f"{checkpoint_dir(spark).rstrip('/')}/quarantine-{uuid.uuid4().hex}", buckets=8)
+    known = m.stg_customers.select("customer_id")
+    present = known.where(~F.col("customer_id").like("%7"))
+    steps = []
+
+    def step(name):
+        steps.append(q.counts().select(F.lit(name).alias("step"), "*"))
+
+    q.load(lines.withColumn("net_sales_amount", F.when(~damaged, F.col("net_sales_amount"))), present)
+    step("delivered")
+    q.load(lines.where(damaged), present)
+    step("corrected")
+    q.replay(known)
+    step("customers arrived")
+    q.replay(known.unionByName(m.stg_sales_headers.select("customer_id")).distinct())
+    step("customers registered")
+    return reduce(DataFrame.unionByName, steps)
+
+
 @register("dq_contract", with_prelude(ENRICHED, DIMS, FACT_SALES_SQL, final=_rules_sql(
     quality.CONTRACT_RULES, {"fact_sales": "fact_sales"}).replace(
     "select * from (", "select * from (select 0 as rule_id, 'fact_sales' as table_name, 'schema_columns' as expectation, "
