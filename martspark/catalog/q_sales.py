@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..mart import mart_for
-from ..operators import fx, org, sales
+from ..operators import cube, fx, org, sales
 from ..functions.numeric import rnd
 from .oracle_base import AS_OF_SQL, dbl, with_prelude
 from .oracle_common import ENRICHED, FACT_USD
@@ -219,3 +219,34 @@ def q_sales_slice_posting(spark, sf_dir):
     m = mart_for(spark, sf_dir)
     fact = sales.with_customer_cuts(m.fact_usd, m.stg_customers)
     return sales.sales_slice(fact, "month", ("credit_limit_band", "cohort_age_months"), "gl_post_date")
+
+
+# The cuts as in sales_slice_posting; every slice counts its own documents and customers.
+_CUT_CTES = """
+, first_sale as (select customer_id, min(document_date) as d0 from fact_usd group by 1),
+aged as (select f.*, datediff('month', d0, f.document_date) as age,
+           case when c.CRLMTAMT is null and not exists (select 1 from RM00101 x where rtrim(x.CUSTNMBR) = f.customer_id) then null
+                when coalesce(c.CRLMTAMT, 0) > 100000 then '> 100000' when coalesce(c.CRLMTAMT, 0) > 25000 then '25000-100000'
+                when coalesce(c.CRLMTAMT, 0) > 0 then '0-25000' else '<= 0' end as credit_limit_band
+         from fact_usd f left join first_sale using (customer_id) left join RM00101 c on rtrim(c.CUSTNMBR) = f.customer_id),
+cut as (select *, 'all' as everything, case when age >= 12 then '12+' when age >= 6 then '6-11' when age >= 3 then '3-5'
+                when age >= 0 then '0-2' end as cohort_age_band from aged)"""
+
+
+def _slices_sql() -> str:
+    parts = [f"""
+select '{grain}' as grain, cast(date_trunc('{grain}', document_date) as date) as period_start, '{name}' as cut,
+  {column} as cut_value, {MS('net_sales_amount')} as net_sales, {MS('gross_profit_amount')} as gross_profit,
+  count(distinct invoice_number) as orders_count, {MS('quantity', 4)} as units,
+  count(distinct customer_id) as customers_count from cut group by all"""
+             for grain in cube.GRAINS for name, column in [(cube.EVERYTHING, "everything"), *[(c, c) for c in cube.CUTS]]]
+    return _CUT_CTES + "\nunion all ".join(parts)
+
+
+@register("sales_slice_cube", with_prelude(FACT_USD, final=_slices_sql()))
+def q_sales_slice_cube(spark, sf_dir):
+    """Every grain x cut out of one cube, customers rolled up as bitmaps."""
+    m = mart_for(spark, sf_dir)
+    fact = sales.with_customer_cuts(m.fact_usd, m.stg_customers)
+    fact = fact.withColumn("cohort_age_band", cube.age_band(F.col("cohort_age_months")))
+    return cube.all_slices(cube.slice_cube(fact))
