@@ -300,6 +300,28 @@ def q_quarantine_split(spark, sf_dir):
     return quality.quarantine(m.sales_lines_enriched, m.stg_customers)
 
 
+@register("dq_incremental", with_prelude(ENRICHED, DIMS, FACT_SALES_SQL, final=_rules_sql(
+    quality.CONTRACT_RULES, {"fact_sales": "fact_sales"})))
+def q_dq_incremental(spark, sf_dir):
+    """G06 from mergeable states: the months before 1999 are checked first, then only the later ones are read."""
+    import uuid
+
+    from ..session import checkpoint_dir
+    from ..sources.parts import PartStore
+    from ..streaming.quality_state import QualityState
+    base = f"{checkpoint_dir(spark).rstrip('/')}/quality-{uuid.uuid4().hex}"
+    month = F.coalesce((F.col("document_date_sk") / 100).cast("int"), F.lit(0)).cast("string")
+    fact = stage(mart_for(spark, sf_dir).fact_sales.withColumn("part", month), "fact_sales")
+    source = PartStore(spark, f"{base}/fact")
+    state = QualityState(source, "fact_sales", month, quality.CONTRACT_RULES, f"{base}/state", buckets=8)
+    for rows in (fact.where("document_date_sk < 19990101"), fact.where("document_date_sk >= 19990101 or document_date_sk is null")):
+        change = source.change()
+        change.append("fact_sales", rows)
+        change.publish()
+        state.run()
+    return state.results()
+
+
 # What the first delivery lacks: amounts of the documents of every 101st order, customers by the end of their number.
 _DAMAGED = "substr(invoice_number, 4)::bigint % 101 = 0"
 _LATE = "customer_id like '%7'"
