@@ -1,8 +1,11 @@
-"""Queries T01–T12: the staging models over the whole source tables."""
+"""Queries T01–T12: the staging models over the whole source tables; S01, S02: a text extract read with its types."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..mart import mart_for
+from ..sources.extracts import typed
 from .oracle_base import dbl, with_prelude
 from .registry import register
 
@@ -44,3 +47,25 @@ def _make(name: str, attr: str, decimals: tuple[str, ...]):
 
 for _name, (_attr, _decs) in STAGING.items():
     _make(_name, _attr, _decs)
+
+
+# What is wrong in the text extract: quantities of every 101st order, dates of every 103rd, both in some.
+_ORDER = "substr(SOPNUMBE, 4)::bigint"
+
+
+@register("typed_extract", with_prelude(final=f"""
+select case when bad_quantity and bad_date then 'DOCDATE: not date; QUANTITY: not decimal(19,4)'
+            when bad_quantity then 'QUANTITY: not decimal(19,4)' when bad_date then 'DOCDATE: not date' else 'read' end as reason,
+  count(*) as n_rows, cast(sum(if(bad_quantity or bad_date, null, XTNDPRCE)) as double) as extended_price
+from (select *, {_ORDER} % 101 = 0 as bad_quantity, {_ORDER} % 103 = 0 as bad_date from SOP30300) group by 1"""))
+def q_typed_extract(spark, sf_dir):
+    """The lines as a text export with damaged values, read in the registry's types: rows and rejects by reason."""
+    lines = mart_for(spark, sf_dir).src["SOP30300"]
+    order = F.substring("SOPNUMBE", 4, 20).cast("long")
+    text = lines.select(*[F.col(c).cast("string").alias(c) for c in lines.columns])
+    text = text.withColumns({"QUANTITY": F.when(order % 101 == 0, F.lit("n/a")).otherwise(F.col("QUANTITY")),
+                             "DOCDATE": F.when(order % 103 == 0, F.lit("1999-02-31")).otherwise(F.col("DOCDATE"))})
+    read, rejects = typed(text, "SOP30300")
+    good = read.agg(F.lit("read").alias("reason"), F.count(F.lit(1)).alias("n_rows"), F.sum("XTNDPRCE").cast("double").alias("extended_price"))
+    bad = rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
+    return good.unionByName(bad.withColumn("extended_price", F.lit(None).cast("double")))

@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 from ..plans.ranking import bucketed_row_number
 from ..session import session_key
+from .extracts import typed
+from .io import read_source
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
@@ -239,14 +241,14 @@ def sources_for(spark: SparkSession, sf_dir: str) -> Sources:
 class ExtractSources:
     """ERP source frames read from parquet extracts ``<dir>/<SOURCE>`` (the
     production layout: one folder per source table, written by the extract job
-    or by ``materialize``)."""
+    or by ``materialize``), in the types of the registry."""
 
     def __init__(self, spark: SparkSession, extract_dir: str):
         self.spark = spark
         self.sf_dir = extract_dir.rstrip("/")
 
     def __getitem__(self, source: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{source}")
+        return typed(read_source(self.spark, source, f"{self.sf_dir}/{source}"), source).rows
 
 
 def materialize(spark: SparkSession, sf_dir: str, extract_dir: str) -> ExtractSources:

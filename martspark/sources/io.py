@@ -1,7 +1,8 @@
 """Readers and writers.
 
 * ``read_source``: one ERP table from parquet exports, or over JDBC with a
-  partition column so the read is split across executors.  Credentials come
+  partition column so the read is split across executors (its bounds are found
+  from the data where none are given).  Credentials come
   only from environment variables (SURVEY D22).
 * ``write_table``: materialise a layer as parquet (overwrite), optionally
   partitioned with dynamic partition overwrite (only touched partitions are
@@ -16,6 +17,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .extracts import column_bounds
+
 
 def read_source(spark: SparkSession, name: str, path: str | None = None, *, jdbc_table: str | None = None,
                 partition_column: str | None = None, lower_bound: int | None = None,
@@ -34,6 +37,14 @@ def read_source(spark: SparkSession, name: str, path: str | None = None, *, jdbc
               .option("user", os.environ.get("MARTSPARK_JDBC_USER", ""))
               .option("password", os.environ.get("MARTSPARK_JDBC_PASSWORD", "")))
     if partition_column:
+        if lower_bound is None or upper_bound is None:  # found from the data
+            def run(query):
+                return reader.option("dbtable", f"({query}) bounds").load()
+
+            found = column_bounds(run, jdbc_table or name, partition_column) or (0, 0)
+            lower_bound = found[0] if lower_bound is None else lower_bound
+            upper_bound = found[1] if upper_bound is None else upper_bound
+            reader = reader.option("dbtable", jdbc_table or name)
         reader = (reader.option("partitionColumn", partition_column).option("lowerBound", lower_bound)
                   .option("upperBound", upper_bound).option("numPartitions", num_partitions or 64))
     return reader.load()
