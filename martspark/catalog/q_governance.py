@@ -521,7 +521,7 @@ def _incremental(spark, sf_dir):
     present = {"customer": m.dim_customer.where(~late), "product": m.dim_product, "salesperson": m.dim_salesperson,
                "territory": m.dim_territory}
     inc = IncrementalMarts(spark, f"{checkpoint_dir(spark).rstrip('/')}/incremental-{uuid.uuid4().hex}", lambda: present,
-                           buckets=4)
+                           buckets=2)
     lines = m.sales_lines_enriched
     cut = F.lit("1999-01-01").cast("date")
     recent = lines.where((F.col("sop_type") == 3) & (F.col("document_date") >= cut))
