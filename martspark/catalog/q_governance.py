@@ -4,6 +4,7 @@ privacy (G07, G08) and the refresh counts (S10)."""
 from __future__ import annotations
 
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -185,6 +186,14 @@ def q_dq_expectations(spark, sf_dir):
     return quality.evaluate(_suite_frames(mart_for(spark, sf_dir)), quality.SALES_SUITE)
 
 
+@register("dq_suite_json", with_prelude(ENRICHED, SUITE_CTES, final=_rules_sql(
+    [r for r in quality.SALES_SUITE if r.table == "sales_lines"], {"sales_lines": "sales_lines"})))
+def q_dq_suite_json(spark, sf_dir):
+    """The suite of the sales lines, read from its JSON file."""
+    text = (Path(__file__).parent / "suites" / "sales_lines.json").read_text(encoding="utf-8")
+    return quality.evaluate(_suite_frames(mart_for(spark, sf_dir)), quality.load_suite(text, "sales_lines"))
+
+
 @register("dq_by_dimension", with_prelude(ENRICHED, CUSTOMER_MONTHLY, SUITE_CTES, final=f"""
 select dimension, count(*) as rules, count(*) filter (where success) as passed,
   count(*) filter (where not success) as failed, cast(sum(unexpected_count) as bigint) as unexpected_rows
@@ -446,6 +455,43 @@ def q_role_view_scientist(spark, sf_dir):
     return privacy.role_view_scientist(m.fact_customer_monthly_snapshot)
 
 
+# Fixed value: territory of the sales executive's customers.
+ROLE_TERRITORY_ID = "7"
+
+
+@register("role_customers_sales", with_prelude(DIMS, final=f"""
+select {dbl('credit_limit_amount')} from dim_customer where territory_id = '{ROLE_TERRITORY_ID}'"""))
+def q_role_customers_sales(spark, sf_dir):
+    """Sales executive on the customer dimension."""
+    return privacy.role_customers_sales(mart_for(spark, sf_dir).dim_customer, ROLE_TERRITORY_ID)
+
+
+@register("role_customers_analyst", with_prelude(DIMS, final=f"""
+select customer_sk, customer_id, {_MASK_NAME.format(c='customer_name')} as customer_name, customer_class_id,
+  customer_class_desc, sha256(primary_contact) as primary_contact_hash, city, country,
+  {_MASK_PHONE.format(c='phone_number')} as phone_number, salesperson_id, territory_id from dim_customer"""))
+def q_role_customers_analyst(spark, sf_dir):
+    """BI analyst on the customer dimension (masked)."""
+    return privacy.role_customers_analyst(mart_for(spark, sf_dir).dim_customer)
+
+
+@register("role_customers_scientist", with_prelude(DIMS, final="""
+select sha256(customer_id) as customer_token, customer_class_id, country, territory_id, is_inactive_source from dim_customer"""))
+def q_role_customers_scientist(spark, sf_dir):
+    """Data scientist on the customer dimension (tokens)."""
+    return privacy.role_customers_scientist(mart_for(spark, sf_dir).dim_customer)
+
+
+@register("role_fact_scientist", with_prelude(ENRICHED, DIMS, FACT_SALES_SQL, final=f"""
+select {dbl('quantity', 'net_sales_amount', 'gross_profit_amount')} from (
+  select document_date_sk // 100 as year_month, product_sk, territory_sk, sum(quantity) as quantity,
+    sum(net_sales_amount) as net_sales_amount, sum(gross_profit_amount) as gross_profit_amount, count(*) as n_lines
+  from fact_sales group by all)"""))
+def q_role_fact_scientist(spark, sf_dir):
+    """Data scientist on the sales fact (aggregated)."""
+    return privacy.role_fact_scientist(mart_for(spark, sf_dir).fact_sales)
+
+
 @register("role_view_auditor", with_prelude(final="""
 select h.invoice_number, h.sop_type, h.customer_id, h.document_date, cast(h.subtotal as double) as header_subtotal,
   cast(coalesce(l.s, 0) as double) as lines_total, cast(h.subtotal - coalesce(l.s, 0) as double) as difference,

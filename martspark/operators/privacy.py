@@ -72,6 +72,34 @@ def role_view_scientist(snapshot: DataFrame) -> DataFrame:
         "cumulative_net_sales_ltv", "cumulative_gross_profit_ltv", "days_since_last_purchase")
 
 
+def role_customers_sales(dim_customer: DataFrame, territory_id: str) -> DataFrame:
+    """G08 sales executive on the customer dimension: all attributes, own territory only."""
+    return dim_customer.where(F.col("territory_id") == territory_id)
+
+
+def role_customers_analyst(dim_customer: DataFrame) -> DataFrame:
+    """G08 BI analyst on the customer dimension: names and phones masked, contacts hashed, no address or credit."""
+    return dim_customer.where("is_current").select(
+        "customer_sk", "customer_id", mask_name(F.col("customer_name")).alias("customer_name"), "customer_class_id",
+        "customer_class_desc", hash_value(F.col("primary_contact")).alias("primary_contact_hash"), "city", "country",
+        mask_phone(F.col("phone_number")).alias("phone_number"), "salesperson_id", "territory_id")
+
+
+def role_customers_scientist(dim_customer: DataFrame) -> DataFrame:
+    """G08 data scientist on the customer dimension: a token for the customer, no identifying attribute."""
+    return dim_customer.where("is_current").select(
+        hash_value(F.col("customer_id")).alias("customer_token"), "customer_class_id", "country", "territory_id",
+        "is_inactive_source")
+
+
+def role_fact_scientist(fact_sales: DataFrame) -> DataFrame:
+    """G08 data scientist on the sales fact: aggregated by month, product and territory."""
+    month = (F.col("document_date_sk") / 100).cast("int").alias("year_month")
+    return fact_sales.groupBy(month, "product_sk", "territory_sk").agg(
+        F.sum("quantity").alias("quantity"), F.sum("net_sales_amount").alias("net_sales_amount"),
+        F.sum("gross_profit_amount").alias("gross_profit_amount"), F.count(F.lit(1)).alias("n_lines"))
+
+
 def role_view_auditor(sop30200: DataFrame, sop30300: DataFrame) -> DataFrame:
     """G08 financial auditor: full read, each non-voided document's header
     subtotal reconciled with the sum of its source lines (aggregated per
