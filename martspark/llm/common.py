@@ -8,6 +8,8 @@ columns to the rows, without a shuffle: memory is bounded by one batch.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import wraps
+from inspect import signature
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -101,6 +103,25 @@ def flat_arrow(df: DataFrame, make: Callable[[], tuple[Callable, Callable]], sch
     return df.mapInArrow(run, schema)
 
 
+def shielded(fn):
+    """For a function from rows to the same rows (or some of them): input columns that begin with ``__`` bear
+    other names inside, so that they cannot clash with the working columns of the operator."""
+    kind = signature(fn)
+
+    @wraps(fn)
+    def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
+        inner = {c: f"input {i} {c[2:]}" for i, c in enumerate(docs.columns) if c.startswith("__")}
+        if not inner:
+            return fn(docs, *args, **kwargs)
+        bound = kind.bind(docs.withColumnsRenamed(inner), *args, **kwargs)
+        for name, value in bound.arguments.items():
+            if name.endswith("_col") and value in inner:
+                bound.arguments[name] = inner[value]
+        return fn(*bound.args, **bound.kwargs).withColumnsRenamed({v: k for k, v in inner.items()})
+
+    return run
+
+
 def broadcastable(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint on a narrow, already staged frame of at most ``limit``
     rows (counted); beyond it the join is left to the planner."""

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from .common import alnum_words, with_arrow
+from .common import alnum_words, shielded, with_arrow
 
 WINDOW = 13
 BLOCK_BYTES = 32 * 1024 * 1024
@@ -153,6 +153,7 @@ def contaminated():
     return (n_hit() > 0) & (20 * n_hit() >= F.col("__n_words"))
 
 
+@shielded
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without its contaminated documents; all columns kept."""
     found = find_hits(docs, benchmark, **options)

@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, LongType, StructField, StructType
 
 from ..plans.stage import discard, stage
-from .common import broadcastable, flat_arrow, space_words, with_arrow, with_arrow_batches
+from .common import broadcastable, flat_arrow, shielded, space_words, with_arrow, with_arrow_batches
 from .components import connected_components
 
 SKETCH_BITS = 18
@@ -183,8 +183,9 @@ def _position_ok(na, pa, nb, pb, rule: Rule):
 
 
 class Join:
-    """The steps of one run; ``texts`` has (id, text), ``reps`` (id, n, f1, ranges),
-    ``holders`` (token, id, n, pos) of the shingles with three or more holders."""
+    """The steps of one run; ``texts`` has (doc, text_hash, text), ``reps`` a class in each row
+    (id, doc, text_hash, n, f1, ranges), ``holders`` (token, id, n, pos) of the shingles with three
+    or more holders.  Classes have numbers of their own, so an id may stand for several of them."""
 
     def __init__(self, texts: DataFrame, reps: DataFrame, holders: DataFrame, rule: Rule = OP6):
         self.texts, self.reps, self.holders, self.rule = texts, reps, holders, rule
@@ -263,8 +264,9 @@ class Join:
         return flat_arrow(rows, make, LINK)
 
     def texts_of(self, ids: DataFrame) -> DataFrame:
-        """(id, text, f1) of the given (id, f1); an id with several texts gives each of them."""
-        return self.texts.join(broadcastable(stage(ids, "pair-ids")), "id")
+        """(id, text, f1) of the given classes (id, f1)."""
+        wanted = stage(ids.join(self.reps.select("id", "doc", "text_hash"), "id"), "pair-ids")
+        return self.texts.join(broadcastable(wanted), ["doc", "text_hash"]).select("id", "text", "f1")
 
     def absorb(self, pairs: DataFrame) -> int:
         """Verify the candidate pairs and contract the links; returns the number of candidates."""
@@ -494,13 +496,22 @@ def _cross_links(rule: Rule):
 
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = OP6) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of ``docs``."""
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    found = labelled_rows(docs, id_col, text_col, rule)
+    return found.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"),
+                        F.when(F.col("doc").isNotNull(), F.coalesce("first.doc", "doc")).alias("component_id"))
+
+
+def labelled_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = OP6) -> DataFrame:
+    """(doc, text_hash, n, first), one row per row of ``docs``: ``first`` (doc, text_hash) is the smallest of its
+    component, null for rows without shingles or id."""
+    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("text_hash"),
+                        F.col(text_col).alias("text"))
     all_docs = stage(describe(texts, sketch(texts, rule=rule), rule=rule), "described")
-    classes = stage(all_docs.where((F.col("n") > 0) & F.col("id").isNotNull())
-                    .groupBy("f1", "f2", "n").agg(F.min("id").alias("rep")), "classes")
-    of_rep = classes.select("f1", "f2", F.col("rep").alias("id"))
-    reps = all_docs.join(of_rep, ["f1", "f2", "id"], "left_semi").dropDuplicates(["f1", "f2", "id"])
-    reps = stage(reps, "representatives")
+    classes = all_docs.where((F.col("n") > 0) & F.col("doc").isNotNull()).groupBy("f1", "f2", "n")
+    classes = classes.agg(F.min(F.struct("doc", "text_hash")).alias("least"))
+    classes = stage(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+    reps = all_docs.join(classes.select("f1", "f2", "n", "id", "least.*"), ["f1", "f2", "n", "doc", "text_hash"])
+    reps = stage(reps.dropDuplicates(["id"]), "representatives")
     prefixes = reps.select("id", "n", F.posexplode("prefix").alias("pos", "token"))
     shared = stage(reps.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("c"))
                    .where(F.col("c") > 1).select("token"), "shared-tokens")
@@ -513,7 +524,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                         & _position_ok(F.col("lo.n"), F.col("lo.pos"), F.col("hi.n"), F.col("hi.pos"), rule))
     # one shingle for each set of three or more holders
     more = tokens.where("c > 2").groupBy("c", "x", "y").agg(F.min("token").alias("token")).select("token")
-    run = Join(texts, reps.select("id", "n", "f1", "ranges"),
+    run = Join(texts, reps.select("id", "doc", "text_hash", "n", "f1", "ranges"),
                stage(holders.join(broadcastable(stage(more, "open-tokens")), "token"), "open-holders"), rule)
     first = twos.select(F.col("lo.id").alias("a"), F.col("hi.id").alias("b"))
     for r in range(STAR_ROUNDS):
@@ -523,30 +534,36 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not STAR_ROUNDS:  # everything is left to the last pass
         run.absorb(first.distinct())
     run.last_pass()
-    labels = classes.join(run.comp.withColumnRenamed("id", "rep"), "rep", "left")
-    labels = labels.select("f1", "f2", "n", F.coalesce("comp", "rep").alias("component"))
-    out = all_docs.select("id", "n", "f1", "f2").join(labels, ["f1", "f2", "n"], "left")
-    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
-                      F.when(F.col("id").isNull(), None).otherwise(F.coalesce("component", "id")).alias("component_id"))
+    named = stage(classes.join(run.comp, "id", "left").select("f1", "f2", "n", "least", F.coalesce("comp", "id").alias("comp")),
+                  "named")
+    least = named.groupBy("comp").agg(F.min("least").alias("first"))
+    labels = named.join(least, "comp").select("f1", "f2", "n", "first")
+    out = all_docs.select("doc", "text_hash", "n", "f1", "f2").join(labels, ["f1", "f2", "n"], "left")
+    return out.select("doc", "text_hash", "n", F.when(F.col("doc").isNotNull(), F.col("first")).alias("first"))
 
 
+@shielded
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = OP6) -> DataFrame:
     """``docs`` with one document of each component (the smallest id); texts
     without shingles and rows without id all stay.  All columns kept.
 
-    Only ids decide: those to leave out join the documents (sent to every task
-    while they are few enough, which is counted), so texts are not shuffled.
-    Repeated rows of a chosen id are copies of it: one of them stays."""
-    found = link_components(docs, id_col, text_col, rule).where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    ids = found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("chosen"),
-                                      F.count(F.lit(1)).alias("rows"))
-    special = stage(ids.where(~F.col("chosen") | (F.col("rows") > 1)).withColumnRenamed("doc_id", "__id"), "not-kept")
+    Only (id, hash of the text) decide: those to leave out join the documents (sent to every task
+    while they are few enough, which is counted), so texts are not shuffled.  An id with several texts is
+    judged row by row; repeated rows of a chosen document are copies of it: one of them stays."""
+    found = labelled_rows(docs, id_col, text_col, rule).where(F.col("first").isNotNull())
+    chosen = F.struct("doc", "text_hash") == F.col("first")
+    ids = found.groupBy("doc", "text_hash").agg(F.max(chosen).alias("chosen"), F.count(F.lit(1)).alias("rows"))
+    special = ids.where(~F.col("chosen") | (F.col("rows") > 1)).select(
+        F.col("doc").alias("__id"), F.col("text_hash").alias("__hash"), "chosen")
+    special = stage(special, "not-kept")
     cols = [F.col(f"`{c}`") for c in docs.columns]
-    has_words = F.trim(F.coalesce(F.col(text_col), F.lit("")), F.lit(" \t\n\x0b\x0c\r")) != ""
-    keyed = docs.withColumn("__id", F.when(has_words, F.col(id_col).cast("long")))  # null keys match nothing
-    single = keyed.join(broadcastable(special.select("__id")), "__id", "left_anti").select(*cols)
-    twice = keyed.join(broadcastable(special.where("chosen").select("__id")), "__id", "left_semi")
-    return single.unionByName(twice.groupBy("__id").agg(F.min(F.struct(*cols)).alias("row")).select("row.*"))
+    has_words = F.trim(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), F.lit(" \t\n\x0b\x0c\r")) != ""
+    keyed = docs.withColumns({"__id": F.when(has_words, F.col(f"`{id_col}`").cast("long")),  # null keys match nothing
+                              "__hash": F.xxhash64(F.col(f"`{text_col}`"))})
+    key = ["__id", "__hash"]
+    single = keyed.join(broadcastable(special.select(*key)), key, "left_anti").select(*cols)
+    twice = keyed.join(broadcastable(special.where("chosen").select(*key)), key, "left_semi")
+    return single.unionByName(twice.groupBy(*key).agg(F.min(F.struct(*cols)).alias("row")).select("row.*"))
 
 
 def brute_force(docs, rule: Rule = OP6) -> list[tuple]:

@@ -9,7 +9,7 @@ them, so that many positions are computed at once and memory stays bounded.
 The network is trained here, in numpy, by backpropagation through time, on a
 bounded, documented sample: per language the first ``FIT_DOCS`` labelled
 documents by hash of the id, and from each of them up to ``FIT_SEGMENTS``
-evenly spaced segments.  Training is seeded, so reruns agree.  Scoring runs in Arrow
+evenly spaced segments; more than ``MAX_LANGS`` languages are an error.  Training is seeded, so reruns agree.  Scoring runs in Arrow
 batches without a shuffle; the model (some thousand numbers) travels with the tasks.
 
 Defined results: a null text or one without a letter is ``und`` with score 0;
@@ -19,13 +19,13 @@ is ``und``; repeated rows are scored each; tables may be empty.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField
 
+from ..plans.stage import stage
 from ..plans.topk import top_k_per_group
 from .common import with_arrow_batches
 
@@ -39,7 +39,7 @@ BATCH = 192
 RATE = 0.02
 SEED = 5
 _ROWS = 2048          # segments computed together
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def segments_of(data: bytes, size: int = SEGMENT) -> np.ndarray:
@@ -208,16 +208,19 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         fit_docs: int = FIT_DOCS):
     """(languages, parameters), or None without labelled text."""
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}") & ~is_held_out(id_col))
-    ids = top_k_per_group(known.select(F.col(id_col).alias("__id"), F.col(lang_col).alias("__lang")), ["__lang"],
-                          [F.xxhash64("__id"), F.col("__id")], fit_docs, ["__id"])
-    ids = ids.select("__id", "__lang").limit(fit_docs * MAX_LANGS)
-    # at most fit_docs * MAX_LANGS ids; a document gives at most FIT_SEGMENTS segments
+    named = known.select(F.col(id_col).alias("__id"), F.col(lang_col).alias("__lang")).distinct()
+    ids = top_k_per_group(named, ["__lang"], [F.xxhash64("__id"), F.col("__id")], fit_docs, ["__id"])
+    ids = stage(ids.select("__id", "__lang"), "fit-ids")
+    if (found := ids.select("__lang").distinct().count()) > MAX_LANGS:
+        raise ValueError(f"{found} languages, more than {MAX_LANGS}")
+    # at most fit_docs * MAX_LANGS ids; an id gives one of its texts, a text at most FIT_SEGMENTS segments
     step = F.greatest(F.lit(SEGMENT), F.floor(F.octet_length(F.col(text_col)) / FIT_SEGMENTS)).cast("int")
     data = F.col(text_col).cast("binary")
     parts = F.transform(F.sequence(F.lit(0), F.lit(FIT_SEGMENTS - 1)),
                         lambda i: F.substring(data, (i * step + 1), F.lit(SEGMENT)))
     rows = (known.join(F.broadcast(ids), (known[id_col] == F.col("__id")) & (known[lang_col] == F.col("__lang")))
-            .select("__id", "__lang", parts.alias("parts")).orderBy("__lang", F.xxhash64("__id"), "__id").collect())
+            .groupBy("__id", "__lang").agg(F.min(parts).alias("parts"))
+            .orderBy("__lang", F.xxhash64("__id"), "__id").collect())
     langs = sorted({r["__lang"] for r in rows})
     if not langs:
         return None

@@ -131,14 +131,17 @@ class TemplateIndex:
         return out
 
 
-    def wrapped(self, words: list[bytes], found: dict[str, float]) -> list[tuple[int, str, float]]:
-        """(first word, label, containment) of the best window of each template
-        that holds more of it than the blocks in ``found`` (label to containment)."""
+    def wrapped(self, words: list[bytes], found: dict[str, list[tuple[int, int, float]]]) -> list[tuple[int, str, float]]:
+        """(first word, label, containment) of every window that holds a template far enough: of windows
+        that overlap the best one, and beside a block of the template in ``found`` (label to word ranges with
+        their containment) only a better one."""
         shared = self.keys.intersection(words)
         out = []
         for label in sorted({label for w in shared for label, _ in self.prefix[w]}):
             template, rare, width = self.sets[label], self.rare[label], self.window[label]
-            best, start = found.get(label, 0.0), -1
+            best, start, end = 0.0, -1, -1
+            taken = found.get(label, [])
+            block = 0
             at = [i for i, w in enumerate(words) if w in template]
             counts: Counter = Counter()
             lo = n_rare = 0
@@ -152,10 +155,16 @@ class TemplateIndex:
                     if not counts[w]:
                         del counts[w]
                     lo += 1
-                if n_rare and len(counts) >= self.need[label] and len(counts) / len(template) > best:
+                if start >= 0 and at[lo] > end:  # the window has left the last one found
+                    out.append((start, label, best))
+                    best, start = 0.0, -1
+                while block < len(taken) and taken[block][1] <= at[lo]:
+                    block += 1
+                line = taken[block][2] if block < len(taken) and taken[block][0] <= i else 0.0
+                if n_rare and len(counts) >= self.need[label] and len(counts) / len(template) > max(best, line):
                     overlap = in_order([words[j] for j in at[lo:hi + 1]], self.words[label])
-                    if overlap >= self.need[label] and overlap / len(template) > best:
-                        best, start = overlap / len(template), at[lo]
+                    if overlap >= self.need[label] and overlap / len(template) > max(best, line):
+                        best, start, end = overlap / len(template), at[lo], i
             if start >= 0:
                 out.append((start, label, best))
         return out
@@ -187,9 +196,11 @@ def phrase_places(words: list[bytes], phrases=PHRASES) -> list[tuple[int, str]]:
     out = []
     for phrase, label in phrases:
         key = b" " + phrase.encode() + b" "
-        at = text.find(key)
+        at, word, counted = text.find(key), 0, 0
         while at >= 0:
-            out.append((text.count(b" ", 0, at), label))
+            word += text.count(b" ", counted, at)  # each word is counted once
+            counted = at
+            out.append((word, label))
             at = text.find(key, at + 1)
     return sorted(out)
 
@@ -202,22 +213,22 @@ PLACE = StructType([StructField("word", LongType()), StructField("label", String
 def scan_licenses(docs: DataFrame, text_col: str = "text", templates=TEMPLATES,
                   threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with ``__n_words``, ``__places`` (base phrases) and ``__blocks``
-    (line number, label, containment of every matching line, and of each template's
-    best wrapped window, at its first line, if it holds more than the lines)."""
+    (line number, label, containment of every matching line and of every matching window
+    over several lines, at its first line)."""
     # at most one row per template word: a fixed size
     counts = {r["word"].encode(): r["n"] for r in vocabulary_counts(docs, text_col, templates).collect()}
     index = TemplateIndex(counts, templates, threshold)
 
     def make():
         def one(text):
-            blocks, words, ends, found = [], [], [], {}
+            blocks, words, ends, found = [], [], [], {}  # found: word ranges of the lines of each label
             for i, line in enumerate((text or "").split("\n")):
                 own = alnum_words(line)
                 words += own
                 ends.append(len(words))
                 for label, c in index.match(own):
                     blocks.append({"block": i, "label": label, "containment": c})
-                    found[label] = max(c, found.get(label, 0.0))
+                    found.setdefault(label, []).append((len(words) - len(own), len(words), c))
             blocks += [{"block": bisect_right(ends, at), "label": label, "containment": c}
                        for at, label, c in index.wrapped(words, found)]
             places = [{"word": w, "label": label} for w, label in phrase_places(words)]

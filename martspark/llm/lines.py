@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.stage import stage
-from .common import BROADCAST_ROWS
+from .common import BROADCAST_ROWS, shielded
 
 RATIO = 0.1  # of the query; its oracle SQL holds the same values
 MIN_PAGES = 5
@@ -92,6 +92,7 @@ def cleaned(text_col: str = "text") -> Column:
     return F.when(F.size("__dropped") == 0, F.col(text_col)).otherwise(F.array_join(kept, "\n"))
 
 
+@shielded
 def drop_boilerplate(docs: DataFrame, text_col: str = "text", host_col: str = "source", length_col: str | None = None,
                      **options) -> DataFrame:
     """``docs`` with the boilerplate lines removed from the text; ``length_col``,

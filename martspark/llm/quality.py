@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.stage import stage
-from .common import broadcastable
+from .common import broadcastable, shielded
 
 ALPHA = 0.05
 DELTA = 0.05
@@ -193,6 +193,7 @@ def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
                       F.col("__base_failed").alias("base_failed"), F.col("__kept").alias("kept"))
 
 
+@shielded
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the documents that the rules reject; all columns kept."""
     stats = stage(statistics(docs), "quality-docs")  # staged: the filter would repeat the expressions

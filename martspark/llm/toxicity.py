@@ -45,6 +45,7 @@ _CACHE = 500_000
 # Words that report speech rather than abuse.
 REPORTING = frozenset(b"said says saying wrote writes quote quoted quoting called word words term terms slur "
                       b"insult insults means meaning defined definition".split())
+_PARAGRAPH_END = re.compile(r"\n[ \t\r]*\n")
 _QUOTES = {'"': '"', "“": "”", "«": "»", "„": "“", "‘": "’"}
 
 
@@ -102,14 +103,24 @@ class LexiconTrie:
 
 
 def _quoted_ranges(text: str) -> list[tuple[int, int]]:
-    """Spans between a quotation mark and its partner in the same line, at most 300 characters apart."""
+    """Spans between a quotation mark and its partner in the same paragraph, however long."""
     out = []
+    ends = [m.start() for m in _PARAGRAPH_END.finditer(text)] + [len(text)]
+    paragraph = behind = 0
+    missing: set[str] = set()  # partners that this paragraph has no more of
     for m in re.finditer(r"[\"“«„‘]", text):
-        if out and m.start() < out[-1][1]:
+        if m.start() < behind:
             continue
-        end = text.find(_QUOTES[m.group()], m.end(), m.end() + 300)
-        if end > 0 and "\n" not in text[m.end():end]:
-            out.append((m.start(), end + 1))
+        while ends[paragraph] < m.start():
+            paragraph += 1
+            missing.clear()
+        partner = _QUOTES[m.group()]
+        end = -1 if partner in missing else text.find(partner, m.end(), ends[paragraph])
+        if end < 0:
+            missing.add(partner)
+        else:
+            behind = end + 1
+            out.append((m.start(), behind))
     return out
 
 
@@ -219,8 +230,8 @@ def learn_lexicon(sample: DataFrame) -> LexiconTrie:
         if any(term.startswith(s) for s in stems) or (own and max(words[w]["t"] for w in own) >= 0.8 * r["t"]):
             continue
         stems[term] = r["w"]
-    whole = {w: r["w"] for w, r in words.items() if not any(w.startswith(s) for s in stems)}
-    return LexiconTrie(whole, stems)
+    # words that a stem covers stay, so that their misspellings are found within the stem too
+    return LexiconTrie({w: r["w"] for w, r in words.items()}, stems)
 
 
 def _whole(term: bytes) -> bool:

@@ -158,3 +158,52 @@ def test_neighbour_keys_are_the_keys_of_the_neighbours():
         want = {int(x) for w in (sorted(same), sorted(longer)) for x in spelling.word_keys(w, k)}
         assert set(spelling.neighbour_keys([word], k, False)[0].tolist()) == want
         assert set(spelling.neighbour_keys([word], k, True)[0].tolist()) == set(spelling.word_keys(sorted(shorter), k).tolist())
+
+
+def test_texts_under_one_id_are_kept_and_linked_by_themselves(spark, docs_of):
+    rng = random.Random(11)
+    a, b, c = (" ".join(f"{x}{rng.randrange(10**6)}" for _ in range(60)) for x in "abc")
+    rows = [(5, a), (5, b), (7, b + " end"), (9, a + " end"), (5, a), (6, c), (6, c), (None, c)]
+    docs = docs_of([(i, t, "en", "s") for i, t in rows])
+    kept = sorted(collected(jaccard.keep_one(docs, rule=jaccard.Rule(5, 80, 100)), "doc_id", "text"), key=repr)
+    assert kept == sorted([(5, a), (5, b), (6, c), (None, c)], key=repr)
+    links = sorted(collected(jaccard.link_components(docs), "doc_id", "component_id"), key=repr)
+    assert links == sorted([(5, 5)] * 3 + [(6, 6)] * 2 + [(7, 5), (9, 5), (None, None)], key=repr)
+
+
+def test_working_columns_do_not_clash_with_the_input(spark, docs_of):
+    from martspark.llm import decontaminate, lines, quality
+
+    rng = random.Random(12)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(40)) + f"\nline {i % 2}" for i in range(30)]
+    plain = docs_of([(i, t, "en", "s") for i, t in enumerate(texts)], extra=False)
+    odd = plain.withColumns({n: F.lit(f"in {n}") for n in ("__host", "__dropped", "__words", "__kept", "__n_words", "__n_words0",
+                                                           "__spans", "__id", "__hash", "__row")})
+    bench = spark.createDataFrame([(1, texts[3])], "item_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    for fn in (lambda d: lines.drop_boilerplate(d, length_col="n_chars"), lambda d: quality.keep_good(d, labels),
+               lambda d: decontaminate.remove_contaminated(d, bench), jaccard.keep_one):
+        got = fn(odd)
+        assert got.columns == odd.columns
+        assert sorted(map(tuple, got.select(plain.columns).collect())) == sorted(map(tuple, fn(plain).collect()))
+        assert {r["__id"] for r in got.select("__id").collect()} == {"in __id"}
+
+
+def test_quotations_over_lines_and_phrase_places_of_long_texts():
+    import time
+
+    from martspark.llm import langid, licenses, toxicity
+
+    text = 'He said "' + "word " * 200 + "\nmore\" and left.\n\nAn open \" mark.\n\nNew “one” here"
+    spans = toxicity._quoted_ranges(text)
+    assert [text[a] + text[b - 1] for a, b in spans] == ['""', "“”"] and spans[0][1] - spans[0][0] > 1000
+    words = [b"cc", b"by"] * 200_000
+    start = time.perf_counter()
+    assert [w for w, _ in licenses.phrase_places(words)] == list(range(0, 400_000, 2))
+    assert time.perf_counter() - start < 5
+    assert not langid._LETTER.search("½ ² 12 ٣") and langid._LETTER.search("½ é")
+    index = licenses.TemplateIndex({})
+    block = [w for _, t in licenses.TEMPLATES[:1] for w in licenses.alnum_words(t)]
+    label = licenses.TEMPLATES[0][0]
+    twice = block + [b"between"] * 200 + block
+    assert [(at, name) for at, name, _ in index.wrapped(twice, {}) if name == label] == [(0, label), (len(block) + 200, label)]
