@@ -14,6 +14,10 @@ are by default the lines of the text, a line's ending newline belonging to it.
 The vocabulary is a file of a public tokenizer; its path is a parameter, the
 driver reads it and its ranks (a fixed size) travel with the tasks.
 
+Long runs of white space are cut out before the pattern runs, since its look-ahead backtracks over a whole
+run.  The pattern takes a run up to its last character, which it leaves to the word that follows (all of the
+run at the end of the text); the same cut is made by hand, so the tokens are the same.
+
 Defined results: null and empty texts have no token and no section; repeated
 rows are counted each for itself; tables may be empty; extra columns pass.
 """
@@ -21,6 +25,7 @@ rows are counted each for itself; tables may be empty; extra columns pass.
 from __future__ import annotations
 
 import base64
+import re
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -34,6 +39,12 @@ TOKENIZER_PATH = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 SPLIT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+LONG_RUN = 256
+# The characters with the Unicode property White_Space.
+_WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_RUN = re.compile(f"[{_WHITE}]{{{LONG_RUN},}}")
+
+
 def line_starts(data: bytes) -> np.ndarray:
     """Byte offsets at which the lines of ``data`` start (a newline ends its line)."""
     if not data:
@@ -72,6 +83,25 @@ def encoder(ranks: dict[bytes, int]):
     return tiktoken.Encoding("section_counts", pat_str=SPLIT_PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def whole_encoder(ranks: dict[bytes, int]):
+    """``text -> tokens`` of ``encoder``, also for texts with long runs of white space."""
+    import tiktoken
+
+    words = encoder(ranks)
+    runs = tiktoken.Encoding("runs", pat_str="(?s).+", mergeable_ranks=ranks, special_tokens={})
+
+    def encode(text: str) -> list[int]:
+        out, at = [], 0
+        for run in _RUN.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            out += words.encode_ordinary(text[at:run.start()])
+            out += runs.encode_ordinary(text[run.start():end])
+            at = end
+        return out + words.encode_ordinary(text[at:])
+
+    return encode
+
+
 FIELDS = [StructField("__n_tokens", LongType()), StructField("__sections", ArrayType(LongType())),
           StructField("__crossing", LongType())]
 
@@ -82,7 +112,7 @@ def count_tokens(docs: DataFrame, text_col: str = "text", tokenizer_path: str =
 
     def make():
         ranks = shared.value
-        enc = encoder(ranks)
+        encode = whole_encoder(ranks)
         size = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
         for token, number in ranks.items():
             size[number] = len(token)
@@ -91,7 +121,7 @@ def count_tokens(docs: DataFrame, text_col: str = "text", tokenizer_path: str =
             if not text:
                 return 0, [], 0
             data = text.encode("utf-8", "surrogatepass")
-            tokens = np.asarray(enc.encode_ordinary(text), dtype=np.int64)
+            tokens = np.asarray(encode(text), dtype=np.int64)
             sections, crossing = allocate(size[tokens], line_starts(data), len(data))
             return len(tokens), sections.tolist(), crossing
 

@@ -169,6 +169,19 @@ def test_tokens_round_trip(spark, docs_of):
     assert token_counts.token_report(docs_of([])).count() == 0
 
 
+def test_tokens_of_long_white_space_runs():
+    enc = token_counts.encoder(ranks := token_counts.load_ranks(token_counts.TOKENIZER_PATH))
+    encode = token_counts.whole_encoder(ranks)
+    rng = random.Random(11)
+    for _ in range(40):
+        text = "".join(rng.choice(["a's", "Ünï", "12", " !?", "x ", ""]) + "".join(rng.choices(white, k=rng.choice([1, 255, 256, 257, 700])))
+                       for white in (" ", " \n", "\t\u3000\xa0 ", "\r\n\x85", "\x1c ")) + rng.choice(["", "end", " "])
+        assert encode(text) == enc.encode_ordinary(text)
+    for text in (" " * 1_000_000, "a" + " \n" * 500_000 + "b"):  # too long for the pattern
+        tokens = encode(text)
+        assert b"".join(enc.decode_tokens_bytes(tokens)).decode() == text
+
+
 def test_crossing_token_goes_to_the_larger_part():
     counts, crossing = token_counts.allocate(np.array([2, 3, 4]), np.array([0, 3, 7]), 9)
     # bytes 0-1 | 2-4 (one byte in section 0, two in 1) | 5-8 (two and two: the earlier one)
