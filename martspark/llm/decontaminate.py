@@ -6,8 +6,10 @@ hash hit word by word, and marks the words inside a verified window.  Documents
 are never shuffled.
 
 The benchmark side is a stated query set of checked size: it is cut into blocks
-of at most ``block_bytes`` of text by item hash, and the documents are scanned
-once per block (one block for any usual benchmark).  The spans of several
+of about ``block_bytes`` of text by the hash of item and text (repeated rows count
+once), and the documents are scanned once per block (one block for any usual
+benchmark).  The hits of a block are written before the next one is read, so tasks
+and driver hold the windows of one block at a time.  The spans of several
 blocks are merged per document.
 
 Defined results: null, empty or word-less text has no words and no hit; an item
@@ -26,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
+from ..plans.stage import discard, stage
 from .common import alnum_words, shielded, with_arrow
 
 WINDOW = 13
@@ -107,11 +110,12 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", ite
     """``docs`` with ``__n_words``, ``__spans`` (merged hit word spans) and ``__items``."""
     spark = docs.sparkSession
     bench = benchmark.select(F.col(item_col).alias("item"), F.coalesce(F.col(item_text), F.lit("")).alias("text"))
+    bench = bench.distinct()
     size = bench.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = int(size // block_bytes) + 1
-    out = docs
+    out, before = docs, None
     for k in range(blocks):
-        part = bench.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k)
+        part = bench.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
         # bounded by block_bytes of benchmark text, checked above
         shared = spark.sparkContext.broadcast([(r["item"], r["text"]) for r in part.collect()])
         fields = [StructField(f"{f.name}{k}", f.dataType) for f in FOUND]
@@ -127,6 +131,12 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", ite
             return one
 
         out = with_arrow(out, [text_col], make, fields)
+        if k + 1 < blocks:  # this block's hits are written before the next block is read
+            out = stage(out, "benchmark-block")
+            shared.unpersist()
+            if before is not None:
+                discard(before)
+            before = out
     base = [F.col(f"`{c}`") for c in docs.columns]
     if blocks == 1:
         return out.select(*base, *[F.col(f"{f.name}0").alias(f.name) for f in FOUND])
