@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ..plans.stage import stage
 from .common import BROADCAST_ROWS, shielded
 
-RATIO = 0.1  # of the query; its oracle SQL holds the same values
+RATIO = 0.01  # of the query; its oracle SQL holds the same values
 MIN_PAGES = 5
 _EDGE = " \t\n\x0b\x0c\r"
 

@@ -102,7 +102,7 @@ counts as (select t.source, t, count(distinct rid) as pages from t join pages us
            group by t.source, t),
 hosts as (select source, count(*) as host_pages from pages group by source),
 bad as (select counts.source as s, t as b from counts join hosts on counts.source is not distinct from hosts.source
-        where pages >= 5 and pages > 0.1 * host_pages),
+        where pages >= 5 and pages > 0.01 * host_pages),
 marked as (select t.*, b is not null as dropped
            from t left join bad on t.source is not distinct from s and t.t = b),
 sums as (select rid, count(*) filter (t <> '') as n_lines, count(*) filter (dropped) as n_dropped,
