@@ -54,6 +54,9 @@ RANGES = 64          # for a set of up to 512 shingles; doubled with the size
 CELL = 256
 STAR_ROUNDS = 1
 LEADERS = 3
+# Shared prefix shingles sent whole to every task, at most; their number grows with the corpus, so the join is
+# shuffled beyond it.  A hash table of these takes a few times 8 bytes a row, also in the driver that builds it.
+TOKENS = 250_000
 
 _K = np.uint64(0x9E3779B97F4A7C15)
 _S = np.uint64(29)
@@ -515,7 +518,7 @@ def labelled_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     prefixes = reps.select("id", "n", F.posexplode("prefix").alias("pos", "token"))
     shared = stage(reps.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("c"))
                    .where(F.col("c") > 1).select("token"), "shared-tokens")
-    holders = stage(prefixes.join(broadcastable(shared), "token"), "holders")
+    holders = stage(prefixes.join(broadcastable(shared, TOKENS), "token"), "holders")
     at = F.struct("id", "n", "pos")
     tokens = stage(holders.groupBy("token").agg(
         F.count(F.lit(1)).alias("c"), F.min(at).alias("lo"), F.max(at).alias("hi"),
@@ -525,7 +528,7 @@ def labelled_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # one shingle for each set of three or more holders
     more = tokens.where("c > 2").groupBy("c", "x", "y").agg(F.min("token").alias("token")).select("token")
     run = Join(texts, reps.select("id", "doc", "text_hash", "n", "f1", "ranges"),
-               stage(holders.join(broadcastable(stage(more, "open-tokens")), "token"), "open-holders"), rule)
+               stage(holders.join(broadcastable(stage(more, "open-tokens"), TOKENS), "token"), "open-holders"), rule)
     first = twos.select(F.col("lo.id").alias("a"), F.col("hi.id").alias("b"))
     for r in range(STAR_ROUNDS):
         pairs = run.star_pairs(r)
