@@ -41,11 +41,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, LongType, StructField, StructType
 
-from ..plans.stage import discard, stage
+from ..plans.stage import discard, stage, staging
 from .common import broadcastable, flat_arrow, shielded, space_words, with_arrow, with_arrow_batches
 from .components import connected_components
 
@@ -54,8 +54,8 @@ RANGES = 64          # for a set of up to 512 shingles; doubled with the size
 CELL = 256
 STAR_ROUNDS = 1
 LEADERS = 3
-# Shared prefix shingles sent whole to every task, at most; their number grows with the corpus, so the join is
-# shuffled beyond it.  A hash table of these takes a few times 8 bytes a row, also in the driver that builds it.
+# Shingles of three or more holders sent whole to every task, at most; their number grows with the corpus, so the
+# join is shuffled beyond it.  A hash table of these takes a few times 8 bytes a row, also in the driver that builds it.
 TOKENS = 250_000
 
 _K = np.uint64(0x9E3779B97F4A7C15)
@@ -506,19 +506,44 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def labelled_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = OP6) -> DataFrame:
     """(doc, text_hash, n, first), one row per row of ``docs``: ``first`` (doc, text_hash) is the smallest of its
-    component, null for rows without shingles or id."""
-    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("text_hash"),
-                        F.col(text_col).alias("text"))
-    all_docs = stage(describe(texts, sketch(texts, rule=rule), rule=rule), "described")
-    classes = all_docs.where((F.col("n") > 0) & F.col("doc").isNotNull()).groupBy("f1", "f2", "n")
-    classes = classes.agg(F.min(F.struct("doc", "text_hash")).alias("least"))
-    classes = stage(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
-    reps = all_docs.join(classes.select("f1", "f2", "n", "id", "least.*"), ["f1", "f2", "n", "doc", "text_hash"])
-    reps = stage(reps.dropDuplicates(["id"]), "representatives")
+    component, null for rows without shingles or id.  Only what the result reads stays in the shared folder."""
+    with staging(docs.sparkSession) as keep:
+        texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("text_hash"),
+                            F.col(text_col).alias("text"))
+        all_docs = describe(texts, sketch(texts, rule=rule), rule=rule)
+        all_docs = stage(all_docs.withColumn("row", F.monotonically_increasing_id()), "described")
+        classes = all_docs.where((F.col("n") > 0) & F.col("doc").isNotNull()).groupBy("f1", "f2", "n")
+        classes = classes.agg(F.min(F.struct("doc", "text_hash", "row")).alias("least"))
+        classes = stage(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+        reps = all_docs.join(classes.select("id", F.col("least.row").alias("row")), "row")  # one row for each class
+        reps = stage(reps.select("id", "doc", "text_hash", "n", "f1", "prefix", "ranges"), "representatives")
+        run, first = _opened(texts, reps, rule)
+        for r in range(STAR_ROUNDS):
+            pairs = run.star_pairs(r)
+            if not run.absorb((pairs if r else pairs.unionByName(first)).distinct()):
+                break
+        if not STAR_ROUNDS:  # everything is left to the last pass
+            run.absorb(first.distinct())
+        run.last_pass()
+        named = stage(classes.join(run.comp, "id", "left").select(
+            "f1", "f2", "n", F.struct("least.doc", "least.text_hash").alias("least"),
+            F.coalesce("comp", "id").alias("comp")), "named")
+        rows = stage(all_docs.select("doc", "text_hash", "n", "f1", "f2"), "rows")
+        keep += [named, rows]
+    least = named.groupBy("comp").agg(F.min("least").alias("first"))
+    labels = named.join(least, "comp").select("f1", "f2", "n", "first")
+    out = rows.join(labels, ["f1", "f2", "n"], "left")
+    return out.select("doc", "text_hash", "n", F.when(F.col("doc").isNotNull(), F.col("first")).alias("first"))
+
+
+def _opened(texts: DataFrame, reps: DataFrame, rule: Rule) -> tuple["Join", DataFrame]:
+    """The run over the shingles with three or more holders, and the pairs (a, b) of those with two.
+
+    The prefix shingles are shuffled once, by shingle, and the window counts their holders there: no list of
+    shared shingles, which grows with the corpus, is sent to tasks or joined back."""
     prefixes = reps.select("id", "n", F.posexplode("prefix").alias("pos", "token"))
-    shared = stage(reps.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("c"))
-                   .where(F.col("c") > 1).select("token"), "shared-tokens")
-    holders = stage(prefixes.join(broadcastable(shared, TOKENS), "token"), "holders")
+    held = prefixes.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("token")))
+    holders = stage(held.where(F.col("c") > 1).drop("c"), "holders")
     at = F.struct("id", "n", "pos")
     tokens = stage(holders.groupBy("token").agg(
         F.count(F.lit(1)).alias("c"), F.min(at).alias("lo"), F.max(at).alias("hi"),
@@ -529,20 +554,7 @@ def labelled_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     more = tokens.where("c > 2").groupBy("c", "x", "y").agg(F.min("token").alias("token")).select("token")
     run = Join(texts, reps.select("id", "doc", "text_hash", "n", "f1", "ranges"),
                stage(holders.join(broadcastable(stage(more, "open-tokens"), TOKENS), "token"), "open-holders"), rule)
-    first = twos.select(F.col("lo.id").alias("a"), F.col("hi.id").alias("b"))
-    for r in range(STAR_ROUNDS):
-        pairs = run.star_pairs(r)
-        if not run.absorb((pairs if r else pairs.unionByName(first)).distinct()):
-            break
-    if not STAR_ROUNDS:  # everything is left to the last pass
-        run.absorb(first.distinct())
-    run.last_pass()
-    named = stage(classes.join(run.comp, "id", "left").select("f1", "f2", "n", "least", F.coalesce("comp", "id").alias("comp")),
-                  "named")
-    least = named.groupBy("comp").agg(F.min("least").alias("first"))
-    labels = named.join(least, "comp").select("f1", "f2", "n", "first")
-    out = all_docs.select("doc", "text_hash", "n", "f1", "f2").join(labels, ["f1", "f2", "n"], "left")
-    return out.select("doc", "text_hash", "n", F.when(F.col("doc").isNotNull(), F.col("first")).alias("first"))
+    return run, twos.select(F.col("lo.id").alias("a"), F.col("hi.id").alias("b"))
 
 
 @shielded

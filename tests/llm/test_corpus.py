@@ -300,3 +300,20 @@ def test_pipeline_line_dedup_drops_lines_on_a_few_percent_of_pages(spark, docs_o
     assert got == {i: (t, len(t)) for i, t in want.items()}
     report = lines.repeated(docs_of(rows), ratio=pipeline.LINE_RATIO, min_pages=pipeline.LINE_PAGES)
     assert collected(report, "pages", "host_pages", "dropped") == [(19, 600, True), (6, 600, False)]
+
+
+def test_jaccard_leaves_only_what_its_result_reads(spark, docs_of):
+    from martspark.plans import stage as staged
+    from martspark.session import session_key
+
+    rng = random.Random(8)
+    texts = [*near_copies(rng, long_words(rng, 60), 12, 0.02), "one two three four five", None]
+    rows = [(900 + i, t, "en", "s") for i, t in enumerate(texts)]
+    known = staged._STAGED.setdefault(session_key(spark), [])
+    start = len(known)
+    out = jaccard.link_components(docs_of(rows + rows[:3]))
+    left = [p.rsplit("/", 1)[1].split("-")[0] for p in known[start:]]
+    assert sorted(left) == ["named", "rows"]
+    assert sorted(set(collected(out, "doc_id", "n_shingles", "component_id"))) == sorted(
+        jaccard.brute_force([r[:2] for r in rows]))
+    assert out.count() == len(rows) + 3
