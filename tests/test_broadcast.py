@@ -46,3 +46,30 @@ def test_the_threshold_of_a_user_stays(spark):
     s = spark.newSession()
     s.conf.set(KEY, "12345678")
     assert prepare(s).conf.get(KEY) == "12345678"
+
+
+@pytest.mark.parametrize("hint", [lambda d: d, small])
+def test_a_user_threshold_does_not_broadcast_compressed_dimensions(spark, tmp_path, hint):
+    s = spark.newSession()
+    s.conf.set(KEY, str(10 * 1024 * 1024))  # Spark's own value, set explicitly
+    prepare(s)
+    facts, dim = _tables(s, tmp_path, 400_000)
+    j = facts.join(hint(dim), F.col("f") == F.col("k"), "left")
+    assert "BroadcastHashJoin" not in _plan(j)
+    assert j.where(F.col("k").isNotNull()).count() == 1_600_000
+
+
+def test_joins_planned_at_run_time_keep_the_limit(spark, tmp_path):
+    s = spark.newSession()
+    s.conf.set(KEY, str(10 * 1024 * 1024))
+    prepare(s)
+    facts, dim = _tables(s, tmp_path, 200_000)  # about 3 MB when shuffled
+    j = facts.join(dim, F.col("f") == F.col("k"))
+    assert len(j.collect()) == 800_000
+    assert "BroadcastHashJoin" not in j._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_run_time_threshold_of_a_user_stays(spark):
+    s = spark.newSession()
+    s.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "7654321")
+    assert prepare(s).conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold") == "7654321"
