@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
+# Rows that a Python worker holds as objects at a time: Spark's batches have 10,000, tens of MB of texts beside their
+# Arrow form and the results.
+SLICE_ROWS = 1_000
+
 # Ceiling for anything sent whole to every task, in rows of a few machine words.
 BROADCAST_ROWS = 2_000_000
 
@@ -45,6 +49,12 @@ def space_words(text: str | None) -> list[bytes]:
     return lowered(text).split()
 
 
+def _slices(batches):
+    for b in batches:
+        for start in range(0, b.num_rows, SLICE_ROWS):
+            yield b.slice(start, SLICE_ROWS)
+
+
 def with_arrow_batches(df: DataFrame, inputs: Sequence[str], make: Callable[[], Callable],
                        fields: Sequence[StructField]) -> DataFrame:
     """Append ``fields`` computed batch by batch: ``make()`` is called once per
@@ -56,9 +66,7 @@ def with_arrow_batches(df: DataFrame, inputs: Sequence[str], make: Callable[[],
 
     def run(batches):
         fn = make()
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in _slices(batches):
             res = fn(*[b.column(i).to_pylist() for i in index])
             new = [pa.array(v, type=t) for v, t in zip(res, new_types, strict=True)]
             yield pa.RecordBatch.from_arrays([*b.columns, *new], names=names)
@@ -94,8 +102,8 @@ def flat_arrow(df: DataFrame, make: Callable[[], tuple[Callable, Callable]], sch
 
     def run(batches):
         per_batch, at_end = make()
-        for b in batches:
-            if b.num_rows and (found := per_batch(*[c.to_pylist() for c in b.columns])):
+        for b in _slices(batches):
+            if (found := per_batch(*[c.to_pylist() for c in b.columns])):
                 yield rows(found)
         if found := at_end():
             yield rows(found)
