@@ -27,24 +27,28 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v")))
 
 
-def _step(edges: DataFrame, star) -> DataFrame:
-    return star(edges).where(F.col("u") != F.col("v")).distinct()
+def _step(edges: DataFrame) -> DataFrame:
+    """A large-star and a small-star step; the pairs that the first repeats (no more than the edges) leave at the end."""
+    return _small_star(_large_star(edges)).where(F.col("u") != F.col("v")).distinct()
 
 
-def _state(edges: DataFrame):
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
+def _settled(edges: DataFrame) -> bool:
+    """Whether all edges lead from a vertex with one edge to a centre, which a further round would not change."""
+    ends = edges.select(F.explode(F.array(
+        F.struct(F.col("u").alias("id"), F.lit(1).alias("out"), F.lit(0).alias("into")),
+        F.struct(F.col("v").alias("id"), F.lit(0).alias("out"), F.lit(1).alias("into")))).alias("e"))
+    found = ends.groupBy("e.id").agg(F.sum("e.out").alias("out"), F.max("e.into").alias("into"))
+    return not found.where((F.col("out") > 1) | ((F.col("out") > 0) & (F.col("into") > 0))).count()
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(id, comp) of every vertex of ``edges`` (u, v); ``comp`` is the smallest id of its component."""
-    now = stage(edges.select("u", "v").where(F.col("u") != F.col("v")).distinct(), "edges")
-    before = None
+    down = edges.where(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    now = stage(down.distinct(), "edges")
     for _ in range(max_rounds):
-        state = _state(now)
-        if state == before or not state[0]:
+        if _settled(now):
             break
-        before = state
-        old, now = now, stage(_step(_step(now, _large_star), _small_star), "edges")
+        old, now = now, stage(_step(now), "edges")
         discard(old)
     else:
         raise RuntimeError("components did not settle")

@@ -7,8 +7,9 @@ from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from martspark.llm import components, jaccard, lines, mixing, quality
+from martspark.llm import common, components, jaccard, lines, mixing, quality
 from martspark.llm.oracles import ORACLES
 from martspark.llm.queries import QUERIES
 
@@ -317,3 +318,36 @@ def test_jaccard_leaves_only_what_its_result_reads(spark, docs_of):
     assert sorted(set(collected(out, "doc_id", "n_shingles", "component_id"))) == sorted(
         jaccard.brute_force([r[:2] for r in rows]))
     assert out.count() == len(rows) + 3
+
+
+def test_components_of_settled_edges_need_no_round(spark, monkeypatch):
+    edges = [(2 * i, 2 * i + 1) for i in range(50)] + [(1_000, 1_001 + i) for i in range(20)] + [(7, 7)]
+    monkeypatch.setattr(components, "_step", lambda e: pytest.fail("a round on pairs and stars"))
+    got = dict(components.connected_components(spark.createDataFrame(edges, "u long, v long")).collect())
+    assert got == {**{2 * i + k: 2 * i for i in range(50) for k in (0, 1)}, **{1_000 + i: 1_000 for i in range(21)}}
+
+
+def test_components_of_chains_and_repeated_edges(spark):
+    rnd = random.Random(3)
+    edges = [(i, i + 1) for i in range(30)] + [(100 + rnd.randrange(40), 100 + rnd.randrange(40)) for _ in range(45)]
+    edges += [(v, u) for u, v in edges[:20]] + edges[10:40]
+    root = {x: x for e in edges for x in e if e[0] != e[1]}
+    for _ in root:
+        for u, v in edges:
+            if u != v:
+                root[u] = root[v] = min(root[u], root[v])
+    assert dict(components.connected_components(spark.createDataFrame(edges, "u long, v long")).collect()) == root
+
+
+def test_python_workers_hold_a_bounded_number_of_rows(spark):
+    def make():
+        return lambda ids: [[len(ids)] * len(ids)]
+
+    d = common.with_arrow_batches(spark.range(0, 5_000, 1, 1), ["id"], make, [T.StructField("held", T.LongType())])
+    rows = d.collect()
+    assert [r["id"] for r in rows] == list(range(5_000))
+    assert max(r["held"] for r in rows) <= common.SLICE_ROWS
+    flat = common.flat_arrow(spark.range(0, 5_000, 1, 1), lambda: (lambda ids: [(i, len(ids)) for i in ids], list),
+                             T.StructType([T.StructField("i", T.LongType()), T.StructField("held", T.LongType())]))
+    rows = flat.collect()
+    assert [r["i"] for r in rows] == list(range(5_000)) and max(r["held"] for r in rows) <= common.SLICE_ROWS
