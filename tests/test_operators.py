@@ -594,6 +594,22 @@ def test_referential_sees_orphans(spark):
     assert got == {("f", "x"): (3, 1), ("f", "y"): (3, 1)}
 
 
+def test_referential_counts_key_values_and_reads_a_dimension_once(spark, tmp_path):
+    spark.createDataFrame([("a",), ("a",), (None,)], "k string").write.parquet(f"{tmp_path}/dim")
+    dim = spark.read.parquet(f"{tmp_path}/dim")
+    many = spark.range(1000).select(F.when(F.col("id") < 900, "a").when(F.col("id") < 990, "zz").alias("x"),
+                                    F.lit("a").alias("y"))
+    out = quality.referential({"f": (many, {"x": (dim, "k"), "y": (dim, "k")}),
+                               "empty": (many.where("false"), {"y": (dim, "k")})})
+    assert [tuple(r) for r in out.collect()] == [("f", "x", 1000, 90, False), ("f", "y", 1000, 0, True),
+                                                 ("empty", "y", 0, 0, True)]
+    # the dimension is not computed again for every key, and rows of equal keys are one before the join
+    assert not any("/dim/" in f for f in out.inputFiles())
+    plan = out._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    joins = [i for i, line in enumerate(plan) if "Join LeftOuter" in line]
+    assert joins and all("Aggregate [" in plan[i + 1] for i in joins)
+
+
 @pytest.mark.parametrize("name", ["dq_expectations", "dq_by_dimension", "dq_column_tests", "dq_contract",
                                   "dq_referential", "filter_facets", "refresh_counts"])
 def test_shared_marts_are_computed_once(spark, name):
