@@ -30,7 +30,7 @@ SOURCES: dict[str, tuple[str, str, StructType]] = {
         CLASSID=S, CLASDSCR=S, CRLMTTYP=I, CRLMTAMT=dec(19, 2), CHEKBKID=S, PYMTRMID=S, PRCLEVEL=S)),
     "RM00301": ("ERP", "salespeople", _schema(
         SLPRSNID=S, EMPLOYID=S, VENDORID=S, SLPRSNFN=S, SPRSNSMN=S, SPRSNSLN=S, SPRNSTTL=S, SALSTERR=S,
-        COMPRCNT=dec(8, 4), INACTIVE=I)),
+        COMPRCNT=dec(23, 4), INACTIVE=I)),
     "RM00303": ("ERP", "sales territories", _schema(
         SALSTERR=S, SLTERDSC=S, SLPRSNID=S, STMGRFNM=S, STMGRLNM=S, COUNTRY=S, INACTIVE=I)),
     "SOP30200": ("ERP", "historical sales document headers", _schema(
